@@ -83,10 +83,12 @@ def grouped_median(df: DataFrame, by: Sequence[str], column: str, name: str) ->
     )
     after = F.col("_below") + F.col("_in_piece")
     middle = pieces.where((after > F.col("_lower")) & (F.col("_below") <= F.col("_upper")))
-    conditions = [counted[c].eqNullSafe(middle[c]) for c in [*by, "_piece"]]
-    rows = counted.join(middle, conditions, "inner").select(
-        *[counted[c] for c in by], counted["_piece"], "_v", "_n", "_below", "_lower", "_upper"
+    groups = [*by, "_piece"]
+    side = middle.select(
+        *[F.col(c).alias(f"_of_{c}") for c in groups], "_below", "_lower", "_upper"
     )
+    conditions = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in groups]
+    rows = counted.join(side, conditions, "inner").drop(*[f"_of_{c}" for c in groups])
     in_piece = Window.partitionBy(*by, "_piece").orderBy("_v")
     placed = rows.withColumn("_end", F.col("_below") + F.sum("_n").over(in_piece))
 

@@ -103,9 +103,11 @@ def rank_by_pieces(
         value.desc_nulls_first(), *[F.col(c) for c in tiebreak]
     )
     local = rows.withColumn("_within", F.row_number().over(within))
-    on = [local[c].eqNullSafe(sizes[c]) for c in [*part, "_piece", "_cut"]]
-    return local.join(sizes, on, "inner").select(
-        *[local[c] for c in df.columns], (F.col("_before") + F.col("_within")).cast("int").alias(name)
+    groups = [*part, "_piece", "_cut"]
+    side = sizes.select(*[F.col(c).alias(f"_of_{c}") for c in groups], "_before")
+    on = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in groups]
+    return local.join(side, on, "inner").select(
+        *df.columns, (F.col("_before") + F.col("_within")).cast("int").alias(name)
     )
 
 

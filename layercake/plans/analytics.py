@@ -131,6 +131,7 @@ def agg_location_insights(
     orders: DataFrame,
     dates: DataFrame,
     locations: DataFrame,
+    trucks: DataFrame,
     run: Run,
     orders_unique: bool = True,
 ) -> DataFrame:
@@ -139,6 +140,8 @@ def agg_location_insights(
         locations, "location_sk", "location_name", "city_name", "country_name", "location_type",
         "estimated_foot_traffic", "business_potential_score",
     )
+    # '-1' may stand in for the truck.
+    members = bounded_count(trucks.select("truck_sk"))
     n = _orders(orders_unique)
     hour = c("order_hour")
     meals = {f"{label.lower()}_orders": hour.between(*hours) for hours, label in rules.MEAL_HOURS}
@@ -148,7 +151,7 @@ def agg_location_insights(
         .agg(
             n().alias("daily_orders"),
             F.sum("order_total").alias("daily_revenue"),
-            F.countDistinct("truck_sk").alias("trucks_served"),
+            fn.count_members(c("truck_sk"), members).alias("trucks_served"),
             F.countDistinct("customer_sk").alias("unique_customers"),
             fn.mean(c("order_total")).alias("avg_order_value"),
             F.avg("processing_time_minutes").alias("avg_processing_time"),
@@ -292,7 +295,7 @@ def agg_menu_performance(
         F.sum("profit").alias("total_profit"),
         (F.sum("prices").cast("double") / F.nullif(F.sum("priced"), F.lit(0))).alias("avg_selling_price"),
         F.sum("discounts").alias("total_discounts_given"),
-        F.countDistinct("truck_id").alias("trucks_selling_item"),
+        fn.count_members(c("truck_id"), truck.rows).alias("trucks_selling_item"),
         F.countDistinct("customer_sk").alias("unique_customers"),
         sold_where(c("order_channel") == "Mobile App").alias("mobile_quantity"),
         sold_where(c("order_channel") == "Walk-up").alias("walkin_quantity"),
@@ -372,8 +375,8 @@ def _transactions(orders: DataFrame, dates: DataFrame, truck: _Side, place: _Sid
             n(meal == "Breakfast").alias("breakfast_orders"),
             n(meal == "Lunch").alias("lunch_orders"),
             n(meal == "Dinner").alias("dinner_orders"),
-            F.countDistinct("location_sk").alias("unique_locations_visited"),
-            F.countDistinct("truck_sk").alias("unique_trucks_visited"),
+            fn.count_members(c("location_sk"), place.rows).alias("unique_locations_visited"),
+            fn.count_members(c("truck_sk"), truck.rows).alias("unique_trucks_visited"),
             n(c("discount_percentage") > 0).alias("discounted_orders"),
             F.avg("discount_percentage").alias("avg_discount_percentage"),
             F.avg("line_item_count").alias("avg_items_per_order"),
@@ -392,8 +395,12 @@ def _transactions(orders: DataFrame, dates: DataFrame, truck: _Side, place: _Sid
     )
 
 
-def _tastes(orders: DataFrame, details: DataFrame, item: _Side) -> DataFrame:
+def customer_tastes(orders: DataFrame, details: DataFrame, items: DataFrame) -> DataFrame:
     """Favourite categories and prices per customer key."""
+    item = _Side(
+        items, "menu_item_sk", "item_category", "item_subcategory", "truck_brand_name",
+        "is_vegetarian", "is_vegan", "is_gluten_free",
+    )
     buyers = orders.where(c("customer_sk") != rules.UNKNOWN_KEY).select("order_sk", "customer_sk")
     lines = details.select("order_sk", "menu_item_sk", "quantity", "unit_price")
 
@@ -432,12 +439,8 @@ def agg_customer_360(
     """One row per customer: history, tastes, value and risk."""
     truck = _Side(trucks, "truck_sk", "primary_city")
     place = _Side(locations, "location_sk", "location_type")
-    item = _Side(
-        items, "menu_item_sk", "item_category", "item_subcategory", "truck_brand_name",
-        "is_vegetarian", "is_vegan", "is_gluten_free",
-    )
     history = _transactions(orders, dates, truck, place, run, orders_unique)
-    tastes = _tastes(orders, details, item)
+    tastes = customer_tastes(orders, details, items)
     joined = customers.join(history, "customer_sk", "left").join(tastes, "customer_sk", "left")
 
     def or_zero(name: str) -> Column:

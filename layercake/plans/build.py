@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from layercake import rules
 from layercake.operators.incremental import new_rows, upsert_path
+from layercake.operators.settle import settle
 from layercake.plans import analytics, calendar, dimensions, facts, intermediate, staging
 from layercake.plans.dimensions import key_table
 from layercake.plans.run import Run
@@ -125,7 +126,7 @@ MODELS: dict[str, Model] = {
         _FACT, "gold", "incremental", _ORDERS,
     ),
     "fact_order_detail": Model(
-        facts.fact_order_detail, ("stg_pos_order_details", "fact_order", "item_keys"), _FACT, "gold",
+        facts.fact_order_detail, ("stg_pos_order_details", "order_keys", "item_keys"), _FACT, "gold",
         "incremental", _LINES,
     ),
     "agg_daily_sales": Model(
@@ -133,7 +134,7 @@ MODELS: dict[str, Model] = {
         _mart("aggregation"), "gold",
     ),
     "agg_location_insights": Model(
-        analytics.agg_location_insights, ("fact_order", "dim_date", "dim_location"),
+        analytics.agg_location_insights, ("fact_order", "dim_date", "dim_location", "dim_truck"),
         _mart("location"), "gold",
     ),
     "agg_menu_performance": Model(
@@ -159,6 +160,15 @@ _KEYS: dict[str, Callable[["Layers"], DataFrame]] = {
         ("cost_of_goods_usd", "item_category", "item_subcategory", "truck_brand_name",
          "is_vegetarian", "is_vegan", "is_gluten_free"),
     ),
+    # The fact has one row per staged order; where it is not built yet the staged ids stand in.
+    "order_keys": lambda layers: layers.built("fact_order", "stg_pos_order_headers").select("order_id"),
+}
+
+# Inputs that a model reads more than once. While the models are only composed, these are written
+# once to the shared folder instead of being computed for every use.
+_READ_OFTEN = {
+    "agg_menu_performance": ("dim_menu_item",),
+    "agg_customer_360": ("int_orders_enriched", "dim_menu_item", "fact_order"),
 }
 
 
@@ -181,15 +191,24 @@ class Layers:
     ):
         self.spark, self.run = spark, run
         self._calendar = (calendar_start, calendar_end)
-        self._known: dict[str, DataFrame] = dict(raw)
+        self._raw = raw
+        self._known: dict[str, DataFrame] = {}
+        self._tables: set[str] = set()
 
     def __getitem__(self, name: str) -> DataFrame:
+        if name in self._raw:
+            return self._raw[name]
         if name not in self._known:
             self._known[name] = _KEYS[name](self) if name in _KEYS else self.compose(name)
         return self._known[name]
 
-    def __setitem__(self, name: str, df: DataFrame) -> None:
-        self._known[name] = df
+    def __setitem__(self, name: str, table: DataFrame) -> None:
+        """From here on the model is this written table."""
+        self._known[name] = table
+        self._tables.add(name)
+
+    def built(self, name: str, otherwise: str) -> DataFrame:
+        return self[name] if name in self._tables else self[otherwise]
 
     def compose(self, name: str, replaced: Mapping[str, DataFrame] | None = None) -> DataFrame:
         model = MODELS[name]
@@ -198,6 +217,9 @@ class Layers:
         if name == "dim_time":
             return model.make(self.spark)
         given = replaced or {}
+        for often in _READ_OFTEN.get(name, ()):
+            if often not in self._tables:
+                self[often] = settle(self[often], often)
         return model.make(*[given[i] if i in given else self[i] for i in model.inputs], self.run)
 
 

@@ -6,6 +6,8 @@ except that ``MINSEC(m; s)`` stands for an interval of m minutes and s seconds.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -165,25 +167,41 @@ def _spark_sql(expression: str) -> str:
     return expression.replace("MINSEC(", "make_dt_interval(0, 0, ").replace("; ", ", ")
 
 
-def raw_tables(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
-    """The eight raw tables, lazily, from ``directory/<table>.parquet``."""
+class RawTables(Mapping):
+    """The raw tables of a directory, each read when first asked for."""
+
+    def __init__(self, spark: SparkSession, directory: str):
+        self._spark, self._directory = spark, directory
+        self._tables: dict[str, DataFrame] = {}
 
-    def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{directory}/{name}.parquet")
+    def _read(self, name: str) -> DataFrame:
+        return self._spark.read.parquet(f"{self._directory}/{name}.parquet")
 
-    def lines() -> DataFrame:
-        per_line = read("lineitem").groupBy("l_orderkey", "l_linenumber").agg(
+    def _lines(self) -> DataFrame:
+        per_line = self._read("lineitem").groupBy("l_orderkey", "l_linenumber").agg(
             F.max("l_partkey").alias("pk"),
             F.max(F.col("l_quantity").cast("int")).alias("q"),
             F.max("l_discount").alias("d"),
         )
-        parts = read("part").select(F.col("p_partkey").alias("pk"), "p_size")
+        parts = self._read("part").select(F.col("p_partkey").alias("pk"), "p_size")
         return per_line.join(parts, "pk")
 
-    tables = {}
-    for table, (base, columns) in MAPPING.items():
-        rows = lines() if base == "lines" else read(base)
-        tables[table] = rows.select(
-            *[F.expr(_spark_sql(expression)).alias(column) for column, expression in columns.items()]
-        )
-    return tables
+    def __getitem__(self, table: str) -> DataFrame:
+        if table not in self._tables:
+            base, columns = MAPPING[table]
+            rows = self._lines() if base == "lines" else self._read(base)
+            self._tables[table] = rows.select(
+                *[F.expr(_spark_sql(expression)).alias(column) for column, expression in columns.items()]
+            )
+        return self._tables[table]
+
+    def __iter__(self):
+        return iter(MAPPING)
+
+    def __len__(self) -> int:
+        return len(MAPPING)
+
+
+def raw_tables(spark: SparkSession, directory: str) -> Mapping[str, DataFrame]:
+    """The eight raw tables from ``directory/<table>.parquet``."""
+    return RawTables(spark, directory)

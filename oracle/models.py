@@ -122,7 +122,7 @@ cte("stg_pos_menu", "raw_menu", f"""
         {initcap("item_subcategory")} AS item_subcategory,
         coalesce(cost_of_goods_usd, 0) AS cost_of_goods_usd,
         coalesce(sale_price_usd, 0) AS sale_price_usd,
-        {pct("(sale_price_usd - coalesce(cost_of_goods_usd, 0))", "sale_price_usd")} AS profit_margin_pct,
+        {pct("(sale_price_usd - coalesce(cost_of_goods_usd, 0))", "sale_price_usd", places=8)} AS profit_margin_pct,
         {_nutrients}, {_diets},
         coalesce(sale_price_usd > 0 AND cost_of_goods_usd >= 0
             AND raw_menu.sale_price_usd > raw_menu.cost_of_goods_usd, false) AS has_valid_pricing
@@ -492,7 +492,7 @@ cte("menu_days", "fact_order_detail fact_order dim_date dim_menu_item dim_truck"
         JOIN dim_date d ON o.order_date_sk = d.date_sk JOIN dim_menu_item m ON l.menu_item_sk = m.menu_item_sk
         JOIN dim_truck t ON o.truck_sk = t.truck_sk
     WHERE l.menu_item_sk <> '{rules.UNKNOWN_KEY}' GROUP BY ALL""")
-cte("menu_margins", "menu_days", f"SELECT *, {pct('total_profit', 'total_revenue')} AS profit_margin_pct FROM menu_days")
+cte("menu_margins", "menu_days", f"SELECT *, {pct('total_profit', 'total_revenue', places=8)} AS profit_margin_pct FROM menu_days")
 cte("agg_menu_performance", "menu_margins", f"""
     SELECT *, row_number() OVER ({_item_day.format("total_quantity_sold")}) AS popularity_rank,
         row_number() OVER ({_item_day.format("total_revenue")}) AS revenue_rank,

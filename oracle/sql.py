@@ -73,9 +73,12 @@ def key(*columns: str) -> str:
     return "md5(concat_ws('-', " + ", ".join(parts) + "))"
 
 
-def pct(num: str, den: str, otherwise: str = "0") -> str:
-    """Percentage by plain division, to eight places so that limits are met exactly."""
-    return f"CASE WHEN {den} > 0 THEN round(CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE) * 100, 8) ELSE {otherwise} END"
+def pct(num: str, den: str, otherwise: str = "0", places: int | None = None) -> str:
+    """Percentage by plain division; rounded where it meets limits that it may hit exactly."""
+    value = f"CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE) * 100"
+    if places is not None:
+        value = f"round({value}, {places})"
+    return f"CASE WHEN {den} > 0 THEN {value} ELSE {otherwise} END"
 
 
 def average(column: str) -> str:
