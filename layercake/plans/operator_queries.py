@@ -20,10 +20,12 @@ from layercake.plans.build import Layers
 from layercake.plans.dimensions import key_table
 from layercake.plans.intermediate import average_gap, lifetime_value, order_history
 from layercake.plans.run import Run
+from layercake.plans.staging import stg_pos_order_headers
 from layercake.quality import Rule, check
 from layercake.quality.suite import check_models
 from layercake.session import prepare, shared_dir
-from layercake.sources import freshness, raw_tables, read_raw
+from layercake.sources import as_raw, freshness, raw_tables, read_raw
+from layercake.streaming import file_stream, upsert_stream
 
 AS_OF = date(2001, 8, 2)
 EVENTS_AS_OF = datetime(2024, 1, 31)
@@ -422,6 +424,22 @@ def incremental_table(spark: SparkSession, directory: str) -> DataFrame:
     return spark.read.parquet(path).select(*ORDER_COLUMNS)
 
 
+def stream_upsert(spark: SparkSession, directory: str) -> DataFrame:
+    """Order headers cleaned and upserted as a stream of files; the same rows as the batch model."""
+    schema = table(spark, directory, "orders").schema
+    path = shared_dir(spark, "stream")
+    # A pattern, as the table may be one file or a folder of files.
+    stream = as_raw(file_stream(spark, f"{directory}/orders*.parquet", schema), "order_header")
+
+    def clean(batch: DataFrame) -> DataFrame:
+        return stg_pos_order_headers(batch, RUN).withColumn("part", F.year("order_timestamp"))
+
+    upsert_stream(
+        stream, clean, f"{path}/table", "order_id", f"{path}/checkpoint", partition_by="part"
+    ).awaitTermination()
+    return spark.read.parquet(f"{path}/table")
+
+
 def schema_sync(spark: SparkSession, directory: str) -> DataFrame:
     """A batch without the status but with a priority: one column goes, one comes."""
     orders = table(spark, directory, "orders")
@@ -436,7 +454,7 @@ def csv_load(spark: SparkSession, directory: str) -> DataFrame:
     """Raw menu written as delimited text and loaded again in the declared schema."""
     menu = raw_tables(prepare(spark), directory)["menu"]
     path = shared_dir(spark, "menu-csv")
-    menu.write.option("escape", '"').csv(path)
+    menu.write.options(escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
     loaded = read_raw(spark, "menu", path)
     calories = fn.variant_field(c("menu_item_health_metrics_obj"), "$.calories", "bigint")
     return loaded.withColumn("calories", calories).drop("menu_item_health_metrics_obj")

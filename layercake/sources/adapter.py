@@ -167,6 +167,11 @@ def _spark_sql(expression: str) -> str:
     return expression.replace("MINSEC(", "make_dt_interval(0, 0, ").replace("; ", ", ")
 
 
+def as_raw(rows: DataFrame, table: str) -> DataFrame:
+    """A raw table from the rows it is derived from; works on streams too."""
+    return rows.select(*[F.expr(_spark_sql(e)).alias(column) for column, e in MAPPING[table][1].items()])
+
+
 class RawTables(Mapping):
     """The raw tables of a directory, each read when first asked for."""
 
@@ -188,11 +193,8 @@ class RawTables(Mapping):
 
     def __getitem__(self, table: str) -> DataFrame:
         if table not in self._tables:
-            base, columns = MAPPING[table]
-            rows = self._lines() if base == "lines" else self._read(base)
-            self._tables[table] = rows.select(
-                *[F.expr(_spark_sql(expression)).alias(column) for column, expression in columns.items()]
-            )
+            base = MAPPING[table][0]
+            self._tables[table] = as_raw(self._lines() if base == "lines" else self._read(base), table)
         return self._tables[table]
 
     def __iter__(self):

@@ -212,6 +212,8 @@ _upserted = """
     FROM orders WHERE o_orderstatus = 'O'"""
 register("incremental_upsert", _order_spec, _upserted)
 register("incremental_table", _order_spec, _upserted)
+register("stream_upsert", MODEL_SPECS["stg_pos_order_headers"], "SELECT * FROM stg_pos_order_headers",
+         "stg_pos_order_headers")
 register("schema_sync", "o_orderkey:l o_custkey:l o_totalprice:d o_orderdate:t o_orderpriority:s", """
     SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate,
         CASE WHEN o_orderstatus = 'P' THEN o_orderpriority END AS o_orderpriority FROM orders""")
