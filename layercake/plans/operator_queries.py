@@ -25,6 +25,7 @@ from layercake.quality import Rule, check
 from layercake.quality.suite import check_models
 from layercake.session import prepare, shared_dir
 from layercake.sources import as_raw, freshness, raw_tables, read_raw
+from layercake.sources.adapter import base_table
 from layercake.streaming import file_stream, upsert_stream
 
 AS_OF = date(2001, 8, 2)
@@ -35,7 +36,7 @@ c = F.col
 
 
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{directory}/{name}.parquet")
+    return base_table(prepare(spark), directory, name)
 
 
 def layers(spark: SparkSession, directory: str) -> Layers:

@@ -11,6 +11,26 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Columns of the data set that are used, so that opening a table needs no look into its files.
+BASE_SCHEMAS = {
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": (
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+        "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+    ),
+    "lineitem": (
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+        "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, "
+        "l_linestatus STRING, l_shipdate TIMESTAMP_NTZ"
+    ),
+    "events": (
+        "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+    ),
+}
+
 _CENTS = "CAST(ROUND(o_totalprice * 100) AS BIGINT) % 8000"
 _ORDER_TIME = (
     "o_orderdate + MINSEC(CAST((o_orderkey * 37) % 1440{late} AS INT); "
@@ -167,6 +187,10 @@ def _spark_sql(expression: str) -> str:
     return expression.replace("MINSEC(", "make_dt_interval(0, 0, ").replace("; ", ", ")
 
 
+def base_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
+    return spark.read.schema(BASE_SCHEMAS[name]).parquet(f"{directory}/{name}.parquet")
+
+
 def as_raw(rows: DataFrame, table: str) -> DataFrame:
     """A raw table from the rows it is derived from; works on streams too."""
     return rows.select(*[F.expr(_spark_sql(e)).alias(column) for column, e in MAPPING[table][1].items()])
@@ -180,7 +204,7 @@ class RawTables(Mapping):
         self._tables: dict[str, DataFrame] = {}
 
     def _read(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._directory}/{name}.parquet")
+        return base_table(self._spark, self._directory, name)
 
     def _lines(self) -> DataFrame:
         per_line = self._read("lineitem").groupBy("l_orderkey", "l_linenumber").agg(
