@@ -7,8 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from layercake.operators.pieces import cut_points, with_piece
 from layercake.operators.settle import settle
-from layercake.operators.windows import magnitude
 
 
 def conditional_counts(
@@ -67,10 +67,10 @@ def grouped_median(df: DataFrame, by: Sequence[str], column: str, name: str) ->
     counted = settle(
         df.where(F.col(column).isNotNull())
         .groupBy(*by, F.col(column).alias("_v"))
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_piece", magnitude(F.col("_v"))),
+        .agg(F.count("*").alias("_n")),
         "median",
     )
+    counted = with_piece(counted, "_v", cut_points(counted, "_v")["_v"], "_piece")
     in_order = Window.partitionBy(*by).orderBy("_piece")
     whole = Window.partitionBy(*by)
     pieces = (

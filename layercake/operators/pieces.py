@@ -1,0 +1,49 @@
+"""Cutting groups of any size into pieces that are in order among themselves.
+
+The cut points are quantiles of the whole column, a few hundred numbers. A piece that does not hold
+a single value therefore has at most about one part in ``PIECES`` of all rows, however they are
+spread over the groups.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+PIECES = 256
+_ACCURACY = 10_000
+
+
+def cut_points(df: DataFrame, *columns: str) -> dict[str, list[float]]:
+    """Quantiles of each column; a value that fills several of them gets a piece of its own."""
+    shares = [i / PIECES for i in range(1, PIECES)]
+    quantiles = df.agg(
+        *[F.percentile_approx(F.col(c).cast("double"), shares, _ACCURACY).alias(c) for c in columns]
+    ).first()
+    points = {}
+    for column in columns:
+        values = [v for v in (quantiles[column] or []) if math.isfinite(v)]
+        often = {v for v, after in zip(values, values[1:]) if v == after}
+        points[column] = sorted({*values, *(math.nextafter(v, math.inf) for v in often)})
+    return points
+
+
+def with_piece(df: DataFrame, column: str, points: list[float], piece: str) -> DataFrame:
+    """Add the piece number: the number of cut points at or below the value (NULL and NaN come last)."""
+    if not points:
+        return df.withColumn(piece, F.lit(0))
+    buckets = Bucketizer(
+        splits=[-math.inf, *points, math.inf], inputCol="_number", outputCol=piece, handleInvalid="keep"
+    )
+    numbered = buckets.transform(df.withColumn("_number", F.col(column).cast("double")))
+    return numbered.withColumn(piece, F.col(piece).cast("int")).drop("_number")
+
+
+def single_pieces(points: list[float]) -> list[int]:
+    """Numbers of the pieces that hold one value only."""
+    return [
+        i + 1 for i, (low, high) in enumerate(zip(points, points[1:])) if high == math.nextafter(low, math.inf)
+    ]

@@ -11,27 +11,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from layercake.functions.numbers import safe_pct
+from layercake.operators.pieces import cut_points, single_pieces, with_piece
 from layercake.operators.settle import settle
 
 # Rows of one group that a single task may sort.
 GROUP_ROWS = 5_000_000
 
-_STEPS = 8  # pieces per doubling of the value
-_SINGLE = 14  # up to here every whole number has a piece of its own
 _NULL_PIECE = 2**31 - 1
-_WHOLE = ("byte", "short", "integer", "long")
-
-
-def magnitude(value: Column) -> Column:
-    """Whole number that never falls as the value rises: a logarithmic scale with sign.
-
-    Cuts a group into pieces that are in order among themselves, without looking at the data.
-    """
-    number = value.cast("double")
-    step = F.floor(F.log2(F.abs(number) + 1) * _STEPS).cast("int")
-    return F.when(number < 0, -step).otherwise(step)
+_EXACT = float(2**53)  # up to here whole numbers survive the way through a double
 
 
 def rank_by(
@@ -73,31 +63,36 @@ def rank_by_pieces(
     """Row number per group, measure descending, NULLs first, for groups of any size.
 
     A group is cut into pieces that are in order among themselves. The rank is the number of rows
-    in earlier pieces plus the rank within the piece, and only pieces are sorted. Small whole
-    numbers, where many rows tie, are cut further along the first tie-break column.
+    in earlier pieces plus the rank within the piece, and only pieces are sorted. Where many rows
+    tie on one value, its piece is cut further along the first tie-break column: by quantiles if it
+    is a number, by its first two characters if it is text (as the surrogate keys, which are spread
+    evenly over them).
     """
-    kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
-    value = F.col(measure)
-    piece = F.coalesce(magnitude(value), F.lit(_NULL_PIECE))
-    one_value = value.isNull()
-    if kinds[measure] in _WHOLE:
-        one_value = one_value | (F.abs(value) <= _SINGLE)
-    first = F.col(tiebreak[0])
-    if kinds[tiebreak[0]] == "string":
-        cut = F.when(one_value, F.substring(first, 1, 2)).otherwise(F.lit(""))
-    elif kinds[tiebreak[0]] in _WHOLE:
-        cut = F.when(one_value, magnitude(first)).otherwise(F.lit(0))
-    else:
-        cut = F.lit(0)
     if not settled:
         df = settle(df, "rank")
-    rows = df.withColumn("_piece", piece).withColumn("_cut", cut)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    value, first = F.col(measure), tiebreak[0]
+    is_text = types[first].typeName() == "string"
+    is_number = isinstance(types[first], NumericType)
+    points = cut_points(df, measure, *([first] if is_number else []))
+    rows = with_piece(df, measure, points[measure], "_piece")
+    rows = rows.withColumn("_piece", F.when(value.isNull(), _NULL_PIECE).otherwise(F.col("_piece")))
+    # Values that a double cannot tell apart must not be cut along the tie-break.
+    scale = getattr(types[measure], "scale", 0)
+    exact = F.abs(value.cast("double")) * float(10**scale) < _EXACT
+    one_value = value.isNull() | (F.col("_piece").isin(single_pieces(points[measure])) & exact)
+    if is_text:
+        rows = rows.withColumn("_cut", F.when(one_value, F.substring(first, 1, 2)).otherwise(F.lit("")))
+    elif is_number:
+        rows = with_piece(rows, first, points[first], "_cut")
+        rows = rows.withColumn("_cut", F.when(one_value, F.col("_cut")).otherwise(F.lit(0)))
+    else:
+        rows = rows.withColumn("_cut", F.lit(0))
     before = Window.partitionBy(*part).orderBy(F.col("_piece").desc(), F.col("_cut"))
     sizes = (
         rows.groupBy(*part, "_piece", "_cut")
         .agg(F.count("*").alias("_size"))
         .withColumn("_before", F.sum("_size").over(before) - F.col("_size"))
-        .drop("_size")
     )
     within = Window.partitionBy(*part, "_piece", "_cut").orderBy(
         value.desc_nulls_first(), *[F.col(c) for c in tiebreak]

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from layercake import operators as ops
-from layercake.operators import joins, windows
+from layercake.operators import joins, pieces, windows
 
 c = F.col
 
@@ -115,9 +115,9 @@ def test_rank_in_pieces_equals_plain_rank(spark, kind, key_kind):
     data = [(g, v, i * 7919 % 1000) for i, (g, v) in enumerate(skewed(3))]
     df = spark.createDataFrame(data, "g string, v double, id int").select(
         "g", c("v").cast(kind).alias("v"), c("id").cast(key_kind).alias("id"))
-    pieces = ops.rank_by_pieces(df, ["g"], "v", "r", ["id"])
+    in_pieces = ops.rank_by_pieces(df, ["g"], "v", "r", ["id"])
     plain = ops.rank_by(df, ["g"], {"r": "v"}, ["id"], group_rows=1000)
-    assert rows(pieces, "g", "r", "id") == rows(plain, "g", "r", "id")
+    assert rows(in_pieces, "g", "r", "id") == rows(plain, "g", "r", "id")
 
 
 def test_rank_without_bound_uses_pieces(spark, monkeypatch):
@@ -126,11 +126,31 @@ def test_rank_without_bound_uses_pieces(spark, monkeypatch):
     assert rows(got.select("id", "r"), "r") == [(3, 1), (2, 2), (1, 3)]
 
 
-def test_magnitude_never_falls(spark):
-    values = sorted(random.Random(4).uniform(-1e7, 1e7) for _ in range(500)) + [2e9, 1e15]
-    df = spark.createDataFrame([(v,) for v in values], "v double").select(windows.magnitude(c("v")))
-    got = [r[0] for r in df.collect()]
-    assert got == sorted(got)
+def test_pieces_are_small_and_in_order(spark):
+    random.seed(5)
+    values = [7.0] * 4000 + [7.0 + i / 1e6 for i in range(4000)] + [random.gauss(0, 1e6) for _ in range(4000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    points = pieces.cut_points(df, "v")["v"]
+    single = set(pieces.single_pieces(points))
+    found = defaultdict(list)
+    for r in pieces.with_piece(df, "v", points, "p").collect():
+        found[r["p"]].append(r["v"])
+    assert single and all(set(found[p]) == {7.0} for p in single if p in found)
+    assert max(len(v) for p, v in found.items() if p not in single) < len(values) / 50
+    in_order = sorted(found)
+    assert all(max(found[a]) <= min(found[b]) for a, b in zip(in_order, in_order[1:]))
+
+
+def test_rank_in_pieces_with_many_ties_and_large_decimals(spark):
+    data = [("a", 1, f"{i * 7919 % 997:04x}") for i in range(900)] + [("a", i % 3, f"k{i}") for i in range(90)]
+    df = spark.createDataFrame(data, "g string, v int, id string").withColumn(
+        "v", (c("v") + 12345678901234567).cast("decimal(28,4)") + (F.hash("id") % 3).cast("decimal(10,0)") / 10000)
+    kept = df.withColumn("v", c("v").cast("decimal(28,4)"))
+    assert rows(ops.rank_by_pieces(kept, ["g"], "v", "r", ["id"]), "r") == rows(
+        ops.rank_by(kept, ["g"], {"r": "v"}, ["id"], group_rows=1000), "r")
+    ties = df.withColumn("v", F.lit(5))
+    assert rows(ops.rank_by_pieces(ties, ["g"], "v", "r", ["id"]), "r") == rows(
+        ops.rank_by(ties, ["g"], {"r": "v"}, ["id"], group_rows=1000), "r")
 
 
 def test_rolling_average_and_lag_count_rows_not_days(spark):
