@@ -45,7 +45,7 @@ class Model:
 
 
 def _day_number(column: str) -> Callable[[str], Column]:
-    patterns = {"day": "yyyyMMdd", "month": "yyyyMM"}
+    patterns = {"day": "yyyyMMdd", "month": "yyyyMM", "year": "yyyy"}
     return lambda grain: F.date_format(column, patterns[grain]).cast("int")
 
 
