@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layercake.llm import bpe, decontaminate, line_runs, shards
+from layercake.llm import bpe, decontaminate, line_runs, lsh_forest, shards
 from layercake.llm.common import table
 
 
+def op1_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"), width=4)
+
+
 def op5_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shards.shard_by_bytes(table(spark, sf_dir, "documents"))
     return placed.select(
@@ -40,5 +44,5 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     query.__name__: query
-    for query in (op5_byte_shards, op6_line_dedup, op8_byte_bpe, op10_decontamination)
+    for query in (op1_lsh_forest, op5_byte_shards, op6_line_dedup, op8_byte_bpe, op10_decontamination)
 }

@@ -78,4 +78,30 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(c.n_hit, 0)::BIGINT AS n_
 FROM docs d LEFT JOIN counted c ON d.doc_id = c.doc_id LEFT JOIN named n ON d.doc_id = n.doc_id
 """
 
-SQL = {"op5_byte_shards": OP5, "op6_line_dedup": OP6, "op10_decontamination": OP10}
+OP1 = rf"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, string_split_regex({_LOWER.format("coalesce(text, '')")}, '[\x20\x09-\x0D]+') AS parts FROM documents
+), worded AS (
+  SELECT doc_id, list_filter(parts, lambda x: x <> '') AS w FROM docs
+), sets AS (
+  SELECT doc_id, list_distinct(list_transform(range(1, greatest(len(w) - 3, 1) + 1),
+    lambda i: array_to_string(list_slice(w, i, i + 3), ' '))) AS s
+  FROM worded WHERE len(w) > 0
+), shingles AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS common
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared WHERE 100 * common >= 80 * (na + nb - common)
+  UNION ALL SELECT b, a FROM shared WHERE 100 * common >= 80 * (na + nb - common)
+), reach AS (
+  SELECT doc_id AS node, doc_id AS reached FROM documents
+  UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.reached
+)
+SELECT d.doc_id, coalesce(len(s.s), 0)::BIGINT AS n_shingles, min(r.reached)::BIGINT AS component_id,
+  d.doc_id = min(r.reached) AS kept
+FROM documents d LEFT JOIN sets s ON d.doc_id = s.doc_id JOIN reach r ON d.doc_id = r.node GROUP BY d.doc_id, s.s
+"""
+
+SQL = {"op1_lsh_forest": OP1, "op5_byte_shards": OP5, "op6_line_dedup": OP6, "op10_decontamination": OP10}
