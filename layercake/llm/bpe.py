@@ -195,14 +195,15 @@ def decode(tokens: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     )
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """Counts and digests of encoded and decoded documents."""
+def digests(decoded: DataFrame, keep_ids: bool = False) -> DataFrame:
+    """``doc_id``, ``n_tokens`` and digests of encoded and decoded documents, with ``ids`` where asked for."""
     ids = F.coalesce(F.col("ids"), F.array().cast("array<int>"))
     return decoded.select(
         "doc_id",
         F.size(ids).cast("long").alias("n_tokens"),
         F.sha2(F.array_join(ids.cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *([ids.alias("ids")] if keep_ids else []),
     )
 
 

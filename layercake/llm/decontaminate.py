@@ -138,6 +138,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) ->
     )
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that hold no window of the benchmark."""
+    hits, _ = occurrences(docs, windows(benchmark, width))
+    hit = hits.select(F.col("doc_id").alias("_hit_id"), F.col("k").alias("_hit_k")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_hit_id")) & (F.xxhash64("text") == F.col("_hit_k"))
+    return docs.join(hit, same, "left_anti")
+
+
 def _join_null_safe(left: DataFrame, right: DataFrame) -> DataFrame:
     right = right.withColumnsRenamed({"doc_id": "right_id", "k": "right_k"})
     same = F.col("doc_id").eqNullSafe(F.col("right_id")) & (F.col("k") == F.col("right_k"))
