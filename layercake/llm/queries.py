@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layercake.llm import bpe, decontaminate, line_runs, lsh_forest, quality, shards
+from layercake.llm import bpe, decontaminate, line_runs, lsh_forest, pivots, quality, shards
 from layercake.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op1_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"), width=4)
 
 
+def op2_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -48,5 +52,5 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     query.__name__: query
-    for query in (op1_lsh_forest, op3_quality, op5_byte_shards, op6_line_dedup, op8_byte_bpe, op10_decontamination)
+    for query in (op1_lsh_forest, op2_pivot_index, op3_quality, op5_byte_shards, op6_line_dedup, op8_byte_bpe, op10_decontamination)
 }
