@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layercake.llm import bpe, decontaminate, line_runs, lsh_forest, pivots, quality, shards
-from layercake.llm.common import table
+from layercake.llm import (
+    bpe, decontaminate, language, line_runs, lm_scoring, lsh_forest, pivots, quality, shards, token_counts,
+)
+from layercake.llm.common import settle, table
 
 
 def op1_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +23,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op5_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shards.shard_by_bytes(table(spark, sf_dir, "documents"))
     return placed.select(
@@ -37,11 +43,32 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after first guesses, counts in parts, a part sent twice, and a part withdrawn and restored."""
+    docs = table(spark, sf_dir, "documents")
+    counts = settle(
+        token_counts.count_tokens(docs, bpe.read_vocabulary(), "byte_bpe_multi_50k"), "token-counts"
+    ).withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(3)))
+    rollup = token_counts.Rollup(spark, dict(docs.dtypes)["doc_id"])
+    part = [counts.filter(F.col("part") == i) for i in range(3)]
+    rollup.commit("guesses", part[0].withColumn("n_tokens", F.ceil(F.col("n_bytes") / 4)))
+    for i in (0, 1, 1, 2):
+        rollup.commit(f"counts-{i}", part[i])
+    rollup.commit("withdrawn", gone=part[2])
+    rollup.commit("restored", part[2])
+    return rollup.totals()
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.read_vocabulary()
     return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), vocabulary), vocabulary))
 
 
+def op9_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = table(spark, sf_dir, "labels").filter("quality = 1 AND toxic = 0")
+    return lm_scoring.cross_entropy_difference(table(spark, sf_dir, "documents"), good)
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -52,5 +79,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     query.__name__: query
-    for query in (op1_lsh_forest, op2_pivot_index, op3_quality, op5_byte_shards, op6_line_dedup, op8_byte_bpe, op10_decontamination)
+    for query in (
+        op1_lsh_forest, op2_pivot_index, op3_quality, op4_language_fusion, op5_byte_shards, op6_line_dedup,
+        op7_token_rollup, op8_byte_bpe, op9_cross_entropy_difference, op10_decontamination,
+    )
 }
