@@ -145,7 +145,7 @@ def regions(nodes: DataFrame, region: int = REGION) -> DataFrame:
         return rows
     dealt = dense.withColumn("parts", F.ceil(F.col("n") / (region / 2)).cast("int"))
     part = F.when(F.col("parts").isNull(), F.col("key")).otherwise(
-        F.xxhash64("key", F.pmod(F.xxhash64("node"), F.col("parts")))
+        F.xxhash64("key", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     )
     own = rows.join(dealt.select("tree", "key", "parts"), ["tree", "key"], "left").select(
         "node", "sketch", "tree", part.alias("key")

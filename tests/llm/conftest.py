@@ -1,0 +1,22 @@
+import pytest
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars int"
+
+
+@pytest.fixture(scope="session")
+def make(spark):
+    """Documents from (doc_id, text) pairs, with the other columns of the table and one of a clashing name."""
+
+    def build(rows):
+        full = [(i, text, "en", "s", len(text) if text is not None else None) for i, text in rows]
+        return spark.createDataFrame(full, DOCS).repartition(3)
+
+    return build
+
+
+def by_id(df, *columns):
+    """Rows of a result by their first column, repeated ids in a list."""
+    out = {}
+    for row in df.select("*").collect():
+        out.setdefault(row[0], []).append(tuple(row[c] for c in columns) if len(columns) > 1 else row[columns[0]])
+    return {key: values[0] if len(values) == 1 else sorted(values) for key, values in out.items()}
