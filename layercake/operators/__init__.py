@@ -16,6 +16,8 @@ from layercake.operators.incremental import (
     new_rows,
     reconcile,
     upsert,
+    read_upserted,
+    replace_path,
     upsert_path,
 )
 from layercake.operators.joins import (
@@ -39,5 +41,5 @@ __all__ = [
     "feed_summary", "first_by", "grouped_median", "grouped_mode", "high_water_mark", "keep_latest",
     "lag_growth", "left_join_where_left", "load_json_docs", "lookup_key", "new_rows",
     "partition_avg", "rank_by", "rank_by_pieces", "reconcile", "replace_docs", "rolling_avg",
-    "settle", "small_side", "upsert", "upsert_path", "validate_document",
+    "settle", "small_side", "upsert", "read_upserted", "replace_path", "upsert_path", "validate_document",
 ]

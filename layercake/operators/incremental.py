@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layercake.operators.settle import settle
+from layercake.sources.versions import VersionedTable, folder_of
 
 
 class SchemaChanged(ValueError):
@@ -81,11 +81,9 @@ def upsert(
     return kept.select(*batch.columns).unionByName(batch)
 
 
-def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+def read_upserted(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table that ``upsert_path`` keeps under ``path``; None if there is none yet."""
+    return VersionedTable(spark, path).read()
 
 
 def upsert_path(
@@ -94,50 +92,44 @@ def upsert_path(
     key: str,
     on_schema_change: str = "fail",
     partition_by: str | None = None,
+    key_decides_partition: bool = False,
+    properties: dict[str, int] | None = None,
 ) -> None:
-    """Upsert a batch into a parquet table.
+    """Upsert a batch into the versioned table under ``path`` (read it with ``read_upserted``).
 
-    With ``partition_by`` only partitions that receive rows or hold a replaced key are rewritten;
-    the others are not read beyond the key column. The new content is settled in the shared folder
-    first and then written over in one commit, so a run that dies can be repeated: the same batch
-    gives the same table. Under ``sync`` a changed schema rewrites the whole table.
+    Only partitions that receive rows or hold a replaced key are rewritten, into new folders; the next version
+    takes the others over as they are. A run that dies leaves the last version, and repeating a batch gives the
+    same table. Replaced keys are looked up between the smallest and the largest key of the batch, which the
+    scan skips files by; not at all where the key decides the partition. Under ``sync`` old rows of
+    other partitions show new columns as NULL; a changed type rewrites the whole table.
     """
     spark = batch.sparkSession
+    table = VersionedTable(spark, path)
     batch = settle(batch, "batch")
     _require_unique(batch, key)
-    target = _read_if_there(spark, path)
-    writer_options = {"partitionOverwriteMode": "dynamic"} if partition_by else {}
-
-    def write(df: DataFrame) -> None:
-        writer = df.write.mode("overwrite").options(**writer_options)
-        (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
-
-    if target is None:
-        write(batch)
-        return
-    same_schema = {f.name: f.dataType for f in target.schema.fields} == {
-        f.name: f.dataType for f in batch.schema.fields
-    }
-    if partition_by and same_schema:
-        replaced = target.select(partition_by, key).join(batch.select(key), key, "left_semi")
-        touched = replaced.select(partition_by).union(batch.select(partition_by)).distinct()
-        # One value per touched partition: as many as the table has directories, at most.
-        values = [r[0] for r in touched.collect()]
-        target = target.where(F.col(partition_by).isin(values))
-        emptied = settle(upsert(target, batch, key, on_schema_change, check_keys=False), "upsert")
-        write(emptied)
-        left = {r[0] for r in emptied.select(partition_by).distinct().collect()}
-        gone = [v for v in values if v not in left]
-        if gone:
-            _drop_partitions(spark, path, partition_by, gone)
+    before = table.latest()
+    if before is None:
+        table.commit(batch, partition_by, None, properties=properties)
         return
-    merged = settle(upsert(target, batch, key, on_schema_change, check_keys=False), "upsert")
-    writer_options = {"partitionOverwriteMode": "static"} if partition_by else {}
-    write(merged)
-
-
-def _drop_partitions(spark: SparkSession, path: str, column: str, values: list[Any]) -> None:
-    """Empty partitions whose every row moved elsewhere, by an overwrite without rows."""
-    for value in values:
-        empty = spark.read.parquet(path).where(F.lit(False)).drop(column)
-        empty.write.mode("overwrite").parquet(f"{path}/{column}={value}")
+    old = {f.name: f.dataType for f in before.schema.fields}
+    same_types = all(old.get(f.name, f.dataType) == f.dataType for f in batch.schema.fields)
+    touched = None
+    if partition_by and partition_by in old and same_types:
+        # Folder names: no more than the table has folders and the batch has partitions.
+        names = batch.select(folder_of(F.col(partition_by)).alias("folder"))
+        if not key_decides_partition:
+            low, high = batch.agg(F.min(key), F.max(key)).first()
+            there = table.rows(before).select(key, folder_of(F.col(partition_by)).alias("folder"))
+            there = there.where(F.col(key).between(F.lit(low), F.lit(high)) | F.col(key).isNull())
+            names = names.union(there.join(batch.select(key), key, "left_semi").select("folder"))
+        touched = {row[0] for row in names.distinct().collect()}
+    merged = upsert(table.rows(before, touched), batch, key, on_schema_change, check_keys=False)
+    table.commit(merged, partition_by, before, touched)
+
+
+def replace_path(
+    rows: DataFrame, path: str, partition_by: str | None = None, properties: dict[str, int] | None = None
+) -> None:
+    """Make ``rows`` the whole versioned table under ``path``."""
+    table = VersionedTable(rows.sparkSession, path)
+    table.commit(rows, partition_by, table.latest(), properties=properties)

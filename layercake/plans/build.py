@@ -11,15 +11,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layercake import rules
-from layercake.operators.incremental import new_rows, upsert_path
+from layercake.operators.incremental import new_rows, read_upserted, replace_path, upsert_path
 from layercake.operators.settle import settle
 from layercake.plans import analytics, calendar, dimensions, facts, intermediate, staging
 from layercake.plans.dimensions import key_table
 from layercake.plans.run import Run
 from layercake.sources.sinks import layer_name, write_table
+from layercake.sources.versions import VersionedTable
 
 DEFAULT_SCHEMA = "default"
-_DETAIL_IDS_PER_PART = 10_000_000
+_LEAST_IDS_PER_PART, _PARTS = 10_000_000, 500
 
 
 @dataclass(frozen=True)
@@ -31,7 +32,8 @@ class Incremental:
     source_col: str
     target_col: str
     policy: str
-    part: Callable[[str], Column]
+    part: Callable[[str, int], Column]
+    by_key: bool = False  # the partition is a function of the key
 
 
 @dataclass(frozen=True)
@@ -44,13 +46,13 @@ class Model:
     grows: Incremental | None = field(default=None)
 
 
-def _day_number(column: str) -> Callable[[str], Column]:
+def _day_number(column: str) -> Callable[[str, int], Column]:
     patterns = {"day": "yyyyMMdd", "month": "yyyyMM", "year": "yyyy"}
-    return lambda grain: F.date_format(column, patterns[grain]).cast("int")
+    return lambda grain, _: F.date_format(column, patterns[grain]).cast("int")
 
 
-def _id_range(column: str) -> Callable[[str], Column]:
-    return lambda grain: F.floor(F.col(column) / _DETAIL_IDS_PER_PART).cast("int")
+def _id_range(column: str) -> Callable[[str, int], Column]:
+    return lambda _, width: F.floor(F.col(column) / width).cast("int")
 
 
 def _staged(*extra: str) -> frozenset[str]:
@@ -71,14 +73,14 @@ _HEADERS = Incremental(
 )
 _DETAILS = Incremental(
     "order_detail_id", "order_detail", "order_detail_id", "order_detail_id", "fail",
-    _id_range("order_detail_id"),
+    _id_range("order_detail_id"), by_key=True,
 )
 _ORDERS = Incremental(
     "order_id", "int_orders_enriched", "updated_ts", "updated_ts", "sync", _day_number("order_timestamp")
 )
 _LINES = Incremental(
     "order_detail_id", "stg_pos_order_details", "updated_ts", "updated_ts", "sync",
-    _id_range("order_detail_id"),
+    _id_range("order_detail_id"), by_key=True,
 )
 
 # In build order: every model follows its inputs. Names, layers, tags, keys.
@@ -231,11 +233,17 @@ def _location(base: str, name: str) -> str:
     return f"{base}/{layer_name(MODELS[name].layer, DEFAULT_SCHEMA)}/{name}"
 
 
-def _existing(spark: SparkSession, path: str) -> DataFrame | None:
+def _existing(spark: SparkSession, name: str, path: str) -> DataFrame | None:
+    """What an earlier build left, None if nothing is there; a table that cannot be read is an error."""
+    if MODELS[name].grows is not None:
+        table = read_upserted(spark, path)
+        return None if table is None else table.drop("_part")
     try:
-        return spark.read.parquet(path).drop("_part")
-    except AnalysisException:
-        return None
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def _materialize(layers: Layers, name: str, base: str, full_refresh: bool, grain: str) -> DataFrame:
@@ -245,16 +253,27 @@ def _materialize(layers: Layers, name: str, base: str, full_refresh: bool, grain
     if model.grows is None:
         return write_table(layers.compose(name), path)
     grows = model.grows
-    target = None if full_refresh else _existing(spark, path)
+    target = None if full_refresh else _existing(spark, name, path)
     fresh = new_rows(layers[grows.source], target, grows.source_col, grows.target_col)
-    batch = layers.compose(name, {grows.source: fresh}).withColumn("_part", grows.part(grain))
+    batch = layers.compose(name, {grows.source: fresh})
+    width = 1
+    if grows.by_key:
+        before = VersionedTable(spark, path).latest() if target is not None else None
+        width = before.properties["width"] if before else _id_width(batch, grows.key)
+    batch = batch.withColumn("_part", grows.part(grain, width))
     # Evens out the files of a partition without putting a large day into one task.
     batch = batch.hint("rebalance", "_part")
     if target is None:
-        write_table(batch, path, partition_by=["_part"])
+        replace_path(batch, path, "_part", {"width": width})
     else:
-        upsert_path(batch, path, grows.key, grows.policy, partition_by="_part")
-    return spark.read.parquet(path).drop("_part")
+        upsert_path(batch, path, grows.key, grows.policy, "_part", grows.by_key)
+    return read_upserted(spark, path).drop("_part")
+
+
+def _id_width(batch: DataFrame, key: str) -> int:
+    """Ids of one partition: so many that the first load has some hundred partitions, ten million at least."""
+    low, high = batch.agg(F.min(key), F.max(key)).first()
+    return max(_LEAST_IDS_PER_PART, ((high or 0) - (low or 0)) // _PARTS + 1)
 
 
 def build(
@@ -284,7 +303,7 @@ def build(
     selected = select(tags)
     for name, model in MODELS.items():
         if name not in selected and model.kind != "view":
-            built = _existing(spark, _location(base, name))
+            built = _existing(spark, name, _location(base, name))
             if built is not None:
                 layers[name] = built
     done: dict[str, DataFrame] = {}

@@ -422,7 +422,7 @@ def incremental_table(spark: SparkSession, directory: str) -> DataFrame:
     path = shared_dir(spark, "orders")
     for batch in (orders, _batch(orders), _batch(orders)):
         ops.upsert_path(batch, path, "o_orderkey", partition_by="part")
-    return spark.read.parquet(path).select(*ORDER_COLUMNS)
+    return ops.read_upserted(spark, path).select(*ORDER_COLUMNS)
 
 
 def stream_upsert(spark: SparkSession, directory: str) -> DataFrame:
@@ -438,7 +438,7 @@ def stream_upsert(spark: SparkSession, directory: str) -> DataFrame:
     upsert_stream(
         stream, clean, f"{path}/table", "order_id", f"{path}/checkpoint", partition_by="part"
     ).awaitTermination()
-    return spark.read.parquet(f"{path}/table")
+    return ops.read_upserted(spark, f"{path}/table")
 
 
 def schema_sync(spark: SparkSession, directory: str) -> DataFrame:

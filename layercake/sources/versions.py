@@ -1,0 +1,139 @@
+"""Tables that change by whole versions: a change that fails halfway leaves the table as it was.
+
+Data folders are only ever added. A version is a small numbered file that lists the folders which make up the
+table, with its schema; it is written under another name and moved into place last, and a version that exists
+is never replaced. Readers take the newest. What failed runs leave behind is in no version and is removed
+by ``vacuum``.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+# Folder column; the partition column itself stays in the data, with its type.
+_FOLDER = "_folder"
+
+
+class VersionConflict(RuntimeError):
+    """Another writer has committed the same version first."""
+
+
+@dataclass(frozen=True)
+class Version:
+    number: int
+    schema: StructType
+    folders: dict[str, str]  # folder name: place below the table
+    properties: dict[str, int] = field(default_factory=dict)
+
+
+def folder_of(partition: Column) -> Column:
+    """A safe folder name for a partition value; NULL has a folder like any other value.
+
+    Values whose names agree share a folder, which does no harm: the value itself is in the rows.
+    """
+    text = partition.cast("string")
+    safe = F.concat(F.lit("v-"), F.regexp_replace(text, "[^A-Za-z0-9_-]", "_"), F.lit("-"), F.hex(F.crc32(text)))
+    return F.coalesce(safe, F.lit("null"))
+
+
+class VersionedTable:
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path.rstrip("/")
+        self._place = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        self._files = self._place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def latest(self) -> Version | None:
+        """None only if there is no version at all; any other trouble is raised."""
+        found = self._names("_versions")
+        numbers = [int(name.removesuffix(".json")) for name in found if name.endswith(".json") and name[0] != "_"]
+        if not numbers:
+            return None
+        text = "\n".join(r[0] for r in self.spark.read.text(self._version(max(numbers)), wholetext=True).collect())
+        held = json.loads(text)
+        return Version(max(numbers), StructType.fromJson(held["schema"]), held["folders"], held["properties"])
+
+    def read(self, only: set[str] | None = None) -> DataFrame | None:
+        """The newest version, or only some of its folders; None if there is none."""
+        version = self.latest()
+        return None if version is None else self.rows(version, only)
+
+    def rows(self, version: Version, only: set[str] | None = None) -> DataFrame:
+        places = [f"{self.path}/{p}" for name, p in version.folders.items() if only is None or name in only]
+        if not places:
+            return self.spark.createDataFrame([], version.schema)
+        return self.spark.read.schema(version.schema).parquet(*places)
+
+    def commit(
+        self,
+        rows: DataFrame,
+        partition_by: str | None,
+        before: Version | None,
+        replaced: set[str] | None = None,
+        properties: dict[str, int] | None = None,
+    ) -> Version:
+        """Write ``rows`` and make them the table, beside the folders of ``before`` that are not ``replaced``.
+
+        ``replaced=None`` replaces all folders.
+        """
+        stem = f"data/{uuid.uuid4().hex}"
+        if partition_by is None:
+            rows.write.parquet(f"{self.path}/{stem}")
+            written = {"all": stem}
+        else:
+            rows.withColumn(_FOLDER, folder_of(F.col(partition_by))).write.partitionBy(_FOLDER).parquet(
+                f"{self.path}/{stem}"
+            )
+            mark = f"{_FOLDER}="
+            written = {n.removeprefix(mark): f"{stem}/{n}" for n in self._names(stem) if n.startswith(mark)}
+        kept = {} if before is None or replaced is None else {
+            name: place for name, place in before.folders.items() if name not in replaced
+        }
+        version = Version(
+            0 if before is None else before.number + 1, rows.schema, {**kept, **written},
+            properties or (before.properties if before else {}),
+        )
+        self._publish(version)
+        return version
+
+    def vacuum(self) -> list[str]:
+        """Remove data folders that the newest version does not use; only while nobody reads or writes."""
+        version = self.latest()
+        if version is None:
+            return []
+        used = {place.split("/")[1] for place in version.folders.values()}
+        gone = [name for name in self._names("data") if name not in used]
+        for name in gone:
+            self._files.delete(self._at(f"data/{name}"), True)
+        return gone
+
+    def _publish(self, version: Version) -> None:
+        text = json.dumps({
+            "schema": version.schema.jsonValue(), "folders": version.folders, "properties": version.properties,
+        })
+        aside = self._at(f"_versions/_{uuid.uuid4().hex}")
+        out = self._files.create(aside, False)
+        try:
+            out.write(text.encode())
+        finally:
+            out.close()
+        final = self.spark._jvm.org.apache.hadoop.fs.Path(self._version(version.number))
+        if self._files.exists(final) or not self._files.rename(aside, final):
+            raise VersionConflict(f"version {version.number} of {self.path} is there already")
+
+    def _version(self, number: int) -> str:
+        return f"{self.path}/_versions/{number:08d}.json"
+
+    def _at(self, place: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(self._place, place)
+
+    def _names(self, place: str) -> list[str]:
+        at = self._at(place)
+        if not self._files.exists(at):
+            return []
+        return sorted(status.getPath().getName() for status in self._files.listStatus(at))

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from layercake.operators.incremental import new_rows, upsert_path
+from layercake.operators.incremental import new_rows, read_upserted, upsert_path
 
 
 def file_stream(
@@ -35,17 +34,14 @@ def upsert_stream(
 ) -> StreamingQuery:
     """Take what is there, upsert it, stop. Started again, it goes on after the last batch.
 
-    A batch that is repeated after a failure gives the same table, as its keys are replaced. With
-    ``mark`` (source column, target column) rows at or below the target's high-water mark are
-    ignored, as in the batch load; a repeated batch must then not have been written in part, so
-    leave it out where the table is partitioned.
+    A batch is written as one version, so one that is repeated after a failure finds the table as it was, or
+    replaces the same keys. With ``mark`` (source column, target column) rows at or below the target's
+    high-water mark are ignored, as in the batch load.
     """
-    if mark is not None and partition_by is not None:
-        raise ValueError("a mark needs a table that is written in one commit")
 
     def apply(batch: DataFrame, _: int) -> None:
         if mark is not None:
-            batch = new_rows(batch, _table(batch.sparkSession, path), *mark)
+            batch = new_rows(batch, read_upserted(batch.sparkSession, path), *mark)
         upsert_path(transform(batch), path, key, on_schema_change, partition_by)
 
     return (
@@ -55,9 +51,3 @@ def upsert_stream(
         .start()
     )
 
-
-def _table(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None

@@ -11,6 +11,7 @@ from layercake.plans import Run
 from layercake.plans.build import MODELS, GateFailed, Layers, build, select
 from layercake.plans.staging import stg_pos_order_headers
 from layercake.sources import raw_tables
+from layercake.operators import read_upserted
 from layercake.streaming import file_stream, upsert_stream
 
 CALENDAR = {"calendar_start": "1995-01-01", "calendar_end": "2002-01-01", "grain": "year"}
@@ -132,4 +133,4 @@ def test_stream_in_small_batches_equals_the_batch_model(spark, tmp_path, run, ma
         query = upsert_stream(stream, clean, target, "order_id", checkpoint,
                               partition_by=None if mark else "part", mark=mark)
         query.awaitTermination()
-    assert plain(spark.read.parquet(target)) == plain(stg_pos_order_headers(raw, run))
+    assert plain(read_upserted(spark, target)) == plain(stg_pos_order_headers(raw, run))

@@ -200,7 +200,7 @@ def test_upsert_path_moves_keys_between_partitions(spark, tmp_path):
     batch = spark.createDataFrame([(2, "moved", 3), (4, "new", 4)], schema)
     for _ in range(2):
         ops.upsert_path(batch, path, "k", partition_by="p")
-    got = rows(spark.read.parquet(path).select("k", "v", "p"), "k")
+    got = rows(ops.read_upserted(spark, path).select("k", "v", "p"), "k")
     assert got == [(1, "a", 1), (2, "moved", 3), (3, "c", 3), (4, "new", 4)]
 
 
@@ -208,7 +208,7 @@ def test_upsert_path_sync_rewrites_the_table(spark, tmp_path):
     path = str(tmp_path / "t")
     ops.upsert_path(spark.createDataFrame([(1, "a", 1)], "k int, v string, p int"), path, "k", "sync", "p")
     ops.upsert_path(spark.createDataFrame([(2, 9, 2)], "k int, w int, p int"), path, "k", "sync", "p")
-    assert rows(spark.read.parquet(path).select("k", "w", "p"), "k") == [(1, None, 1), (2, 9, 2)]
+    assert rows(ops.read_upserted(spark, path).select("k", "w", "p"), "k") == [(1, None, 1), (2, 9, 2)]
 
 
 DOCS = {
@@ -263,3 +263,67 @@ def test_replaced_documents(docs):
     again = docs.where("feed_name = 'notasks'").withColumn("loaded_at", F.lit(datetime(2025, 1, 1)))
     merged = ops.replace_docs(docs, again)
     assert merged.count() == 5 and merged.where("loaded_at > '2024-06-01'").count() == 1
+
+
+# ---------------------------------------------------------------------- upserts that fail or have odd partitions
+
+
+def test_upsert_keeps_a_partition_with_a_null_value(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "k int, p int"
+    ops.upsert_path(spark.createDataFrame([(1, None), (2, 7)], schema), path, "k", partition_by="p")
+    for _ in range(2):
+        ops.upsert_path(spark.createDataFrame([(3, None)], schema), path, "k", partition_by="p")
+    assert rows(ops.read_upserted(spark, path), "k") == [(1, None), (2, 7), (3, None)]
+
+
+@pytest.mark.parametrize("by", [None, "p"])
+@pytest.mark.parametrize("fails", ["_publish", "commit"])
+def test_upsert_that_fails_leaves_the_table_and_can_be_repeated(spark, tmp_path, monkeypatch, by, fails):
+    from layercake.sources.versions import VersionedTable
+
+    path, schema = str(tmp_path / "t"), "k int, p int"
+    ops.upsert_path(spark.createDataFrame([(1, 1), (2, 2)], schema), path, "k", partition_by=by)
+    batch = spark.createDataFrame([(3, 1), (2, 1)], schema)
+
+    def broken(*_, **__):
+        raise OSError("the disk is full")
+
+    with monkeypatch.context() as patched, pytest.raises(OSError, match="full"):
+        patched.setattr(VersionedTable, fails, broken)
+        ops.upsert_path(batch, path, "k", partition_by=by)
+    assert rows(ops.read_upserted(spark, path), "k") == [(1, 1), (2, 2)]
+    ops.upsert_path(batch, path, "k", partition_by=by)
+    assert rows(ops.read_upserted(spark, path), "k") == [(1, 1), (2, 1), (3, 1)]
+    table = VersionedTable(spark, path)
+    assert table.vacuum() and rows(table.read(), "k") == [(1, 1), (2, 1), (3, 1)]
+
+
+def test_upsert_keeps_text_partitions_as_they_are(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "k int, p string"
+    ops.upsert_path(spark.createDataFrame([(1, "007"), (2, "a/b=c")], schema), path, "k", partition_by="p")
+    ops.upsert_path(spark.createDataFrame([(3, "007"), (4, "")], schema), path, "k", partition_by="p")
+    assert rows(ops.read_upserted(spark, path), "k") == [(1, "007"), (2, "a/b=c"), (3, "007"), (4, "")]
+
+
+def test_upsert_of_a_key_that_decides_the_partition_needs_no_look_up(spark, tmp_path, monkeypatch):
+    from layercake.sources.versions import VersionedTable
+
+    path, schema, read = str(tmp_path / "t"), "k int, p int", []
+    ops.upsert_path(spark.createDataFrame([(1, 0), (11, 1)], schema), path, "k", partition_by="p")
+    plain_rows = VersionedTable.rows
+    monkeypatch.setattr(VersionedTable, "rows", lambda self, v, only=None: read.append(only) or plain_rows(self, v, only))
+    ops.upsert_path(spark.createDataFrame([(12, 1)], schema), path, "k", partition_by="p", key_decides_partition=True)
+    assert len(read) == 1 and len(read[0]) == 1
+    monkeypatch.undo()
+    assert rows(ops.read_upserted(spark, path), "k") == [(1, 0), (11, 1), (12, 1)]
+
+
+def test_two_writers_of_one_version_conflict(spark, tmp_path):
+    from layercake.sources.versions import VersionConflict, VersionedTable
+
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    first = table.commit(spark.range(3), None, None)
+    table.commit(spark.range(4), None, first)
+    with pytest.raises(VersionConflict):
+        table.commit(spark.range(5), None, first)
+    assert table.read().count() == 4
