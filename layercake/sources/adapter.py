@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Columns of the data set that are used, so that opening a table needs no look into its files.
@@ -47,9 +47,12 @@ def _share(factor: str) -> str:
     )
 
 
+# Line numbers repeat within an order, so every row of the table is numbered within its order. Rows that
+# agree in these columns are the same line to all that follows.
+_LINE_ORDER = ("l_linenumber", "l_partkey", "l_quantity", "l_discount")
 LINES = (
-    "SELECT l_orderkey, l_linenumber, MAX(l_partkey) AS pk, MAX(CAST(l_quantity AS INT)) AS q, "
-    "MAX(l_discount) AS d FROM lineitem GROUP BY l_orderkey, l_linenumber"
+    "SELECT l_orderkey, l_linenumber, l_partkey AS pk, CAST(l_quantity AS INT) AS q, l_discount AS d, "
+    f"ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(_LINE_ORDER)}) AS nth FROM lineitem"
 )
 
 # raw table: (table it comes from, {column: expression})
@@ -169,7 +172,7 @@ MAPPING: dict[str, tuple[str, dict[str, str]]] = {
                        "ELSE 0.0108 END AS DECIMAL(6,4)) AS DECIMAL(18,4))",
     }),
     "order_detail": ("lines", {
-        "order_detail_id": "l_orderkey * 10 + l_linenumber",
+        "order_detail_id": "l_orderkey * 1000 + nth",
         "order_id": "l_orderkey",
         "menu_item_id": "pk",
         "discount_id": "CASE WHEN d > 0.05 THEN 'D2' ELSE ' ' END",
@@ -207,13 +210,14 @@ class RawTables(Mapping):
         return base_table(self._spark, self._directory, name)
 
     def _lines(self) -> DataFrame:
-        per_line = self._read("lineitem").groupBy("l_orderkey", "l_linenumber").agg(
-            F.max("l_partkey").alias("pk"),
-            F.max(F.col("l_quantity").cast("int")).alias("q"),
-            F.max("l_discount").alias("d"),
+        in_order = Window.partitionBy("l_orderkey").orderBy(*_LINE_ORDER)
+        lines = self._read("lineitem").select(
+            "l_orderkey", "l_linenumber", F.col("l_partkey").alias("pk"), F.col("l_quantity").cast("int").alias("q"),
+            F.col("l_discount").alias("d"), F.row_number().over(in_order).alias("nth"),
         )
+        # A line of an unknown part stays, without a price.
         parts = self._read("part").select(F.col("p_partkey").alias("pk"), "p_size")
-        return per_line.join(parts, "pk")
+        return lines.join(parts, "pk", "left")
 
     def __getitem__(self, table: str) -> DataFrame:
         if table not in self._tables:

@@ -128,7 +128,7 @@ def _interval(expression: str) -> str:
 def raw_cte(table: str) -> str:
     base, columns = MAPPING[table]
     if base == "lines":
-        base = f"({LINES}) l JOIN part p ON p.p_partkey = l.pk"
+        base = f"({LINES}) l LEFT JOIN part p ON p.p_partkey = l.pk"
     return "SELECT " + ", ".join(f"{_interval(e)} AS {c}" for c, e in columns.items()) + f" FROM {base}"
 
 
