@@ -1,8 +1,6 @@
 """Column functions. Everything here is a Catalyst expression; there are no Python UDFs."""
 
 from layercake.functions.aggregates import (
-    count_keys,
-    count_members,
     det_mode,
     distinct_list,
     exact_median,
@@ -33,7 +31,7 @@ from layercake.functions.keys import surrogate_key
 
 __all__ = [
     "as_variant", "band", "between_band", "clamp", "classify", "clean_email", "clean_name", "code",
-    "contains_any", "count_keys", "count_members", "det_mode", "digits", "distinct_list", "dow0", "exact_median",
+    "contains_any", "det_mode", "digits", "distinct_list", "dow0", "exact_median",
     "first_match", "flag", "full_name", "keyword_class", "mean", "minute_of_day", "minutes_between", "month_of",
     "non_blank", "normalize", "peak_of", "safe_pct", "safe_ratio", "strict_cast", "surrogate_key",
     "variant_field", "variant_flag", "years_between",

@@ -14,32 +14,6 @@ def mean(column: Column) -> Column:
     return F.sum(column).cast("double") / F.nullif(F.count(column), F.lit(0))
 
 
-def count_keys(key: Column, where: Column | None = None, unique: bool = False) -> Column:
-    """Distinct keys for which ``where`` holds.
-
-    With ``unique`` (one row per key, as in a fact table kept by upsert) the count is a plain
-    conditional sum, so that many of them share one aggregation without multiplying the rows.
-    """
-    if where is not None:
-        key = F.when(where, key)
-    return F.count(key) if unique else F.countDistinct(key)
-
-
-# A set of this many keys is a buffer of some hundred kilobytes.
-SET_KEYS = 10_000
-
-
-def count_members(column: Column, members: int | None) -> Column:
-    """Distinct keys of a dimension that has ``members`` rows (None if that is not known).
-
-    With few members a set per group is small, and it saves the extra copy of every row that Spark
-    makes for each distinct count beside others. With many, it is a distinct count.
-    """
-    if members is not None and members <= SET_KEYS:
-        return F.size(F.collect_set(column)).cast("long")
-    return F.countDistinct(column)
-
-
 def distinct_list(column: Column, sep: str = ", ") -> Column:
     """Sorted distinct values joined to one text, NULL for no values.
 

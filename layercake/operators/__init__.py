@@ -1,6 +1,6 @@
 """Relational operators on DataFrames."""
 
-from layercake.operators.counts import conditional_counts, grouped_median, grouped_mode
+from layercake.operators.counts import conditional_counts, grouped_median, grouped_mode, key_flags, weighted_mode
 from layercake.operators.dedupe import keep_latest
 from layercake.operators.documents import (
     dependency_filter,
@@ -21,10 +21,8 @@ from layercake.operators.incremental import (
     upsert_path,
 )
 from layercake.operators.joins import (
-    bounded_count,
     left_join_where_left,
     lookup_key,
-    small_side,
 )
 from layercake.operators.settle import settle
 from layercake.operators.windows import (
@@ -37,9 +35,10 @@ from layercake.operators.windows import (
 )
 
 __all__ = [
-    "bounded_count", "conditional_counts", "dependency_filter", "explode_items", "feed_items",
-    "feed_summary", "first_by", "grouped_median", "grouped_mode", "high_water_mark", "keep_latest",
+    "conditional_counts", "dependency_filter", "explode_items", "feed_items",
+    "feed_summary", "first_by", "grouped_median", "grouped_mode", "high_water_mark", "keep_latest", "key_flags",
     "lag_growth", "left_join_where_left", "load_json_docs", "lookup_key", "new_rows",
     "partition_avg", "rank_by", "rank_by_pieces", "reconcile", "replace_docs", "rolling_avg",
-    "settle", "small_side", "upsert", "read_upserted", "replace_path", "upsert_path", "validate_document",
+    "settle", "upsert", "read_upserted", "replace_path", "upsert_path", "validate_document",
+    "weighted_mode",
 ]

@@ -48,6 +48,29 @@ def conditional_counts(
     )
 
 
+def key_flags(
+    df: DataFrame, by: Sequence[str], key: str, conditions: Mapping[str, Column | None]
+) -> DataFrame:
+    """Add a column per condition whose sum over a group is its number of distinct keys that meet it.
+
+    It is 1 on one row of every (group, key) of which any row meets the condition, else 0, so plain sums
+    of all rows and any number of conditional distinct counts share one aggregation. NULL keys count
+    for nothing. Rows meet by (group, key), so no task holds more than the rows of one key.
+    """
+    same = Window.partitionBy(*by, key)
+    once = (F.row_number().over(same.orderBy(key)) == 1) & F.col(key).isNotNull()
+    flags = {}
+    for name, condition in conditions.items():
+        any_row = F.lit(1) if condition is None else F.max(F.when(condition, 1).otherwise(0)).over(same)
+        flags[name] = F.when(once, any_row).otherwise(0)
+    return df.withColumns(flags)
+
+
+def weighted_mode(value: Column, weight: Column) -> Column:
+    """Value with the largest weight, the smallest among equals; each row brings the whole weight of its value."""
+    return F.min_by(value, F.when(value.isNotNull(), F.struct(-weight, value)))
+
+
 def grouped_mode(df: DataFrame, by: Sequence[str], column: str, name: str) -> DataFrame:
     """Most frequent value per group, the smallest among equals; NULLs are not counted.
 

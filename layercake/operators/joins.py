@@ -5,22 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only after this many rows at most have been counted in it. The sides used
-# here are a few narrow columns, so the bound is some tens of megabytes.
-BROADCAST_ROWS = 400_000
-
-
-def bounded_count(df: DataFrame, limit: int = BROADCAST_ROWS) -> int | None:
-    """Number of rows if it is at most ``limit``, else None; counting stops at the limit."""
-    rows = df.limit(limit + 1).count()
-    return rows if rows <= limit else None
-
-
-def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if its counted size allows, else unchanged (shuffle join)."""
-    return df if bounded_count(df, limit) is None else F.broadcast(df)
-
-
 def lookup_key(
     df: DataFrame,
     dim: DataFrame,
@@ -29,23 +13,20 @@ def lookup_key(
     key: str,
     unknown: str | int,
     carry: tuple[str, ...] = (),
-    small: bool = True,
     spread_by: str | None = None,
     alias: str | None = None,
 ) -> DataFrame:
     """Add the dimension's key (and the ``carry`` columns); rows without a match get ``unknown``.
 
-    ``small``: broadcast the dimension if a count of its rows allows. For large dimensions pass
-    ``small=False`` and ``spread_by``, a column of ``df`` that is well spread: NULL keys, which
-    can match nothing, are then distributed by it instead of meeting in one partition. Hot keys
-    that do match are split at run time (adaptive skew join), as the dimension has one row each.
+    The join is planned at run time by the dimension's bytes. For large dimensions pass ``spread_by``, a
+    column of ``df`` that is well spread: NULL keys, which can match nothing, are then distributed by it
+    instead of meeting in one partition. Hot keys that do match are split at run time (adaptive skew
+    join), as the dimension has one row each.
     """
     name = alias or key
     side = dim.select(
         right.alias("_right"), F.col(key).alias("_key"), *[F.col(c).alias(f"_{c}") for c in carry]
     )
-    if small:
-        side = small_side(side)
     rows = df.withColumn("_left", left)
     on = F.col("_left") == F.col("_right")
     if spread_by is not None:
@@ -67,16 +48,12 @@ def lookup_key(
     )
 
 
-def left_join_where_left(
-    df: DataFrame, other: DataFrame, key: str, where: Column, small: bool = True
-) -> DataFrame:
+def left_join_where_left(df: DataFrame, other: DataFrame, key: str, where: Column) -> DataFrame:
     """Left join in which only rows of ``df`` that satisfy ``where`` may find a partner.
 
     The condition belongs to the join: rows that fail it stay, with NULLs from ``other``.
     """
     side = other.withColumnRenamed(key, "_other_key")
-    if small:
-        side = small_side(side)
     rows = df.withColumn("_may_match", F.when(where, F.col(key)))
     return rows.join(side, F.col("_may_match") == F.col("_other_key"), "left").drop(
         "_may_match", "_other_key"

@@ -17,39 +17,22 @@ from layercake.functions.numbers import safe_pct
 from layercake.operators.pieces import cut_points, single_pieces, with_piece
 from layercake.operators.settle import settle
 
-# Rows of one group that a single task may sort.
-GROUP_ROWS = 5_000_000
-
 _NULL_PIECE = 2**31 - 1
 _EXACT = float(2**53)  # up to here whole numbers survive the way through a double
 
 
-def rank_by(
-    df: DataFrame,
-    part: Sequence[str],
-    measures: dict[str, str],
-    tiebreak: Sequence[str],
-    group_rows: int | None,
-) -> DataFrame:
+def rank_by(df: DataFrame, part: Sequence[str], measures: dict[str, str], tiebreak: Sequence[str]) -> DataFrame:
     """Row numbers per group by each measure, largest (and NULL) first.
 
-    ``measures`` maps the rank's name to its measure. ``group_rows`` is a proven bound on the rows
-    of a group, None if there is none. Within the bound one shuffle serves all ranks; beyond it
-    every group is ranked in pieces.
+    ``measures`` maps the rank's name to its measure. One shuffle serves all ranks; a task sorts whole groups
+    (on disk where they are large). For groups that outgrow a task there is ``rank_by_pieces``.
     """
-    if group_rows is not None and group_rows <= GROUP_ROWS:
-        ties = [F.col(c).asc() for c in tiebreak]
-        ranks = {
-            name: F.row_number().over(
-                Window.partitionBy(*part).orderBy(F.col(measure).desc_nulls_first(), *ties)
-            )
-            for name, measure in measures.items()
-        }
-        return df.withColumns(ranks)
-    ranked = settle(df, "rank")
-    for name, measure in measures.items():
-        ranked = rank_by_pieces(ranked, part, measure, name, tiebreak, settled=True)
-    return ranked
+    ties = [F.col(c).asc() for c in tiebreak]
+    ranks = {
+        name: F.row_number().over(Window.partitionBy(*part).orderBy(F.col(measure).desc_nulls_first(), *ties))
+        for name, measure in measures.items()
+    }
+    return df.withColumns(ranks)
 
 
 def rank_by_pieces(

@@ -1,19 +1,21 @@
 """Gold marts.
 
 All four aggregate the facts by surrogate keys first and fetch dimension attributes for the much
-smaller result: the keys determine the attributes, so the groups are the same. Order ids are unique
-in the order fact (it is kept by upsert on that key), so conditional distinct counts of orders are
-conditional sums; ``orders_unique=False`` counts distinct ids instead.
+smaller result: the keys determine the attributes, so the groups are the same. Order ids may repeat
+in the facts of a first load, so orders are counted distinct: ``key_flags`` marks one row of each order, and
+the counts become sums. Distinct members, modes and medians are taken from rows that have been added
+up to (group, member) before. Nothing is computed while a mart is composed; how a dimension is joined is decided
+at run time, by its size in bytes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from layercake import functions as fn
 from layercake import rules
-from layercake.operators.joins import BROADCAST_ROWS, bounded_count
+from layercake.operators.counts import key_flags, weighted_mode
 from layercake.operators.windows import (
     first_by,
     lag_by,
@@ -29,29 +31,8 @@ c = F.col
 WEEK = 7
 
 
-class _Side:
-    """A dimension's needed columns, broadcast if their counted rows allow."""
-
-    def __init__(self, dim: DataFrame, *columns: str | Column, limit: int = BROADCAST_ROWS):
-        rows = dim.select(*columns)
-        self.rows = bounded_count(rows, limit)
-        self.df = rows if self.rows is None else F.broadcast(rows)
-
-
-def _product(*counts: int | None) -> int | None:
-    total = 1
-    for count in counts:
-        if count is None:
-            return None
-        total *= count
-    return total
-
-
-def _orders(unique: bool):
-    def count(condition: Column | None = None) -> Column:
-        return fn.count_keys(c("order_id"), condition, unique)
-
-    return count
+def _average(total: str, number: str) -> Column:
+    return F.sum(total).cast("double") / F.nullif(F.sum(number), F.lit(0))
 
 
 def agg_daily_sales(
@@ -60,18 +41,25 @@ def agg_daily_sales(
     trucks: DataFrame,
     locations: DataFrame,
     run: Run,
-    orders_unique: bool = True,
 ) -> DataFrame:
     """Sales per day, truck and location, ranked within the day, with seven-row trends."""
-    truck = _Side(
-        trucks, "truck_sk", "country_name", c("primary_city").alias("city_name"), "truck_status",
-        "is_electric_vehicle",
+    truck = trucks.select(
+        "truck_sk", "country_name", c("primary_city").alias("city_name"), "truck_status", "is_electric_vehicle"
     )
-    place = _Side(locations, "location_sk", "location_type", "estimated_foot_traffic")
-    n = _orders(orders_unique)
+    place = locations.select("location_sk", "location_type", "estimated_foot_traffic")
+    group = ["order_date_sk", "truck_sk", "location_sk"]
     meal = c("meal_period")
-    totals = orders.groupBy("order_date_sk", "truck_sk", "location_sk").agg(
-        n().alias("total_orders"),
+    counts = {
+        "total_orders": None,
+        "mobile_orders": c("order_channel") == "Mobile App",
+        "walkin_orders": c("order_channel") == "Walk-up",
+        "breakfast_orders": meal == "Breakfast",
+        "lunch_orders": meal == "Lunch",
+        "dinner_orders": meal == "Dinner",
+        "discounted_orders": c("discount_percentage") > 0,
+    }
+    totals = key_flags(orders, group, "order_id", counts).groupBy(*group).agg(
+        *[F.sum(name).alias(name) for name in counts],
         F.sum("order_total").alias("total_revenue"),
         F.sum("total_cost_of_goods").alias("total_cost_of_goods"),
         F.sum("order_profit").alias("total_profit"),
@@ -81,18 +69,12 @@ def agg_daily_sales(
         F.sum("line_item_count").alias("total_line_items"),
         F.sum("total_items_ordered").alias("total_items_sold"),
         F.avg("line_item_count").alias("avg_items_per_order"),
-        n(c("order_channel") == "Mobile App").alias("mobile_orders"),
-        n(c("order_channel") == "Walk-up").alias("walkin_orders"),
-        n(meal == "Breakfast").alias("breakfast_orders"),
-        n(meal == "Lunch").alias("lunch_orders"),
-        n(meal == "Dinner").alias("dinner_orders"),
-        n(c("discount_percentage") > 0).alias("discounted_orders"),
     )
     days = F.broadcast(dates.select(c("date_sk").alias("order_date_sk"), c("date_actual").alias("sales_date")))
     base = (
         totals.join(days, "order_date_sk")
-        .join(truck.df, "truck_sk")
-        .join(place.df, "location_sk", "left")
+        .join(truck, "truck_sk")
+        .join(place, "location_sk", "left")
         .drop("order_date_sk")
     )
     # A series has at most one row per calendar day.
@@ -115,8 +97,6 @@ def agg_daily_sales(
             "daily_profit_rank": "total_profit",
         },
         ["truck_sk", "location_sk"],
-        # '-1' may stand in for the location.
-        _product(truck.rows, None if place.rows is None else place.rows + 1),
     )
     grown = ranked.withColumns(
         {
@@ -133,30 +113,31 @@ def agg_location_insights(
     locations: DataFrame,
     trucks: DataFrame,
     run: Run,
-    orders_unique: bool = True,
 ) -> DataFrame:
     """Sales per location and day, against the location's month and season."""
-    place = _Side(
-        locations, "location_sk", "location_name", "city_name", "country_name", "location_type",
+    place = locations.select(
+        "location_sk", "location_name", "city_name", "country_name", "location_type",
         "estimated_foot_traffic", "business_potential_score",
     )
-    # '-1' may stand in for the truck.
-    members = bounded_count(trucks.select("truck_sk"))
-    n = _orders(orders_unique)
+    group = ["location_sk", "order_date_sk"]
     hour = c("order_hour")
     meals = {f"{label.lower()}_orders": hour.between(*hours) for hours, label in rules.MEAL_HOURS}
-    totals = (
-        orders.where(c("location_sk") != rules.UNKNOWN_KEY)
-        .groupBy("location_sk", "order_date_sk")
-        .agg(
-            n().alias("daily_orders"),
-            F.sum("order_total").alias("daily_revenue"),
-            fn.count_members(c("truck_sk"), members).alias("trucks_served"),
-            F.countDistinct("customer_sk").alias("unique_customers"),
-            fn.mean(c("order_total")).alias("avg_order_value"),
-            F.avg("processing_time_minutes").alias("avg_processing_time"),
-            *[n(condition).alias(name) for name, condition in meals.items()],
-        )
+    counts = {"daily_orders": None, **meals}
+    known = orders.where(c("location_sk") != rules.UNKNOWN_KEY)
+    served_by = key_flags(known, group, "order_id", counts).groupBy(*group, "truck_sk", "customer_sk").agg(
+        *[F.sum(name).alias(name) for name in counts],
+        F.sum("order_total").alias("revenue"),
+        F.count("order_total").alias("valued"),
+        F.sum("processing_time_minutes").alias("minutes"),
+        F.count("processing_time_minutes").alias("timed"),
+    )
+    totals = served_by.groupBy(*group).agg(
+        *[F.sum(name).alias(name) for name in counts],
+        F.sum("revenue").alias("daily_revenue"),
+        F.countDistinct("truck_sk").alias("trucks_served"),
+        F.countDistinct("customer_sk").alias("unique_customers"),
+        _average("revenue", "valued").alias("avg_order_value"),
+        _average("minutes", "timed").alias("avg_processing_time"),
     )
     days = F.broadcast(
         dates.select(
@@ -170,7 +151,7 @@ def agg_location_insights(
     served = c("trucks_served")
     base = (
         totals.join(days, "order_date_sk")
-        .join(place.df, "location_sk", "left")
+        .join(place, "location_sk", "left")
         .withColumns(
             {
                 "revenue_per_truck": fn.safe_ratio(c("daily_revenue"), served),
@@ -199,7 +180,6 @@ def agg_location_insights(
         [day],
         {"daily_revenue_rank": "daily_revenue", "efficiency_rank": "revenue_per_truck"},
         ["location_sk"],
-        place.rows,
     )
     season = c("seasonal_avg_revenue")
     potential = [
@@ -252,16 +232,16 @@ def agg_menu_performance(
 ) -> DataFrame:
     """Sales per day and item, ranked within the day and the category.
 
-    The facts meet on order_sk. Lines are then reduced to one row per order and item without
-    another shuffle, which turns the distinct count of orders into a row count.
+    The facts meet on order_sk, without the lines of unknown orders. Lines are reduced to one row per order
+    and item without another shuffle.
     """
-    item = _Side(
-        items, "menu_item_sk", "menu_item_name", "truck_brand_name", "item_category", "item_subcategory",
+    item = items.select(
+        "menu_item_sk", "menu_item_name", "truck_brand_name", "item_category", "item_subcategory",
         "sale_price_usd", "cost_of_goods_usd", "is_vegetarian", "is_vegan", "is_gluten_free",
         "menu_matrix_classification",
     )
-    truck = _Side(trucks, "truck_sk", "truck_id")
-    lines = details.where(c("menu_item_sk") != rules.UNKNOWN_KEY).select(
+    known = (c("menu_item_sk") != rules.UNKNOWN_KEY) & (c("order_sk") != rules.UNKNOWN_KEY)
+    lines = details.where(known).select(
         "order_sk", "menu_item_sk", "quantity", "line_total", "line_cost_of_goods", "line_profit",
         "unit_price", "line_discount_amount",
     )
@@ -269,44 +249,50 @@ def agg_menu_performance(
         "order_sk", "order_date_sk", "truck_sk", "customer_sk", "order_channel", "meal_period"
     )
     of_order = ["order_date_sk", "truck_sk", "customer_sk", "order_channel", "meal_period"]
+    sums = {
+        "sold": "quantity", "revenue": "line_total", "cost": "line_cost_of_goods", "profit": "line_profit",
+        "prices": "unit_price", "discounts": "line_discount_amount",
+    }
     per_order = (
         lines.join(heads, "order_sk")
         .groupBy("order_sk", "menu_item_sk", *of_order)
-        .agg(
-            F.sum("quantity").alias("sold"),
-            F.sum("line_total").alias("revenue"),
-            F.sum("line_cost_of_goods").alias("cost"),
-            F.sum("line_profit").alias("profit"),
-            F.sum("unit_price").alias("prices"),
-            F.count("unit_price").alias("priced"),
-            F.sum("line_discount_amount").alias("discounts"),
-        )
-        .join(truck.df, "truck_sk")
+        .agg(*[F.sum(column).alias(name) for name, column in sums.items()], F.count("unit_price").alias("priced"))
+        .join(trucks.select("truck_sk", "truck_id"), "truck_sk")
     )
 
     def sold_where(condition: Column) -> Column:
         return F.sum(F.when(condition, c("sold")).otherwise(0))
 
-    totals = per_order.groupBy("order_date_sk", "menu_item_sk").agg(
+    parts = {
+        "mobile_quantity": c("order_channel") == "Mobile App",
+        "walkin_quantity": c("order_channel") == "Walk-up",
+        "breakfast_quantity": c("meal_period") == "Breakfast",
+        "lunch_quantity": c("meal_period") == "Lunch",
+        "dinner_quantity": c("meal_period") == "Dinner",
+    }
+    group = ["order_date_sk", "menu_item_sk"]
+    bought_by = key_flags(per_order, group, "order_sk", {"orders": None}).groupBy(
+        *group, "truck_id", "customer_sk"
+    ).agg(
+        *[F.sum(name).alias(name) for name in (*sums, "priced", "orders")],
+        *[sold_where(condition).alias(name) for name, condition in parts.items()],
+    )
+    totals = bought_by.groupBy(*group).agg(
         F.sum("sold").alias("total_quantity_sold"),
-        F.count("*").alias("orders_containing_item"),
+        F.sum("orders").alias("orders_containing_item"),
         F.sum("revenue").alias("total_revenue"),
         F.sum("cost").alias("total_cost_of_goods"),
         F.sum("profit").alias("total_profit"),
-        (F.sum("prices").cast("double") / F.nullif(F.sum("priced"), F.lit(0))).alias("avg_selling_price"),
+        _average("prices", "priced").alias("avg_selling_price"),
         F.sum("discounts").alias("total_discounts_given"),
-        fn.count_members(c("truck_id"), truck.rows).alias("trucks_selling_item"),
+        F.countDistinct("truck_id").alias("trucks_selling_item"),
         F.countDistinct("customer_sk").alias("unique_customers"),
-        sold_where(c("order_channel") == "Mobile App").alias("mobile_quantity"),
-        sold_where(c("order_channel") == "Walk-up").alias("walkin_quantity"),
-        sold_where(c("meal_period") == "Breakfast").alias("breakfast_quantity"),
-        sold_where(c("meal_period") == "Lunch").alias("lunch_quantity"),
-        sold_where(c("meal_period") == "Dinner").alias("dinner_quantity"),
+        *[F.sum(name).alias(name) for name in parts],
     )
     days = F.broadcast(
         dates.select(c("date_sk").alias("order_date_sk"), c("date_actual").alias("analysis_date"))
     )
-    base = totals.join(days, "order_date_sk").join(item.df, "menu_item_sk").drop("order_date_sk")
+    base = totals.join(days, "order_date_sk").join(item, "menu_item_sk").drop("order_date_sk")
     base = base.withColumn(
         "profit_margin_pct", fn.safe_pct(c("total_profit"), c("total_revenue"), places=8)
     )
@@ -319,14 +305,12 @@ def agg_menu_performance(
             "profit_rank": "total_profit",
         },
         ["menu_item_sk"],
-        item.rows,
     )
     ranked = rank_by(
         ranked,
         ["analysis_date", "item_category"],
         {"category_popularity_rank": "total_quantity_sold"},
         ["menu_item_sk"],
-        item.rows,
     )
     mobile, walkin = c("mobile_quantity"), c("walkin_quantity")
     labelled = ranked.withColumns(
@@ -349,41 +333,63 @@ def agg_menu_performance(
     return run.audited(labelled)
 
 
-def _transactions(orders: DataFrame, dates: DataFrame, truck: _Side, place: _Side, run: Run, unique: bool):
-    """Order history per customer key."""
-    n = _orders(unique)
+def _weights(rows: DataFrame, by: str, *columns: str) -> DataFrame:
+    """Add ``_of_<column>``: how many rows of the facts have the group's value of that column."""
+    return rows.withColumns(
+        {f"_of_{name}": F.sum("_rows").over(Window.partitionBy(by, name)) for name in columns}
+    )
+
+
+def _transactions(orders: DataFrame, dates: DataFrame, trucks: DataFrame, locations: DataFrame, run: Run):
+    """Order history per customer key, by way of one row per customer, location and truck."""
     day, total, channel, meal = c("date_actual"), c("order_total"), c("order_channel"), c("meal_period")
     recent = day >= run.days_ago(rules.RECENT_DAYS)
     days = F.broadcast(dates.select(c("date_sk").alias("order_date_sk"), "date_actual"))
-    summary = (
-        orders.where(c("customer_sk") != rules.UNKNOWN_KEY)
-        .join(days, "order_date_sk")
-        .join(truck.df, "truck_sk", "left")
-        .join(place.df, "location_sk", "left")
-        .groupBy("customer_sk")
-        .agg(
-            n().alias("total_orders"),
-            F.sum(total).alias("total_spent"),
-            fn.mean(total).alias("avg_order_value"),
-            F.min(day).alias("first_order_date"),
-            F.max(day).alias("last_order_date"),
-            n(recent).alias("orders_last_90_days"),
-            F.sum(F.when(recent, total).otherwise(0)).alias("spent_last_90_days"),
-            n(channel == "Mobile App").alias("mobile_orders"),
-            n(channel == "Walk-up").alias("walkin_orders"),
-            n(channel == "Online").alias("online_orders"),
-            n(meal == "Breakfast").alias("breakfast_orders"),
-            n(meal == "Lunch").alias("lunch_orders"),
-            n(meal == "Dinner").alias("dinner_orders"),
-            fn.count_members(c("location_sk"), place.rows).alias("unique_locations_visited"),
-            fn.count_members(c("truck_sk"), truck.rows).alias("unique_trucks_visited"),
-            n(c("discount_percentage") > 0).alias("discounted_orders"),
-            F.avg("discount_percentage").alias("avg_discount_percentage"),
-            F.avg("line_item_count").alias("avg_items_per_order"),
-            F.avg("processing_time_minutes").alias("avg_processing_time"),
-            fn.det_mode(c("primary_city")).alias("preferred_city"),
-            fn.det_mode(c("location_type")).alias("preferred_location_type"),
-        )
+    counts = {
+        "total_orders": None,
+        "orders_last_90_days": recent,
+        "mobile_orders": channel == "Mobile App",
+        "walkin_orders": channel == "Walk-up",
+        "online_orders": channel == "Online",
+        "breakfast_orders": meal == "Breakfast",
+        "lunch_orders": meal == "Lunch",
+        "dinner_orders": meal == "Dinner",
+        "discounted_orders": c("discount_percentage") > 0,
+    }
+    averaged = {
+        "avg_order_value": "order_total",
+        "avg_discount_percentage": "discount_percentage",
+        "avg_items_per_order": "line_item_count",
+        "avg_processing_time": "processing_time_minutes",
+    }
+    known = orders.where(c("customer_sk") != rules.UNKNOWN_KEY).join(days, "order_date_sk")
+    visits = key_flags(known, ["customer_sk"], "order_id", counts).groupBy(
+        "customer_sk", "location_sk", "truck_sk"
+    ).agg(
+        *[F.sum(name).alias(name) for name in counts],
+        *[F.sum(column).alias(f"_sum_{name}") for name, column in averaged.items()],
+        *[F.count(column).alias(f"_n_{name}") for name, column in averaged.items()],
+        F.sum(F.when(recent, total).otherwise(0)).alias("spent_last_90_days"),
+        F.min(day).alias("first_order_date"),
+        F.max(day).alias("last_order_date"),
+        F.count("*").alias("_rows"),
+    )
+    placed = (
+        visits.join(trucks.select("truck_sk", "primary_city"), "truck_sk", "left")
+        .join(locations.select("location_sk", "location_type"), "location_sk", "left")
+        .repartition("customer_sk")
+    )
+    summary = _weights(placed, "customer_sk", "primary_city", "location_type").groupBy("customer_sk").agg(
+        *[F.sum(name).alias(name) for name in counts],
+        F.sum("_sum_avg_order_value").alias("total_spent"),
+        *[_average(f"_sum_{name}", f"_n_{name}").alias(name) for name in averaged],
+        F.sum("spent_last_90_days").alias("spent_last_90_days"),
+        F.min("first_order_date").alias("first_order_date"),
+        F.max("last_order_date").alias("last_order_date"),
+        F.countDistinct("location_sk").alias("unique_locations_visited"),
+        F.countDistinct("truck_sk").alias("unique_trucks_visited"),
+        weighted_mode(c("primary_city"), c("_of_primary_city")).alias("preferred_city"),
+        weighted_mode(c("location_type"), c("_of_location_type")).alias("preferred_location_type"),
     )
     return summary.withColumns(
         {
@@ -396,32 +402,40 @@ def _transactions(orders: DataFrame, dates: DataFrame, truck: _Side, place: _Sid
 
 
 def customer_tastes(orders: DataFrame, details: DataFrame, items: DataFrame) -> DataFrame:
-    """Favourite categories and prices per customer key."""
-    item = _Side(
-        items, "menu_item_sk", "item_category", "item_subcategory", "truck_brand_name",
+    """Favourite categories and prices per customer key, by way of one row per customer, item and price."""
+    item = items.select(
+        "menu_item_sk", "item_category", "item_subcategory", "truck_brand_name",
         "is_vegetarian", "is_vegan", "is_gluten_free",
     )
     buyers = orders.where(c("customer_sk") != rules.UNKNOWN_KEY).select("order_sk", "customer_sk")
-    lines = details.select("order_sk", "menu_item_sk", "quantity", "unit_price")
+    lines = details.where(c("order_sk") != rules.UNKNOWN_KEY).select(
+        "order_sk", "menu_item_sk", "quantity", "unit_price"
+    )
+    bought = (
+        lines.join(buyers, "order_sk").groupBy("customer_sk", "menu_item_sk", "unit_price")
+        .agg(F.sum("quantity").alias("quantity"), F.count("*").alias("_rows"))
+        .withColumn("_prices", c("unit_price") * c("_rows"))
+        .withColumn("_priced", F.when(c("unit_price").isNotNull(), c("_rows")).otherwise(0))
+        .join(item, "menu_item_sk")
+        .repartition("customer_sk")
+    )
 
     def of_diet(name: str) -> Column:
         return F.sum(F.when(c(name), c("quantity")).otherwise(0))
 
-    return (
-        lines.join(buyers, "order_sk")
-        .join(item.df, "menu_item_sk")
-        .groupBy("customer_sk")
-        .agg(
-            fn.det_mode(c("item_category")).alias("favorite_category"),
-            fn.det_mode(c("item_subcategory")).alias("favorite_subcategory"),
-            fn.det_mode(c("truck_brand_name")).alias("favorite_brand"),
-            of_diet("is_vegetarian").alias("vegetarian_items_ordered"),
-            of_diet("is_vegan").alias("vegan_items_ordered"),
-            of_diet("is_gluten_free").alias("gluten_free_items_ordered"),
-            F.sum("quantity").alias("total_items_ordered"),
-            fn.mean(c("unit_price")).alias("avg_item_price_preference"),
-            fn.exact_median(c("unit_price")).alias("median_item_price_preference"),
-        )
+    labels = {
+        "favorite_category": "item_category",
+        "favorite_subcategory": "item_subcategory",
+        "favorite_brand": "truck_brand_name",
+    }
+    return _weights(bought, "customer_sk", *labels.values()).groupBy("customer_sk").agg(
+        *[weighted_mode(c(column), c(f"_of_{column}")).alias(name) for name, column in labels.items()],
+        of_diet("is_vegetarian").alias("vegetarian_items_ordered"),
+        of_diet("is_vegan").alias("vegan_items_ordered"),
+        of_diet("is_gluten_free").alias("gluten_free_items_ordered"),
+        F.sum("quantity").alias("total_items_ordered"),
+        _average("_prices", "_priced").alias("avg_item_price_preference"),
+        F.percentile("unit_price", F.lit(0.5), c("_rows")).alias("median_item_price_preference"),
     )
 
 
@@ -434,12 +448,9 @@ def agg_customer_360(
     items: DataFrame,
     dates: DataFrame,
     run: Run,
-    orders_unique: bool = True,
 ) -> DataFrame:
     """One row per customer: history, tastes, value and risk."""
-    truck = _Side(trucks, "truck_sk", "primary_city")
-    place = _Side(locations, "location_sk", "location_type")
-    history = _transactions(orders, dates, truck, place, run, orders_unique)
+    history = _transactions(orders, dates, trucks, locations, run)
     tastes = customer_tastes(orders, details, items)
     joined = customers.join(history, "customer_sk", "left").join(tastes, "customer_sk", "left")
 
@@ -491,7 +502,8 @@ def agg_customer_360(
         fn.safe_pct(c("vegetarian_items_ordered"), eaten).alias("vegetarian_preference_pct"),
         fn.safe_pct(c("vegan_items_ordered"), eaten).alias("vegan_preference_pct"),
         lifetime_value(
-            c("total_spent"), made, c("avg_days_between_orders"), c("estimated_lifetime_value")
+            c("total_spent"), c("avg_order_value"), made, c("avg_days_between_orders"),
+            c("estimated_lifetime_value"),
         ).alias("calculated_lifetime_value"),
         risk.alias("churn_risk_score"),
         fn.flag(c("orders_last_90_days") > 0).alias("is_active_customer"),

@@ -166,8 +166,8 @@ _KEYS: dict[str, Callable[["Layers"], DataFrame]] = {
     "order_keys": lambda layers: layers.built("fact_order", "stg_pos_order_headers").select("order_id"),
 }
 
-# Inputs that a model reads more than once. While the models are only composed, these are written
-# once to the shared folder instead of being computed for every use.
+# Inputs that a model reads more than once. With ``write_shared`` they are written once to the shared folder
+# instead of being computed for every use; without it, composing a model starts no job.
 _READ_OFTEN = {
     "agg_menu_performance": ("dim_menu_item",),
     "agg_customer_360": ("int_orders_enriched", "dim_menu_item", "fact_order"),
@@ -190,7 +190,9 @@ class Layers:
         run: Run,
         calendar_start: str | date = rules.CALENDAR_START,
         calendar_end: str | date = rules.CALENDAR_END,
+        write_shared: bool = False,
     ):
+        self._write_shared = write_shared
         self.spark, self.run = spark, run
         self._calendar = (calendar_start, calendar_end)
         self._raw = raw
@@ -220,7 +222,7 @@ class Layers:
             return model.make(self.spark)
         given = replaced or {}
         for often in _READ_OFTEN.get(name, ()):
-            if often not in self._tables:
+            if self._write_shared and often not in self._tables:
                 self[often] = settle(self[often], often)
         return model.make(*[given[i] if i in given else self[i] for i in model.inputs], self.run)
 

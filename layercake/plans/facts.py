@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from layercake import functions as fn
 from layercake import rules
-from layercake.operators.joins import lookup_key, small_side
+from layercake.operators.joins import lookup_key
 from layercake.plans.run import Run
 
 c = F.col
@@ -24,12 +24,12 @@ def fact_order(
 ) -> DataFrame:
     """Orders with five dimension keys, '-1' (or -1) where a dimension has no such member.
 
-    Each dimension needs its natural and surrogate key only. Trucks and locations are broadcast if
-    their count allows, the calendars always; customers are shuffled, NULL ids spread by order.
+    Each dimension needs its natural and surrogate key only. Calendars are broadcast;
+    how the others are joined is decided at run time by their bytes. NULL customer ids are spread by order.
     """
     rows = lookup_key(
         orders, customers, c("customer_id"), c("customer_id"), "customer_sk", rules.UNKNOWN_KEY,
-        small=False, spread_by="order_id",
+        spread_by="order_id",
     )
     rows = lookup_key(rows, trucks, c("truck_id"), c("truck_id"), "truck_sk", rules.UNKNOWN_KEY)
     # The orders hold the location id as a floating point number.
@@ -39,12 +39,12 @@ def fact_order(
     )
     rows = lookup_key(
         rows, F.broadcast(dates), F.to_date("order_timestamp"), c("date_actual"), "date_sk",
-        rules.UNKNOWN_NUMBER, small=False, alias="order_date_sk",
+        rules.UNKNOWN_NUMBER, alias="order_date_sk",
     )
     minute = c("hour_24") * 60 + c("minute_number")
     rows = lookup_key(
         rows, F.broadcast(times), fn.minute_of_day(c("order_timestamp"), run.time_match), minute,
-        "time_sk", rules.UNKNOWN_NUMBER, small=False, alias="order_time_sk",
+        "time_sk", rules.UNKNOWN_NUMBER, alias="order_time_sk",
     )
     facts = rows.select(
         fn.surrogate_key(c("order_id")).alias("order_sk"),
@@ -99,7 +99,7 @@ def fact_order_detail(details: DataFrame, orders: DataFrame, items: DataFrame, r
     valid = details.where("is_valid_line_item")
     known = orders.select(c("order_id").alias("_order"))
     rows = valid.join(known, c("order_id") == c("_order"), "left")
-    side = small_side(items.select(c("menu_item_id").alias("_item"), "menu_item_sk", *carry))
+    side = items.select(c("menu_item_id").alias("_item"), "menu_item_sk", *carry)
     rows = rows.join(side, c("menu_item_id") == c("_item"), "left")
     cost = c("quantity") * F.coalesce(c("cost_of_goods_usd"), F.lit(0).cast("decimal(18,4)"))
     net = c("net_line_total")

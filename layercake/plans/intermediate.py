@@ -7,17 +7,15 @@ from pyspark.sql import functions as F
 
 from layercake import functions as fn
 from layercake import rules
-from layercake.operators.joins import small_side
 from layercake.plans.run import Run
 
 c = F.col
 
 
-def lifetime_value(spent: Column, orders: Column, gap: Column, otherwise: Column) -> Column:
+def lifetime_value(spent: Column, average: Column, orders: Column, gap: Column, otherwise: Column) -> Column:
     """Two years of average orders at the customer's pace; one and a half times the spending where
     no pace is known (a single order, or all on one day)."""
-    per_order = spent.cast("double") / F.nullif(orders, F.lit(0))
-    projected = per_order * (F.lit(float(rules.DAYS_PER_YEAR)) / F.nullif(gap, F.lit(0.0)))
+    projected = average * (F.lit(float(rules.DAYS_PER_YEAR)) / F.nullif(gap, F.lit(0.0)))
     return (
         F.when(gap > 0, projected * rules.PROJECTION_YEARS)
         .when(orders > 0, spent.cast("double") * rules.SINGLE_ORDER_FACTOR)
@@ -36,9 +34,7 @@ def int_orders_enriched(headers: DataFrame, details: DataFrame, menu: DataFrame,
     Lines are brought to order grain before they meet the headers, so the only wide shuffles are
     one by order_id on either side, none if both tables are bucketed by it.
     """
-    items = small_side(
-        menu.select(c("menu_item_id").alias("_item"), "item_category", c("cost_of_goods_usd").alias("_cost"))
-    )
+    items = menu.select(c("menu_item_id").alias("_item"), "item_category", c("cost_of_goods_usd").alias("_cost"))
     lines = details.where("is_valid_line_item").join(items, c("menu_item_id") == c("_item"), "left")
     cost = F.sum(c("quantity") * c("_cost"))
     # One set serves both the list and its length; it holds the category labels of one order.
@@ -225,7 +221,7 @@ def int_customers_segmented(loyalty: DataFrame, orders: DataFrame, run: Run) ->
         or_zero("discounted_orders"),
         or_zero("orders_last_90_days"),
         or_zero("spent_last_90_days"),
-        lifetime_value(spent, made, c("avg_days_between_orders"), F.lit(0.0))
+        lifetime_value(spent, c("avg_order_value"), made, c("avg_days_between_orders"), F.lit(0.0))
         .alias("estimated_lifetime_value"),
         segment.alias("customer_segment"),
         fn.band(share("mobile_orders"), ">=", rules.DIGITAL_SHARE_MIN, "Traditional")

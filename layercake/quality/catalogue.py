@@ -63,7 +63,7 @@ THREE_MEALS = ["Breakfast", "Lunch", "Dinner"]
 
 
 def _balance(tolerance: str) -> str:
-    return f"abs(order_total - order_amount - order_tax_amount + order_discount_amount) <= {tolerance}"
+    return f"abs(order_total - (order_amount + order_tax_amount - order_discount_amount)) <= {tolerance}"
 
 
 def _profit_is_rest(total: str, revenue: str, cost: str, tolerance: str) -> str:
@@ -71,15 +71,23 @@ def _profit_is_rest(total: str, revenue: str, cost: str, tolerance: str) -> str:
 
 
 _cost_known = "total_cost_of_goods IS NOT NULL"
-_tiers = [
-    ("Minimal Value", None, 50), ("Low Value", 50, 200), ("Medium Value", 200, 500), ("High Value", 500, None),
-]
-_tier_matches = " OR ".join(
-    f"(customer_value_tier = '{tier}'"
-    + (f" AND estimated_lifetime_value >= {low}" if low is not None else "")
-    + (f" AND estimated_lifetime_value < {high}" if high is not None else "")
-    + ")"
-    for tier, low, high in _tiers
+
+# Declared statements, as they are declared.
+_TIER_MATCHES = (
+    "(customer_value_tier = 'High Value' AND estimated_lifetime_value >= 500) OR "
+    "(customer_value_tier = 'Medium Value' AND estimated_lifetime_value >= 200 AND estimated_lifetime_value < 500) OR "
+    "(customer_value_tier = 'Low Value' AND estimated_lifetime_value >= 50 AND estimated_lifetime_value < 200) OR "
+    "(customer_value_tier = 'Minimal Value' AND estimated_lifetime_value < 50)"
+)
+_SCORE_MATCHES = (
+    "(location_type = 'Downtown' AND estimated_foot_traffic = 'High' AND business_potential_score = 95) OR "
+    "(location_type = 'Business District' AND estimated_foot_traffic = 'High' AND business_potential_score = 90) OR "
+    "business_potential_score IN (60, 70, 75, 80, 85)"
+)
+_PROFILE_MATCHES = (
+    "(profile_completeness = 'Complete Profile' AND has_complete_name = TRUE AND has_valid_email = TRUE) OR "
+    "(profile_completeness = 'Basic Profile' AND has_complete_name = TRUE AND has_valid_email = FALSE) OR "
+    "(profile_completeness = 'Incomplete Profile' AND has_complete_name = FALSE)"
 )
 
 # Which tests each model declares, with their limits.
@@ -159,10 +167,7 @@ RULES: dict[str, list[Rule]] = {
         *labels("estimated_foot_traffic", ["High", "Medium", "Low"]),
         *within("business_potential_score", 0, 100, required=True),
         *present("iso_country_code"),
-        *holds("score_matches_type",
-               "business_potential_score IN (60, 70, 75, 80, 85) OR (estimated_foot_traffic = 'High' AND "
-               "((location_type = 'Downtown' AND business_potential_score = 95) OR "
-               "(location_type = 'Business District' AND business_potential_score = 90)))"),
+        *holds("score_matches_type", _SCORE_MATCHES),
         *holds("country_code_length", "length(iso_country_code) = 2"),
     ],
     "dim_franchise": [
@@ -170,10 +175,7 @@ RULES: dict[str, list[Rule]] = {
         *labels("profile_completeness",
                 ["Complete Profile", "Basic Profile", "Incomplete Profile"], required=True),
         *flags("has_complete_name", "has_valid_email"),
-        *holds("profile_matches_flags",
-               "CASE profile_completeness WHEN 'Complete Profile' THEN has_complete_name AND has_valid_email "
-               "WHEN 'Basic Profile' THEN has_complete_name AND NOT has_valid_email "
-               "WHEN 'Incomplete Profile' THEN NOT has_complete_name ELSE FALSE END"),
+        *holds("profile_matches_flags", _PROFILE_MATCHES),
     ],
     "dim_truck": [
         *key("truck_sk", "truck_id"),
@@ -192,7 +194,7 @@ RULES: dict[str, list[Rule]] = {
                 [*rules.CONTACT_PREFERENCES, "Traditional Preferred"], required=True),
         *within("estimated_lifetime_value", 0, 10000, required=True),
         *within("age", 13, 120, known=True),
-        *holds("tier_matches_value", _tier_matches),
+        *holds("tier_matches_value", _TIER_MATCHES),
     ],
     "dim_menu_item": [
         *key("menu_item_sk", "menu_item_id"),
@@ -275,7 +277,7 @@ RULES: dict[str, list[Rule]] = {
         *within("foot_traffic_score", 0, 200_000, required=True),
         *holds("peak_ends_after_start", "peak_hour_end > peak_hour_start"),
         *holds("revenue_per_truck_adds_up",
-               "trucks_served = 0 OR revenue_per_truck = double(daily_revenue) / trucks_served",
+               "trucks_served = 0 OR revenue_per_truck = CAST(daily_revenue AS DOUBLE) / trucks_served",
                where="trucks_served IS NOT NULL"),
         *holds("not_in_the_future", "analysis_date <= current_date()"),
     ],

@@ -10,6 +10,7 @@ from oracle.models import SPECS as MODEL_SPECS
 from oracle.models import code, digits, email, full_name, lifetime
 from oracle.sql import (
     AS_OF,
+    CTES,
     any_word,
     case_band,
     case_between,
@@ -21,6 +22,7 @@ from oracle.sql import (
     initcap,
     key,
     listed,
+    model,
     pct,
     peak,
     query,
@@ -291,6 +293,20 @@ _silver = ["stg_pos_order_headers", "stg_pos_order_details", "int_orders_enriche
            "int_menu_profitability", "int_customers_segmented"]
 register_suite("dq_suite", " UNION ALL ".join(suite(m, RULES[m]) for m in _silver), " ".join(_silver))
 
+_marts = ["agg_daily_sales", "agg_location_insights", "agg_menu_performance", "agg_customer_360"]
+_core = [m for m in RULES if m not in (*_silver, *_marts)]
+register_suite("dq_core", " UNION ALL ".join(suite(m, RULES[m]) for m in _core), " ".join(RULES))
+register_suite("dq_marts", " UNION ALL ".join(suite(m, RULES[m]) for m in _marts), " ".join(RULES))
+
+# The marts over order headers of which a tenth comes twice.
+_headers = CTES["raw_order_header"][1]
+for _name in _marts:
+    SPECS[f"{_name}_repeats"] = MODEL_SPECS[_name]
+    SQL[f"{_name}_repeats"] = model(_name, MODEL_SPECS[_name]).replace(
+        f"raw_order_header AS ({_headers})",
+        f"raw_order_header AS ({_headers} UNION ALL SELECT * FROM ({_headers}) WHERE order_id % 10 = 0)",
+    )
+
 register("source_freshness", "source:s loaded_at:t age_hours:m status:s", """
     SELECT source, loaded_at, age_hours, CASE WHEN age_hours > error THEN 'error'
         WHEN age_hours > warn THEN 'warn' ELSE 'pass' END AS status

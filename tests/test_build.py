@@ -6,14 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL
-from layercake.operators import settle
+from layercake.operators import rank_by_pieces, read_upserted, settle
 from layercake.plans import Run
 from layercake.plans.build import MODELS, GateFailed, Layers, build, select
 from layercake.plans.staging import stg_pos_order_headers
 from layercake.sources import raw_tables
-from layercake.operators import read_upserted
 from layercake.streaming import file_stream, upsert_stream
 
+c = F.col
 CALENDAR = {"calendar_start": "1995-01-01", "calendar_end": "2002-01-01", "grain": "year"}
 
 
@@ -89,29 +89,38 @@ def test_dimension_keys_are_unique_so_facts_do_not_fan_out(spark):
     assert layers["fact_order"].count() == layers["stg_pos_order_headers"].count()
 
 
-def test_marts_do_not_depend_on_unique_order_ids_assumption(spark):
-    from layercake.plans import analytics
-
+def test_marts_count_repeated_orders_once(spark):
+    run = Run(date(2001, 8, 2), datetime(2001, 8, 2))
+    raw = dict(raw_tables(spark, SMALL))
+    once = Layers(spark, dict(raw), run, "1995-01-01", "2002-01-01", write_shared=True)
+    raw["order_header"] = raw["order_header"].unionByName(raw["order_header"].where(c("order_id") % 10 == 0))
+    twice = Layers(spark, raw, run, "1995-01-01", "2002-01-01", write_shared=True)
+    assert twice["fact_order"].count() > once["fact_order"].count()
+    counts = ["total_orders", "mobile_orders", "breakfast_orders", "discounted_orders", "unique_customers"]
+    key = ["sales_date", "truck_sk", "location_sk"]
+    assert plain(twice["agg_daily_sales"].select(*key, *counts)) == plain(once["agg_daily_sales"].select(*key, *counts))
+    orders = [m["agg_customer_360"].agg(F.sum("total_orders")).first()[0] for m in (once, twice)]
+    assert orders[0] == orders[1] > 0
+
+
+def test_composing_models_starts_no_job(spark):
     run = Run(date(2001, 8, 2), datetime(2001, 8, 2))
     layers = Layers(spark, raw_tables(spark, SMALL), run, "1995-01-01", "2002-01-01")
-    orders = settle(layers["fact_order"], "facts")
-    given = [layers[n] for n in ("dim_date", "dim_truck", "dim_location")]
-    sums = analytics.agg_daily_sales(orders, *given, run)
-    counts = analytics.agg_daily_sales(orders, *given, run, orders_unique=False)
-    assert plain(sums) == plain(counts)
-
+    spark.sparkContext.setJobGroup("composing", "models that are composed")
+    try:
+        plans = [layers[name]._jdf.queryExecution().optimizedPlan().toString() for name in MODELS]
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("composing")
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert len(plans) == len(MODELS) and not list(jobs)
 
-def test_marts_rank_the_same_in_pieces(spark, monkeypatch):
-    from layercake.operators import windows
-    from layercake.plans import analytics
 
+def test_marts_rank_the_same_in_pieces(spark):
     run = Run(date(2001, 8, 2), datetime(2001, 8, 2))
     layers = Layers(spark, raw_tables(spark, SMALL), run, "1995-01-01", "2002-01-01")
-    orders = settle(layers["fact_order"], "facts")
-    given = [layers[n] for n in ("dim_date", "dim_truck", "dim_location")]
-    plainly = plain(analytics.agg_daily_sales(orders, *given, run))
-    monkeypatch.setattr(windows, "GROUP_ROWS", 0)
-    assert plain(analytics.agg_daily_sales(orders, *given, run)) == plainly
+    sales = settle(layers["agg_daily_sales"], "sales")
+    again = rank_by_pieces(sales, ["sales_date"], "total_revenue", "again", ["truck_sk", "location_sk"])
+    assert again.where("again <> daily_revenue_rank").count() == 0 and again.count() == sales.count()
 
 
 @pytest.mark.parametrize("mark", [None, ("order_ts", "order_timestamp")])

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from layercake import operators as ops
-from layercake.operators import joins, pieces, windows
+from layercake.operators import pieces, windows
 
 c = F.col
 
@@ -39,7 +39,7 @@ def test_left_join_keeps_rows_that_may_not_match(spark):
     assert got == [(1, 7, "k7"), (2, 7, None), (3, None, None)]
 
 
-@pytest.mark.parametrize("options", [{}, {"small": False, "spread_by": "id"}])
+@pytest.mark.parametrize("options", [{}, {"spread_by": "id"}])
 def test_lookup_key_unknown_member(spark, options):
     facts = spark.createDataFrame([(1, 25.0), (2, 3.0), (3, None)], "id int, loc double")
     dim = spark.createDataFrame([(3, "k3")], "location_id bigint, location_sk string")
@@ -53,7 +53,7 @@ def test_null_keys_are_spread_over_partitions(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = ops.lookup_key(facts, dim, c("k"), c("k2"), "sk", "-1", small=False, spread_by="id")
+        joined = ops.lookup_key(facts, dim, c("k"), c("k2"), "sk", "-1", spread_by="id")
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
@@ -61,13 +61,6 @@ def test_null_keys_are_spread_over_partitions(spark):
     assert len(sizes) == 4 and max(sizes) < 2000
 
 
-def test_broadcast_only_within_the_bound(spark, capsys):
-    assert ops.bounded_count(spark.range(5), 5) == 5
-    assert ops.bounded_count(spark.range(6), 5) is None
-    df = spark.range(6)
-    assert joins.small_side(df, 5) is df
-
-
 def test_conditional_counts_equal_distinct_counts(spark):
     random.seed(1)
     data = [(random.randrange(3), random.choice([None, *range(20)]), random.randrange(4)) for _ in range(300)]
@@ -116,14 +109,17 @@ def test_rank_in_pieces_equals_plain_rank(spark, kind, key_kind):
     df = spark.createDataFrame(data, "g string, v double, id int").select(
         "g", c("v").cast(kind).alias("v"), c("id").cast(key_kind).alias("id"))
     in_pieces = ops.rank_by_pieces(df, ["g"], "v", "r", ["id"])
-    plain = ops.rank_by(df, ["g"], {"r": "v"}, ["id"], group_rows=1000)
+    plain = ops.rank_by(df, ["g"], {"r": "v"}, ["id"])
     assert rows(in_pieces, "g", "r", "id") == rows(plain, "g", "r", "id")
 
 
-def test_rank_without_bound_uses_pieces(spark, monkeypatch):
-    df = spark.createDataFrame([("a", 1, 1), ("a", 3, 2), ("a", None, 3)], "g string, v int, id int")
-    got = ops.rank_by(df, ["g"], {"r": "v"}, ["id"], group_rows=None)
-    assert rows(got.select("id", "r"), "r") == [(3, 1), (2, 2), (1, 3)]
+def test_key_flags_count_distinct_keys(spark):
+    df = spark.createDataFrame(
+        [("a", 1, 5), ("a", 1, 1), ("a", 2, 1), ("a", None, 9), ("b", 1, 1), ("b", 1, 1)], "g string, k int, v int"
+    )
+    flags = ops.key_flags(df, ["g"], "k", {"keys": None, "high": c("v") > 3})
+    got = flags.groupBy("g").agg(F.sum("keys").alias("keys"), F.sum("high").alias("high"), F.sum("v").alias("v"))
+    assert rows(got, "g") == [("a", 2, 1, 16), ("b", 1, 0, 2)]
 
 
 def test_pieces_are_small_and_in_order(spark):
@@ -147,10 +143,10 @@ def test_rank_in_pieces_with_many_ties_and_large_decimals(spark):
         "v", (c("v") + 12345678901234567).cast("decimal(28,4)") + (F.hash("id") % 3).cast("decimal(10,0)") / 10000)
     kept = df.withColumn("v", c("v").cast("decimal(28,4)"))
     assert rows(ops.rank_by_pieces(kept, ["g"], "v", "r", ["id"]), "r") == rows(
-        ops.rank_by(kept, ["g"], {"r": "v"}, ["id"], group_rows=1000), "r")
+        ops.rank_by(kept, ["g"], {"r": "v"}, ["id"]), "r")
     ties = df.withColumn("v", F.lit(5))
     assert rows(ops.rank_by_pieces(ties, ["g"], "v", "r", ["id"]), "r") == rows(
-        ops.rank_by(ties, ["g"], {"r": "v"}, ["id"], group_rows=1000), "r")
+        ops.rank_by(ties, ["g"], {"r": "v"}, ["id"]), "r")
 
 
 def test_rolling_average_and_lag_count_rows_not_days(spark):
