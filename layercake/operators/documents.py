@@ -52,8 +52,10 @@ def item_enabled(item: Column) -> Column:
     return F.coalesce(F.try_variant_get(item, "$.enabled", "boolean"), F.lit(True))
 
 
-def feed_items(docs: DataFrame, feed: str | None = None) -> DataFrame:
-    """The tasks of one feed, or of all, in document order."""
+def feed_items(docs: DataFrame, feed: str | None = None, ordered: bool = False) -> DataFrame:
+    """The tasks of one feed, or of all; ``ordered`` sorts the listing by feed and place in the document."""
+    if ordered:
+        return feed_items(docs, feed).orderBy("feed_name", "index")
     if feed is not None:
         docs = docs.where(F.col("feed_name") == feed)
     item = F.col("value")
@@ -68,8 +70,13 @@ def feed_items(docs: DataFrame, feed: str | None = None) -> DataFrame:
     )
 
 
-def feed_summary(docs: DataFrame) -> DataFrame:
-    """Tasks, enabled tasks and disabled tasks per document; documents without tasks drop out."""
+def feed_summary(docs: DataFrame, ordered: bool = False) -> DataFrame:
+    """Tasks, enabled tasks and disabled tasks per document; documents without tasks drop out.
+
+    ``ordered`` sorts the listing by loading time, newest first.
+    """
+    if ordered:
+        return feed_summary(docs).orderBy(F.col("loaded_at").desc(), "feed_name")
     items = items_of(F.col("config_data"), "$.tasks")
     on = F.col("enabled")
     return (

@@ -16,7 +16,7 @@ from layercake import operators as ops
 from layercake import rules
 from layercake.operators.windows import lag_by
 from layercake.plans import calendar
-from layercake.plans.build import MODELS, Layers
+from layercake.plans.build import MODELS, Layers, build
 from layercake.plans.dimensions import key_table
 from layercake.plans.intermediate import average_gap, lifetime_value, order_history
 from layercake.plans.run import Run
@@ -27,6 +27,8 @@ from layercake.quality.suite import check_models
 from layercake.session import prepare, shared_dir
 from layercake.sources import as_raw, freshness, raw_tables, read_raw
 from layercake.sources.adapter import base_table
+from layercake.sources.readers import declared_freshness, source
+from layercake.sources.sinks import as_view
 from layercake.streaming import file_stream, upsert_stream
 
 AS_OF = date(2001, 8, 2)
@@ -370,6 +372,16 @@ def document_validate(spark: SparkSession, directory: str) -> DataFrame:
     return ops.validate_document(documents(spark, directory))
 
 
+def document_newest(spark: SparkSession, directory: str) -> DataFrame:
+    """Every feed has an older document without tasks; the newest one is validated."""
+    docs = documents(spark, directory)
+    older = docs.withColumns({
+        "config_data": F.parse_json(F.lit('{"project_config": {}, "tasks": []}')),
+        "loaded_at": F.timestamp_add("DAY", F.lit(-1), c("loaded_at")),
+    })
+    return ops.validate_document(older.unionByName(docs))
+
+
 def document_replace(spark: SparkSession, directory: str) -> DataFrame:
     """Documents of even parts arrive again, later; each feed keeps one."""
     docs = documents(spark, directory)
@@ -571,6 +583,38 @@ def agg_customer_360_repeats(spark: SparkSession, directory: str) -> DataFrame:
     return _with_repeats(spark, directory)["agg_customer_360"]
 
 
+def declared_freshness_of_sources(spark: SparkSession, directory: str) -> DataFrame:
+    """The raw tables against the limits that are declared for them."""
+    found = declared_freshness(raw_tables(prepare(spark), directory), RUN.now)
+    return found.withColumn("loaded_at", c("loaded_at").cast("timestamp_ntz"))
+
+
+def audit_columns(spark: SparkSession, directory: str) -> DataFrame:
+    """When facts were made and changed: the stamp of the run."""
+    return layers(spark, directory)["fact_order"].select("order_id", "created_ts", "updated_ts")
+
+
+def views_and_sources(spark: SparkSession, directory: str) -> DataFrame:
+    """Orders of a declared source, found by its name, through a view."""
+    base = shared_dir(spark, "sources")
+    raw_tables(prepare(spark), directory)["order_header"].write.parquet(f"{base}/raw_pos/order_header")
+    as_view(source(spark, "raw_pos", "order_header", base), "declared_orders")
+    return spark.sql(
+        "SELECT truck_id, COUNT(*) AS orders, SUM(order_total) AS total FROM declared_orders GROUP BY truck_id"
+    )
+
+
+def built_headers(spark: SparkSession, directory: str) -> DataFrame:
+    """Staged order headers built as a table in two increments, and read back."""
+    base, raw = shared_dir(spark, "built"), dict(raw_tables(prepare(spark), directory))
+    whole, built = raw["order_header"], {}
+    for headers in (whole.where(c("order_ts") < F.lit(datetime(1998, 1, 1)).cast("timestamp_ntz")), whole):
+        raw["order_header"] = headers
+        built = build(spark, raw, RUN, base, {"silver", "staging", "orders"}, gates=False, grain="year",
+                      calendar_start=CALENDAR[0], calendar_end=CALENDAR[1])
+    return built["stg_pos_order_headers"]
+
+
 def source_freshness(spark: SparkSession, directory: str) -> DataFrame:
     """Newest event and newest order against their limits."""
     events = freshness(table(spark, directory, "events"), "ts", 6, 12, F.lit(EVENTS_AS_OF))

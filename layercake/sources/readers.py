@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,3 +51,14 @@ def freshness(
         .otherwise("pass")
     )
     return newest.withColumn("age_hours", age).withColumn("status", status)
+
+
+def declared_freshness(tables: Mapping[str, DataFrame], as_of: datetime | Column) -> DataFrame:
+    """(source, loaded_at, age_hours, status) of every source that declares a loading time, by its own limits."""
+    checked = [
+        freshness(tables[name], declared.loaded_at, declared.warn_hours, declared.error_hours, as_of)
+        .select(F.lit(name).alias("source"), "*")
+        for name, declared in SOURCES.items()
+        if declared.loaded_at is not None and declared.error_hours is not None and name in tables
+    ]
+    return reduce(DataFrame.unionByName, checked)

@@ -190,6 +190,14 @@ register("document_validate", "feed_name:s is_valid:b message:s", """
             WHEN json_array_length(doc, '$.tasks') = 0 THEN 'Missing or empty tasks array'
             WHEN doc->>'$.tasks[1].dbt_command' IS NULL THEN 'Task 2 is missing dbt_command field' END AS fault
         FROM docs)""", "docs")
+register("document_newest", "feed_name:s is_valid:b message:s", """
+    SELECT feed_name, fault IS NULL AS is_valid,
+        coalesce('Error: ' || fault, 'Configuration is valid') || ' for feed: ' || feed_name AS message
+    FROM (SELECT feed_name, CASE
+            WHEN doc->>'$.project_config.project_name' IS NULL THEN 'Missing required field: project_config.project_name'
+            WHEN json_array_length(doc, '$.tasks') = 0 THEN 'Missing or empty tasks array'
+            WHEN doc->>'$.tasks[1].dbt_command' IS NULL THEN 'Task 2 is missing dbt_command field' END AS fault
+        FROM docs)""", "docs")
 register("document_replace", "feed_name:s has_data:b loaded_at:t", """
     SELECT feed_name, true AS has_data, CASE WHEN CAST(substr(feed_name, 6) AS BIGINT) % 2 = 0
         THEN loaded_at + INTERVAL 1 DAY ELSE loaded_at END AS loaded_at FROM docs""", "docs")
@@ -314,3 +322,18 @@ register("source_freshness", "source:s loaded_at:t age_hours:m status:s", """
         SELECT 'events' AS source, max(ts) AS loaded_at, 6 AS warn, 12 AS error,
             TIMESTAMP '2024-01-31' AS now FROM events
         UNION ALL SELECT 'orders', max(o_orderdate), 48, 72, TIMESTAMP '2001-08-02' FROM orders))""")
+
+register("declared_freshness_of_sources", "source:s loaded_at:t age_hours:m status:s", """
+    SELECT 'order_header' AS source, loaded_at, age AS age_hours,
+        CASE WHEN age > 6 THEN 'error' WHEN age > 2 THEN 'warn' ELSE 'pass' END AS status
+    FROM (SELECT max(order_ts) AS loaded_at,
+        date_diff('second', date_trunc('second', max(order_ts)), TIMESTAMP '2001-08-02') / 3600.0 AS age
+        FROM raw_order_header)""", "raw_order_header")
+register("audit_columns", "order_id:l created_ts:t updated_ts:t", """
+    SELECT order_id, TIMESTAMP '2001-08-02' AS created_ts, TIMESTAMP '2001-08-02' AS updated_ts FROM fact_order""",
+         "fact_order")
+register("views_and_sources", "truck_id:l orders:l total:m", """
+    SELECT truck_id, count(*) AS orders, sum(order_total) AS total FROM raw_order_header GROUP BY truck_id""",
+         "raw_order_header")
+register("built_headers", MODEL_SPECS["stg_pos_order_headers"], "SELECT * FROM stg_pos_order_headers",
+         "stg_pos_order_headers")
