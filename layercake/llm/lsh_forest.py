@@ -37,6 +37,8 @@ REGION = 2048
 CLUSTER_SHINGLES = 8_000_000
 # Of 60 minima 48 agree on average at similarity 0.8; fewer than 32 do once in a million pairs.
 AGREE = 32
+# Cluster members are broadcast to the texts up to this size (40 bytes a row); larger tables are joined by shuffle.
+BROADCAST_BYTES = 64_000_000
 THRESHOLD = 80
 SEED = 20_240_601
 
@@ -347,9 +349,12 @@ def near_duplicates(
         members = small.select("node", "component", F.lit(0).cast("long").alias("region")).unionByName(by_region)
     else:
         members = clusters.select("node", "component", F.lit(0).cast("long").alias("region"))
-    texts = docs.select("doc_id", "text").join(
-        members.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"), "region"), "doc_id"
+    members = settle(
+        members.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"), "region"), "members"
     )
+    if members.count() * 40 <= BROADCAST_BYTES:
+        members = F.broadcast(members)
+    texts = docs.select("doc_id", "text").join(members, "doc_id")
     links = confirmed(texts, width, threshold)
     # A cluster that was compared whole gives its components at once.
     found = connected_components(links) if any_large else links.toDF("node", "component")
