@@ -7,8 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from layercake.operators.pieces import cut_points, with_piece
-from layercake.operators.settle import settle
+from layercake.operators.slices import SLICE, in_slices, with_rows_before
 
 
 def conditional_counts(
@@ -84,36 +83,26 @@ def grouped_mode(df: DataFrame, by: Sequence[str], column: str, name: str) -> Da
 def grouped_median(df: DataFrame, by: Sequence[str], column: str, name: str) -> DataFrame:
     """Interpolated median per group, exact, by selection.
 
-    Values are counted, the counts are added up per piece of the value range, and only the pieces
-    that hold a middle position are ordered. So a hot group is never sorted by one task.
+    Values are counted first. The counts are cut into slices along their order, and of each group only the slices that
+    hold a middle position are looked into. So a hot group is never sorted by one task.
     """
-    counted = settle(
-        df.where(F.col(column).isNotNull())
-        .groupBy(*by, F.col(column).alias("_v"))
-        .agg(F.count("*").alias("_n")),
-        "median",
+    counted = (
+        df.where(F.col(column).isNotNull()).groupBy(*by, F.col(column).alias("_v")).agg(F.count("*").alias("_n"))
     )
-    counted = with_piece(counted, "_v", cut_points(counted, "_v")["_v"], "_piece")
-    in_order = Window.partitionBy(*by).orderBy("_piece")
+    sliced = with_rows_before(in_slices(counted, *by, "_v"), by, F.col("_n"), "_below")
+    totals = sliced.groupBy(*by, SLICE).agg(F.sum("_n").alias("_here"), F.first("_below").alias("_below"))
     whole = Window.partitionBy(*by)
-    pieces = (
-        counted.groupBy(*by, "_piece")
-        .agg(F.sum("_n").alias("_in_piece"))
-        .withColumn("_below", F.sum("_in_piece").over(in_order) - F.col("_in_piece"))
-        .withColumn("_all", F.sum("_in_piece").over(whole))
+    middle = (
+        totals.withColumn("_all", F.sum("_here").over(whole))
         .withColumn("_lower", F.floor((F.col("_all") - 1) / 2))
         .withColumn("_upper", F.floor(F.col("_all") / 2))
+        .where((F.col("_below") + F.col("_here") > F.col("_lower")) & (F.col("_below") <= F.col("_upper")))
     )
-    after = F.col("_below") + F.col("_in_piece")
-    middle = pieces.where((after > F.col("_lower")) & (F.col("_below") <= F.col("_upper")))
-    groups = [*by, "_piece"]
-    side = middle.select(
-        *[F.col(c).alias(f"_of_{c}") for c in groups], "_below", "_lower", "_upper"
-    )
-    conditions = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in groups]
-    rows = counted.join(side, conditions, "inner").drop(*[f"_of_{c}" for c in groups])
-    in_piece = Window.partitionBy(*by, "_piece").orderBy("_v")
-    placed = rows.withColumn("_end", F.col("_below") + F.sum("_n").over(in_piece))
+    groups = [*by, SLICE]
+    side = middle.select(*[F.col(c).alias(f"_of_{c}") for c in groups], "_lower", "_upper")
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in groups]
+    in_slice = Window.partitionBy(*groups).orderBy("_v")
+    placed = sliced.join(side, same).withColumn("_end", F.col("_below") + F.sum("_n").over(in_slice))
 
     def holds(position: str) -> Column:
         return (F.col("_end") > F.col(position)) & (F.col("_end") - F.col("_n") <= F.col(position))

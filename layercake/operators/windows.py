@@ -11,15 +11,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
 
 from layercake.functions.numbers import safe_pct
-from layercake.operators.pieces import cut_points, single_pieces, with_piece
-from layercake.operators.settle import settle
-
-_NULL_PIECE = 2**31 - 1
-_EXACT = float(2**53)  # up to here whole numbers survive the way through a double
-
+from layercake.operators.slices import SLICE, in_slices, with_rows_before
 
 def rank_by(df: DataFrame, part: Sequence[str], measures: dict[str, str], tiebreak: Sequence[str]) -> DataFrame:
     """Row numbers per group by each measure, largest (and NULL) first.
@@ -36,57 +30,19 @@ def rank_by(df: DataFrame, part: Sequence[str], measures: dict[str, str], tiebre
 
 
 def rank_by_pieces(
-    df: DataFrame,
-    part: Sequence[str],
-    measure: str,
-    name: str,
-    tiebreak: Sequence[str],
-    settled: bool = False,
+    df: DataFrame, part: Sequence[str], measure: str, name: str, tiebreak: Sequence[str]
 ) -> DataFrame:
     """Row number per group, measure descending, NULLs first, for groups of any size.
 
-    A group is cut into pieces that are in order among themselves. The rank is the number of rows
-    in earlier pieces plus the rank within the piece, and only pieces are sorted. Where many rows
-    tie on one value, its piece is cut further along the first tie-break column: by quantiles if it
-    is a number, by its first two characters if it is text (as the surrogate keys, which are spread
-    evenly over them).
+    All rows are put in one order and cut into slices. The rank is the number of the group's rows in earlier slices
+    plus the rank within the slice, so a task sorts one slice of one group at most. Tie-break columns may
+    have any type that can be ordered.
     """
-    if not settled:
-        df = settle(df, "rank")
-    types = {f.name: f.dataType for f in df.schema.fields}
-    value, first = F.col(measure), tiebreak[0]
-    is_text = types[first].typeName() == "string"
-    is_number = isinstance(types[first], NumericType)
-    points = cut_points(df, measure, *([first] if is_number else []))
-    rows = with_piece(df, measure, points[measure], "_piece")
-    rows = rows.withColumn("_piece", F.when(value.isNull(), _NULL_PIECE).otherwise(F.col("_piece")))
-    # Values that a double cannot tell apart must not be cut along the tie-break.
-    scale = getattr(types[measure], "scale", 0)
-    exact = F.abs(value.cast("double")) * float(10**scale) < _EXACT
-    one_value = value.isNull() | (F.col("_piece").isin(single_pieces(points[measure])) & exact)
-    if is_text:
-        rows = rows.withColumn("_cut", F.when(one_value, F.substring(first, 1, 2)).otherwise(F.lit("")))
-    elif is_number:
-        rows = with_piece(rows, first, points[first], "_cut")
-        rows = rows.withColumn("_cut", F.when(one_value, F.col("_cut")).otherwise(F.lit(0)))
-    else:
-        rows = rows.withColumn("_cut", F.lit(0))
-    before = Window.partitionBy(*part).orderBy(F.col("_piece").desc(), F.col("_cut"))
-    sizes = (
-        rows.groupBy(*part, "_piece", "_cut")
-        .agg(F.count("*").alias("_size"))
-        .withColumn("_before", F.sum("_size").over(before) - F.col("_size"))
-    )
-    within = Window.partitionBy(*part, "_piece", "_cut").orderBy(
-        value.desc_nulls_first(), *[F.col(c) for c in tiebreak]
-    )
-    local = rows.withColumn("_within", F.row_number().over(within))
-    groups = [*part, "_piece", "_cut"]
-    side = sizes.select(*[F.col(c).alias(f"_of_{c}") for c in groups], "_before")
-    on = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in groups]
-    return local.join(side, on, "inner").select(
-        *df.columns, (F.col("_before") + F.col("_within")).cast("int").alias(name)
-    )
+    order = [F.col(measure).desc_nulls_first(), *[F.col(c).asc() for c in tiebreak]]
+    sliced = in_slices(df, *[F.col(c) for c in part], *order)
+    placed = with_rows_before(sliced, part, F.lit(1), "_before")
+    within = F.row_number().over(Window.partitionBy(*part, SLICE).orderBy(*order))
+    return placed.select(*df.columns, (F.col("_before") + within).cast("int").alias(name))
 
 
 def rolling_avg(part: Sequence[str], order: str, column: str, rows: int) -> Column:

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from layercake import operators as ops
-from layercake.operators import pieces, windows
+from layercake.operators import windows
 
 c = F.col
 
@@ -122,19 +122,30 @@ def test_key_flags_count_distinct_keys(spark):
     assert rows(got, "g") == [("a", 2, 1, 16), ("b", 1, 0, 2)]
 
 
-def test_pieces_are_small_and_in_order(spark):
-    random.seed(5)
-    values = [7.0] * 4000 + [7.0 + i / 1e6 for i in range(4000)] + [random.gauss(0, 1e6) for _ in range(4000)]
-    df = spark.createDataFrame([(v,) for v in values], "v double")
-    points = pieces.cut_points(df, "v")["v"]
-    single = set(pieces.single_pieces(points))
+def test_slices_are_even_and_in_order(spark):
+    """A hot group with ties and a common prefix in its keys is spread over the slices."""
+    from layercake.operators.slices import SLICE, in_slices
+
+    data = [("hot", 7.0, f"Customer#{i:09d}") for i in range(4000)] + [(f"g{i % 5}", float(i), "x") for i in range(400)]
+    sliced = in_slices(spark.createDataFrame(data, "g string, v double, id string"), "g", c("v").desc(), "id")
     found = defaultdict(list)
-    for r in pieces.with_piece(df, "v", points, "p").collect():
-        found[r["p"]].append(r["v"])
-    assert single and all(set(found[p]) == {7.0} for p in single if p in found)
-    assert max(len(v) for p, v in found.items() if p not in single) < len(values) / 50
+    for r in sliced.collect():
+        found[r[SLICE]].append((r["g"], -r["v"], r["id"]))
+    assert len(found) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert max(map(len, found.values())) < 2 * len(data) / len(found)
     in_order = sorted(found)
-    assert all(max(found[a]) <= min(found[b]) for a, b in zip(in_order, in_order[1:]))
+    assert all(max(found[a]) < min(found[b]) for a, b in zip(in_order, in_order[1:]))
+
+
+@pytest.mark.parametrize("kind", ["string", "timestamp", "date", "boolean"])
+def test_rank_in_pieces_breaks_ties_of_any_type(spark, kind):
+    df = spark.range(1500).select(
+        F.lit("a").alias("g"), (c("id") % 2).alias("v"), F.concat(F.lit("Customer#"), F.lpad(c("id").cast("string"), 9, "0")).alias("text"), "id")
+    first = {"string": c("text"), "timestamp": F.timestamp_seconds(c("id") * 7919 % 1501), "boolean": c("id") % 3 == 0,
+             "date": F.date_add(F.lit("2020-01-01").cast("date"), (c("id") * 7919 % 1501).cast("int"))}[kind]
+    df = df.select("g", "v", first.alias("first"), "id")
+    assert rows(ops.rank_by_pieces(df, ["g"], "v", "r", ["first", "id"]), "r") == rows(
+        ops.rank_by(df, ["g"], {"r": "v"}, ["first", "id"]), "r")
 
 
 def test_rank_in_pieces_with_many_ties_and_large_decimals(spark):
