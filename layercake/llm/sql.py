@@ -104,4 +104,23 @@ SELECT d.doc_id, coalesce(len(s.s), 0)::BIGINT AS n_shingles, min(r.reached)::BI
 FROM documents d LEFT JOIN sets s ON d.doc_id = s.doc_id JOIN reach r ON d.doc_id = r.node GROUP BY d.doc_id, s.s
 """
 
-SQL = {"op1_lsh_forest": OP1, "op5_byte_shards": OP5, "op6_line_dedup": OP6, "op10_decontamination": OP10}
+OP2 = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_inner_product(a.e, b.e) / sqrt(list_inner_product(a.e, a.e) * list_inner_product(b.e, b.e)) >= 0.98
+), reach AS (
+  SELECT vec_id AS node, vec_id AS reached FROM embeddings
+  UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.reached
+)
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id)::BIGINT AS n_links,
+  min(r.reached)::BIGINT AS component_id, e.vec_id = min(r.reached) AS kept
+FROM embeddings e JOIN reach r ON e.vec_id = r.node GROUP BY e.vec_id
+"""
+
+SQL = {"op1_lsh_forest": OP1, "op2_pivot_index": OP2, "op5_byte_shards": OP5, "op6_line_dedup": OP6, "op10_decontamination": OP10}
