@@ -27,6 +27,8 @@ DIMENSIONS = 64
 NEIGHBOURS = 25
 SHARPNESS = 8
 CUT = 0.7
+ROUNDS = 12
+SEED = 7
 
 _SHAPES, _WORDS, _REPEATS = 1536, 480, 32
 TERMS = _SHAPES + _WORDS + _REPEATS
@@ -77,14 +79,20 @@ class Space:
     """Weights, directions and labelled vectors of a fitted space; plain arrays, ready to broadcast."""
 
     def __init__(self, counts: np.ndarray, labels: np.ndarray) -> None:
-        spread = (counts > 0).sum(0)
-        self.rarity = np.log((1 + len(counts)) / (1 + spread)) + 1
-        weighted = _unit(counts * self.rarity)
-        # Right singular vectors of the sample, from its Gram matrix.
-        values, vectors = np.linalg.eigh(weighted.T @ weighted)
-        largest = np.argsort(values)[::-1][:DIMENSIONS]
-        self.directions = vectors[:, largest]
-        self.vectors = _unit(weighted @ self.directions).astype(np.float32)
+        """``counts`` in single precision, one row per labelled document; it is weighted in place."""
+        self.rarity = (np.log((1 + len(counts)) / (1 + (counts > 0).sum(0))) + 1).astype(np.float32)
+        counts *= self.rarity
+        lengths = np.sqrt(np.einsum("ij,ij->i", counts, counts))[:, None]
+        counts /= np.where(lengths > 0, lengths, 1)
+        # Leading right singular vectors by subspace iteration: no matrix of terms by terms is needed.
+        basis = np.random.default_rng(SEED).normal(size=(counts.shape[1], DIMENSIONS + 16))
+        for _ in range(ROUNDS):
+            basis = np.linalg.qr(basis)[0].astype(np.float32)
+            basis = (counts.T @ (counts @ basis)).astype(np.float64)
+        basis = np.linalg.qr(basis)[0].astype(np.float32)
+        turned = np.linalg.svd((counts @ basis).astype(np.float64), full_matrices=False)[2]
+        self.directions = (basis @ turned[:DIMENSIONS].T.astype(np.float32)).astype(np.float64)
+        self.vectors = _unit((counts @ self.directions.astype(np.float32)).astype(np.float64)).astype(np.float32)
         self.labels = labels.astype(np.float64)
 
     def fields(self) -> dict[str, np.ndarray]:
@@ -135,7 +143,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
     )
     if not rows:
         return None
-    counts = np.stack([np.frombuffer(row.counts, np.float32) for row in rows]).astype(np.float64)
+    counts = np.empty((len(rows), TERMS), np.float32)
+    for i, row in enumerate(rows):
+        counts[i] = np.frombuffer(row.counts, np.float32)
     return Space(counts, np.array([row.quality for row in rows])).fields()
 
 
