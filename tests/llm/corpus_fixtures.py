@@ -13,10 +13,3 @@ def make(spark):
 
     return build
 
-
-def by_id(df, *columns):
-    """Rows of a result by their first column, repeated ids in a list."""
-    out = {}
-    for row in df.select("*").collect():
-        out.setdefault(row[0], []).append(tuple(row[c] for c in columns) if len(columns) > 1 else row[columns[0]])
-    return {key: values[0] if len(values) == 1 else sorted(values) for key, values in out.items()}

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+from corpus_fixtures import make  # noqa: F401
 from layercake.llm import lsh_forest
 from layercake.llm.components import connected_components
 

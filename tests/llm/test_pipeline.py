@@ -1,6 +1,7 @@
 """The pipeline: every stage on what the one before it kept, against what the operators say one by one."""
 
 import corpus_pipeline
+from corpus_fixtures import make  # noqa: F401
 from layercake.llm import decontaminate, lsh_forest, quality
 from layercake.llm.common import settle, table
 from layercake.llm.queries import QUERIES

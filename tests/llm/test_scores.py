@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from corpus_fixtures import make  # noqa: F401
 from layercake.llm import bpe, language, lm_scoring, quality, token_counts
 from layercake.llm.common import table
 

@@ -13,6 +13,7 @@ import regex
 import tiktoken
 from pyspark.sql import functions as F
 
+from corpus_fixtures import make  # noqa: F401
 from layercake.llm import bpe, decontaminate, line_runs, shards
 from layercake.llm.common import table
 
