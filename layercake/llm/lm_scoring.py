@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layercake.llm.common import light_batches
+from layercake.llm.common import broadcast_within, light_batches, settle
 
 SYMBOLS = 257
 EDGE = 256
@@ -136,8 +136,9 @@ def score(docs: DataFrame, target: dict[str, np.ndarray], background: dict[str,
 
 def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
     """Scores of all ``docs``, with the documents named in ``target_ids`` (``doc_id``) as the target corpus."""
-    marked = docs.select("doc_id", "text").join(
-        target_ids.select("doc_id").filter(F.col("doc_id").isNotNull()).distinct().withColumn("in_target", F.lit(True)),
-        "doc_id", "left",
-    ).withColumn("in_target", F.coalesce("in_target", F.lit(False)))
+    chosen = settle(target_ids.select("doc_id").filter(F.col("doc_id").isNotNull()).distinct(), "target")
+    chosen = broadcast_within(chosen.withColumn("in_target", F.lit(True)), 24)
+    marked = docs.select("doc_id", "text").join(chosen, "doc_id", "left").withColumn(
+        "in_target", F.coalesce("in_target", F.lit(False))
+    )
     return score(docs, *fit(marked, "in_target"))
