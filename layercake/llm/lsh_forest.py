@@ -10,10 +10,13 @@
    the clusters within which links can lie.
 4. The texts of a cluster meet in one task, where all of its pairs are compared on the full sets. Clusters
    above ``REGION`` nodes or ``CLUSTER_SHINGLES`` shingles meet region by region instead.
+5. Longer prefixes miss links, so all nodes that lie in a region of more than ``REGION`` nodes are joined exactly as
+   well: two sets can be alike only if they share one of the rarest shingles of both (prefix filter). Sets that do
+   and that are not in one component yet meet in blocks, pair of blocks by pair of blocks.
 
 A link of similarity 0.8 is missed by all 20 trees at depth 3 with probability (1 - 0.8^3)^20 = 6e-7 and
-by the sketch with about 1e-6. Below a region of more than ``REGION`` nodes a longer prefix is needed, there
-a link may be missed by more trees; nodes of such regions have many links, any of which joins them.
+by the sketch with about 1e-6. Both ends of any other link share a region of depth 3; where that is cut further,
+step 5 finds the link.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from layercake.llm.common import light_batches, settle
@@ -129,11 +132,19 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     )
 
 
-def regions(nodes: DataFrame, region: int = REGION) -> DataFrame:
-    """``tree``, ``key`` (of the region), ``node``, ``sketch``: every node in every tree, at adaptive depth."""
-    rows = nodes.select("node", "sketch", F.posexplode("keys").alias("tree", "key"))
+def placed_at_depth(nodes: DataFrame) -> DataFrame:
+    """``node``, ``sketch``, ``tree``, ``key``: every node in every tree, at ``DEPTH``."""
+    return nodes.select("node", "sketch", F.posexplode("keys").alias("tree", "key"))
+
+
+def regions(nodes: DataFrame, region: int = REGION, crowds: DataFrame | None = None) -> DataFrame:
+    """``tree``, ``key`` (of the region), ``node``, ``sketch``: every node in every tree, at adaptive depth.
+
+    ``crowds`` are the regions to cut first, where they are known.
+    """
+    rows = placed_at_depth(nodes)
     for depth in LONGER:
-        dense = _dense(rows, region)
+        dense, crowds = _dense(rows, region) if crowds is None else crowds, None
         if dense.isEmpty():
             return rows
         rotated = F.substring(F.concat("sketch", "sketch"), 1, 2 * MINIMA)
@@ -311,6 +322,97 @@ def confirmed(texts: DataFrame, width: int, threshold: int) -> DataFrame:
     )
 
 
+def rarest_shingles(texts: DataFrame, width: int, threshold: int) -> DataFrame:
+    """``node``, ``n`` (shingles of the set), ``shingle``: the prefix of every set of ``texts`` (``doc_id``, ``text``).
+
+    Shingles are ordered by the number of sets that hold them. Of a set of n shingles the first n - ceil(n *
+    threshold / 100) + 1 count; if two sets are alike, these have a shingle in common. Those of one set are left out.
+    """
+    kind = texts.schema["doc_id"].dataType.simpleString()
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingler(width)
+        for batch in batches:
+            for node, text in zip(batch.column("doc_id"), batch.column("text").to_pylist()):
+                if n := len(one := shingles(text)):
+                    digest = xxhash.xxh3_64_intdigest(one.tobytes()) >> 1
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.repeat(node, n), pa.repeat(pa.scalar(digest, pa.int64()), n),
+                         pa.repeat(pa.scalar(n, pa.int64()), n), pa.array(one.view(np.int64))],
+                        ["node", "digest", "n", "shingle"],
+                    )
+
+    rows = settle(
+        texts.select("doc_id", "text").mapInArrow(spell, f"node {kind}, digest long, n long, shingle long"), "crowd-shingles"
+    )
+    # Copies below one id count as further sets, which changes the order and no link.
+    often = rows.groupBy("shingle").agg(F.count("*").alias("often")).filter("often > 1")
+    one_set = Window.partitionBy("node", "digest")
+    ranked = rows.distinct().join(often, "shingle").select(
+        "node", "n", "shingle", F.row_number().over(one_set.orderBy("often", "shingle")).alias("rank"),
+        (F.col("n") - F.count("*").over(one_set)).alias("single"),
+    )
+    prefix = F.col("n") - F.ceil(F.col("n") * threshold / 100) + 1
+    return ranked.filter(F.col("single") + F.col("rank") <= prefix).select("node", "n", "shingle")
+
+
+def block_pairs(sized: DataFrame, threshold: int, rows: int, shingles: int) -> DataFrame:
+    """``node``, ``cluster``, ``region``: the nodes of every cluster in pairs of blocks, so that any two may meet.
+
+    ``sized`` has ``cluster``, ``node``, ``component``, ``n``. Blocks hold sets of similar sizes. Pairs whose sizes are too
+    far apart, or whose nodes are all in one component, are left out.
+    """
+    before = Window.partitionBy("cluster").orderBy("n", "node").rowsBetween(Window.unboundedPreceding, -1)
+    blocked = settle(
+        sized.select(
+            "cluster", "node", "component", "n",
+            (F.floor(F.count("*").over(before) / max(rows // 2, 1))
+             + F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / max(shingles // 2, 1))).alias("block"),
+        ),
+        "blocks",
+    )
+    edges = blocked.groupBy("cluster", "block").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"),
+        F.min("component").alias("first"), F.max("component").alias("last"),
+    )
+    a, b = (edges.select("cluster", *[F.col(c).alias(side + c) for c in edges.columns[1:]]) for side in ("a_", "b_"))
+    pairs = a.join(b, "cluster").filter(
+        (F.col("a_block") <= F.col("b_block")) & (100 * F.col("a_high") >= threshold * F.col("b_low"))
+        & (F.least("a_first", "b_first") < F.greatest("a_last", "b_last"))
+    )
+    sides = pairs.select(
+        "cluster", F.explode(F.array_distinct(F.array("a_block", "b_block"))).alias("block"),
+        F.xxhash64("cluster", "a_block", "b_block").alias("region"),
+    )
+    return blocked.join(sides, ["cluster", "block"]).select("node", "cluster", "region").distinct()
+
+
+def crowd_links(
+    docs: DataFrame, crowd: DataFrame, found: DataFrame, width: int, threshold: int, region: int, cluster_shingles: int
+) -> DataFrame:
+    """``a``, ``b``: exact links between the nodes of ``crowd`` (``node``) that ``found`` (``node``, ``component``) lacks."""
+    prefixes = rarest_shingles(docs.join(_within(crowd.withColumnRenamed("node", "doc_id")), "doc_id"), width, threshold)
+    prefixes = settle(
+        prefixes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "prefixes"
+    )
+    # Sets that share a shingle hang on the smallest of them; where all are in one component there is nothing to find.
+    shared = prefixes.groupBy("shingle").agg(
+        F.min("node").alias("least"), F.min("component").alias("first"), F.max("component").alias("last")
+    ).filter("first < last")
+    hung = settle(prefixes.join(shared, "shingle").select("node", "least", "component", "n").distinct(), "hung")
+    clusters = connected_components(hung.select(F.col("node").alias("a"), F.col("least").alias("b")))
+    sized = hung.select("node", "component", "n").distinct().join(clusters.withColumnRenamed("component", "cluster"), "node")
+    members = settle(
+        block_pairs(sized, threshold, region, cluster_shingles).withColumnRenamed("node", "doc_id"), "crowd-members"
+    )
+    return confirmed(docs.select("doc_id", "text").join(_within(members), "doc_id"), width, threshold)
+
+
+def _within(members: DataFrame) -> DataFrame:
+    """``members`` (written before), marked for broadcast if their counted size allows."""
+    return F.broadcast(members) if members.count() * 40 <= BROADCAST_BYTES else members
+
+
 def near_duplicates(
     docs: DataFrame, width: int = 5, threshold: int = THRESHOLD, region: int = REGION,
     cluster_shingles: int = CLUSTER_SHINGLES,
@@ -330,7 +432,8 @@ def near_duplicates(
     )
     nodes = signed.join(sets.select("d1", "d2", F.col("node").alias("doc_id")), ["d1", "d2", "doc_id"])
     nodes = nodes.select(F.col("doc_id").alias("node"), "n_shingles", "keys", "sketch").distinct()
-    tied = settle(ties(regions(nodes, region)), "ties")
+    crowds = _dense(placed_at_depth(nodes), region)
+    tied = settle(ties(regions(nodes, region, crowds)), "ties")
     clusters = settle(
         connected_components(tied.select(F.col("node").alias("a"), F.col("root").alias("b"))), "clusters"
     )
@@ -352,12 +455,15 @@ def near_duplicates(
     members = settle(
         members.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"), "region"), "members"
     )
-    if members.count() * 40 <= BROADCAST_BYTES:
-        members = F.broadcast(members)
-    texts = docs.select("doc_id", "text").join(members, "doc_id")
+    texts = docs.select("doc_id", "text").join(_within(members), "doc_id")
     links = confirmed(texts, width, threshold)
     # A cluster that was compared whole gives its components at once.
     found = connected_components(links) if any_large else links.toDF("node", "component")
+    if not crowds.isEmpty():
+        found = settle(found, "found")
+        crowd = placed_at_depth(nodes).join(crowds, ["tree", "key"]).select("node").distinct()
+        more = crowd_links(docs, settle(crowd, "crowd"), found, width, threshold, region, cluster_shingles)
+        found = connected_components(found.toDF("a", "b").unionByName(more))
     classes = (
         sets.join(found, "node", "left")
         .select("d1", "d2", "copies", "node", F.coalesce("component", "node").alias("class"))

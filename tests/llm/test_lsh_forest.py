@@ -72,6 +72,20 @@ def test_deeper_regions_find_no_wrong_link(make, corpus):
     assert sum(found[i] != i for i in found) >= 0.7 * sum(expected[i] != i for i in expected)
 
 
+@pytest.mark.parametrize("limits", [{"region": 8}, {"region": 16, "cluster_shingles": 2000}])
+def test_star_in_regions_above_the_limit_equals_brute_force(make, limits):
+    """Edited copies that are alike to their base alone: longer prefixes miss them, the exact join does not."""
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    texts = [" ".join(base)] + [edited(rng, base, 5) for _ in range(120)] + [edited(rng, base, 14) for _ in range(20)]
+    rows = list(enumerate(texts)) + [(3, texts[7]), (60, "something else of its own"), (500, None)]
+    rng.shuffle(rows)
+    expected = brute(rows, 4)
+    assert 100 < sum(c == 0 for c in expected.values()) < len(expected)
+    found = lsh_forest.near_duplicates(make(rows), width=4, **limits).collect()
+    assert {r.doc_id: r.component_id for r in found} == expected and len(found) == len(rows)
+
+
 def test_nodes_that_agree_in_all_minima_stay_together(spark):
     """More equal signatures than a region holds: they are dealt into parts with one node in common."""
     rows = [(i, [7] * lsh_forest.TREES, bytes(lsh_forest.MINIMA)) for i in range(50)]
