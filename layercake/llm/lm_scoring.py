@@ -1,6 +1,12 @@
 """Cross-entropy difference: how much better a target language model predicts a text than a background model.
 
-Both models are byte trigram models over one vocabulary (the 256 byte values and an edge mark) with the same
+``word_cross_entropy_difference`` (the registered query) uses word bigram models over the vocabulary of all documents.
+Both models are distributed tables with every pair of words that occurs, so they grow with the corpus: nothing is
+capped, and besides five totals only the most frequent pairs are broadcast, in a table of fixed size that spares them
+the shuffle (and the hot keys); all other pairs of a document meet their losses in a shuffled join. Smoothing is
+interpolated Witten-Bell: pairs, words, uniform over the vocabulary.
+
+``cross_entropy_difference`` is the same on bytes, small enough to be held whole. Both of its models are byte trigram models over one vocabulary (the 256 byte values and an edge mark) with the same
 interpolated Witten-Bell smoothing, so they differ in their counts only. The target model counts the texts of a
 target corpus, the background model those of all documents. The counts of the background are scaled to the
 mass of the target, so that smoothing weighs equally in both ("matched" models).
@@ -19,13 +25,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layercake.llm.common import broadcast_within, light_batches, settle
 
 SYMBOLS = 257
 EDGE = 256
+# The pairs of words that are looked up by broadcast (24 bytes each) before the others are shuffled.
+FREQUENT = 200_000
+
+_CACHED_WORDS = 500_000
 
 
 def trigram_codes(text: str | None) -> np.ndarray:
@@ -134,11 +145,142 @@ def score(docs: DataFrame, target: dict[str, np.ndarray], background: dict[str,
     return weighed.withColumn("score", F.col("target_bits") - F.col("background_bits"))
 
 
-def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
-    """Scores of all ``docs``, with the documents named in ``target_ids`` (``doc_id``) as the target corpus."""
+def _marked(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
+    """``doc_id``, ``text`` and ``in_target`` of all ``docs``."""
     chosen = settle(target_ids.select("doc_id").filter(F.col("doc_id").isNotNull()).distinct(), "target")
     chosen = broadcast_within(chosen.withColumn("in_target", F.lit(True)), 24)
-    marked = docs.select("doc_id", "text").join(chosen, "doc_id", "left").withColumn(
+    return docs.select("doc_id", "text").join(chosen, "doc_id", "left").withColumn(
         "in_target", F.coalesce("in_target", F.lit(False))
     )
-    return score(docs, *fit(marked, "in_target"))
+
+
+def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
+    """Scores of all ``docs``, with the documents named in ``target_ids`` (``doc_id``) as the target corpus."""
+    return score(docs, *fit(_marked(docs, target_ids), "in_target"))
+
+
+class WordPairs:
+    """Texts to pairs of 64-bit word hashes: A-Z lower-cased, parted at ASCII blanks, with an edge (0) at both ends."""
+
+    def __init__(self) -> None:
+        self.seen: dict[bytes, int] = {}
+
+    def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+        if len(self.seen) > _CACHED_WORDS:
+            self.seen.clear()
+        for word in set(words).difference(self.seen):
+            self.seen[word] = xxhash.xxh3_64_intdigest(word)
+        hashes = np.fromiter(map(self.seen.__getitem__, words), np.uint64, len(words))
+        edge = np.zeros(1, np.uint64)
+        return np.concatenate([edge, hashes]).view(np.int64), np.concatenate([hashes, edge]).view(np.int64)
+
+
+def pair_codes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """One 64-bit code for every pair."""
+    x = first.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + second.view(np.uint64)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return (x ^ (x >> np.uint64(29))).view(np.int64)
+
+
+def pair_counts(docs: DataFrame) -> DataFrame:
+    """``code``, ``first``, ``second``, ``target``, ``background``: how often each pair occurs in target rows and in all."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = WordPairs()
+        for batch in batches:
+            parts = [pairs(text) for text in batch.column("text").to_pylist()]
+            if not parts:
+                continue
+            first, second = (np.concatenate(side) for side in zip(*parts))
+            codes, at, place = np.unique(pair_codes(first, second), return_index=True, return_inverse=True)
+            marks = np.repeat(np.array(batch.column("in_target").to_pylist(), np.float64), [len(p[0]) for p in parts])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(codes), pa.array(first[at]), pa.array(second[at]),
+                 pa.array(np.bincount(place, marks).astype(np.int64)), pa.array(np.bincount(place).astype(np.int64))],
+                ["code", "first", "second", "target", "background"],
+            )
+
+    partial = docs.select("text", "in_target").mapInArrow(
+        count, "code long, first long, second long, target long, background long"
+    )
+    return partial.groupBy("code").agg(
+        F.min("first").alias("first"), F.min("second").alias("second"),
+        F.sum("target").alias("target"), F.sum("background").alias("background"),
+    )
+
+
+def pair_bits(counts: DataFrame) -> DataFrame:
+    """``code``, ``background`` (count), ``near``, ``far``: losses of every pair in the target and the background model."""
+    sums = [F.sum("target").alias("target"), F.sum("background").alias("background")]
+    kinds = [F.count_if(F.col("target") > 0).alias("target_kinds"), F.count("*").alias("background_kinds")]
+    words = settle(counts.groupBy("second").agg(*sums), "words")
+    contexts = counts.groupBy("first").agg(*sums, *kinds)
+    total = words.agg(*sums, *kinds).first()
+    # The background is scaled to the mass of the target.
+    scale = (total["target"] or 0) / (total["background"] or 1) or 1.0
+
+    def bits(model: str, factor: float) -> Column:
+        mass, seen = (total[model] or 0) * factor, total[f"{model}_kinds"]
+        uniform = 1 / max(total["background_kinds"], 1)
+        word = (F.col(f"word_{model}") * factor + seen * uniform) / (mass + seen) if seen else F.lit(uniform)
+        left = F.col(f"after_{model}_kinds")
+        pair = (F.col(model) * factor + left * word) / (F.col(f"after_{model}") * factor + left)
+        return -F.log2(F.when(left > 0, pair).otherwise(word))
+
+    joined = counts.join(words.select("second", *[F.col(c).alias(f"word_{c}") for c in words.columns[1:]]), "second").join(
+        contexts.select("first", *[F.col(c).alias(f"after_{c}") for c in contexts.columns[1:]]), "first"
+    )
+    return joined.select("code", "background", bits("target", 1.0).alias("near"), bits("background", scale).alias("far"))
+
+
+def _least_frequent(bits: DataFrame) -> int:
+    """The smallest power of two that at most ``FREQUENT`` pairs reach by their counts."""
+    levels = dict(bits.groupBy(F.length(F.bin("background"))).count().collect())  # at most 63 rows
+    least, held = max(levels, default=0) + 1, 0
+    while least > 1 and held + levels.get(least - 1, 0) <= FREQUENT:
+        least -= 1
+        held += levels.get(least, 0)
+    return 2 ** (least - 1)
+
+
+def document_pairs(docs: DataFrame) -> DataFrame:
+    """``k`` (of the row), ``code``, ``n``: how often each pair occurs in a document."""
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = WordPairs()
+        for batch in batches:
+            parts = [np.unique(pair_codes(*pairs(text)), return_counts=True) for text in batch.column("text").to_pylist()]
+            if parts:
+                keys = np.repeat(batch.column("k").to_numpy(), [len(p[0]) for p in parts])
+                codes, often = (np.concatenate(side) for side in zip(*parts))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys), pa.array(codes), pa.array(often.astype(np.int32))], ["k", "code", "n"]
+                )
+
+    return docs.select(F.xxhash64("text").alias("k"), "text").mapInArrow(spell, "k long, code long, n int")
+
+
+def word_cross_entropy_difference(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
+    """``doc_id``, ``n_symbols``, ``target_bits``, ``background_bits``, ``score`` for every row of ``docs``.
+
+    The target corpus are the documents named in ``target_ids`` (``doc_id``), the background are all documents. Bits are
+    means per word, the end of the text included, so texts without words have one symbol. With an empty target the
+    target model is uniform. Rows of equal texts get equal scores; null ids are passed on and are in no target.
+    """
+    light_batches(docs.sparkSession)
+    bits = settle(pair_bits(settle(pair_counts(_marked(docs, target_ids)), "pairs")), "pair-bits")
+    frequent = settle(bits.filter(F.col("background") >= _least_frequent(bits)), "frequent-pairs")
+    pairs = document_pairs(docs)
+    sums = [F.sum(F.col("n") * F.col(c)).alias(c) for c in ("near", "far")] + [F.sum("n").alias("n")]
+    often = pairs.join(F.broadcast(frequent.drop("background")), "code").groupBy("k").agg(*sums)
+    rare = pairs.join(F.broadcast(frequent.select("code")), "code", "left_anti").join(bits, "code").groupBy("k").agg(*sums)
+    # Equal texts add up under one key, which leaves the means as they are; each of the rows has its share of symbols.
+    means = often.unionByName(rare).groupBy("k").agg(*[F.sum(c).alias(c) for c in ("near", "far", "n")])
+    rows = docs.select("doc_id", F.xxhash64("text").alias("k"))
+    shared = rows.groupBy("k").agg(F.count("*").alias("rows")).join(means, "k")
+    near, far = F.col("near") / F.col("n"), F.col("far") / F.col("n")
+    return rows.join(shared, "k").select(
+        "doc_id", (F.col("n") / F.col("rows")).cast("long").alias("n_symbols"), near.alias("target_bits"),
+        far.alias("background_bits"), (near - far).alias("score"),
+    )

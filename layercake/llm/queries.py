@@ -66,7 +66,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = table(spark, sf_dir, "labels").filter("quality = 1 AND toxic = 0")
-    return lm_scoring.cross_entropy_difference(table(spark, sf_dir, "documents"), good)
+    return lm_scoring.word_cross_entropy_difference(table(spark, sf_dir, "documents"), good)
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

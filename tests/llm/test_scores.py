@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from corpus_fixtures import make  # noqa: F401
 from layercake.llm import bpe, language, lm_scoring, quality, token_counts
 from layercake.llm.common import table
+from layercake.llm.queries import QUERIES
 
 SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
@@ -244,3 +245,57 @@ def test_lm_empty(spark, make):
     assert lm_scoring.cross_entropy_difference(make([]), target).count() == 0
     found = lm_scoring.cross_entropy_difference(make([(2, "ab")]), target).collect()
     assert found[0].target_bits == pytest.approx(math.log2(257))
+
+
+def words_by_hand(rows, chosen):
+    """Mean losses of every row by Witten-Bell word bigrams counted plainly; target rows have an id in ``chosen``."""
+    split = lambda text: [b"", *(text or "").encode().lower().split(), b""]
+    pairs = [list(zip(split(t), split(t)[1:])) for _, t in rows]
+    far = Counter(p for ps in pairs for p in ps)
+    near = Counter(p for (i, _), ps in zip(rows, pairs) if i in chosen for p in ps)
+    vocabulary = len({w for _, w in far})
+
+    def model(counts, scale):
+        one, mass, kinds = Counter(), Counter(), Counter()
+        for (v, w), n in counts.items():
+            one[w] += n * scale
+            mass[v] += n * scale
+            kinds[v] += 1
+        total = sum(one.values())
+
+        def chance(v, w):
+            p = (one[w] + len(one) / vocabulary) / (total + len(one)) if one else 1 / vocabulary
+            return (counts[v, w] * scale + kinds[v] * p) / (mass[v] + kinds[v]) if kinds[v] else p
+
+        return chance
+
+    models = model(near, 1.0), model(far, sum(near.values()) / sum(far.values()) or 1.0)
+    return [(i, len(ps), *(np.mean([-math.log2(m(*p)) for p in ps]) for m in models)) for (i, _), ps in zip(rows, pairs)]
+
+
+def same(found, expected):
+    order = lambda r: (r[0] or 0, r[1], round(r[2], 6))
+    found = sorted(((r.doc_id, r.n_symbols, r.target_bits, r.background_bits) for r in found), key=order)
+    expected = sorted(expected, key=order)
+    assert [r[:2] for r in found] == [r[:2] for r in expected]
+    assert np.array([r[2:] for r in found]) == pytest.approx(np.array([r[2:] for r in expected]))
+
+
+def test_query_scores_by_all_word_pairs_of_the_corpus(spark):
+    rows = [(r.doc_id, r.text) for r in table(spark, SMALL, "documents").collect()]
+    chosen = {r.doc_id for r in table(spark, SMALL, "labels").filter("quality = 1 AND toxic = 0").collect()}
+    same(QUERIES["op9_cross_entropy_difference"](spark, SMALL).collect(), words_by_hand(rows, chosen))
+
+
+@pytest.mark.parametrize("chosen", [{1, 2}, set()])
+def test_word_pairs_on_odd_rows(spark, make, monkeypatch, chosen):
+    monkeypatch.setattr(lm_scoring, "FREQUENT", 4)
+    rows = [(1, "dog bites man"), (2, "a dog a Dog"), (3, "man bites dog"), (4, None), (5, ""), (5, "again a"),
+            (None, "dog bites man"), (1, "dog bites man"), (7, "dog bites man"), (8, " ")]
+    target = spark.createDataFrame([(i,) for i in [*chosen, *chosen, 77, None]], "doc_id long")
+    found = lm_scoring.word_cross_entropy_difference(make(rows), target).collect()
+    same(found, words_by_hand(rows, chosen))
+    if chosen:
+        score = {r.doc_id: r.score for r in found}
+        assert score[7] < score[3]  # the same words in another order
+    assert lm_scoring.word_cross_entropy_difference(make([]), target).count() == 0
