@@ -35,9 +35,24 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id stays of every group of near duplicates (five words, 0.8)."""
-    extra = lsh_forest.near_duplicates(docs).filter(~F.col("kept")).select("doc_id")
-    return docs.join(extra.distinct(), "doc_id", "left_anti").select(docs.columns)
+    """The document with the smallest id stays of every group of near duplicates (five words, 0.8).
+
+    Only rows whose own text is a copy go: different texts below one id, or without an id, are documents of their own, those
+    without an id behind all others.
+    """
+    key = F.xxhash64("text")
+    texts = docs.groupBy("doc_id").agg(F.min(key).alias("low"), F.max(key).alias("high"))
+    if texts.filter("doc_id IS NULL OR low <> high").isEmpty():
+        extra = lsh_forest.near_duplicates(docs).filter(~F.col("kept")).select("doc_id")
+        return docs.join(extra.distinct(), "doc_id", "left_anti").select(docs.columns)
+    keyed = docs.select(F.col("doc_id").alias("_id"), key.alias("_k")).distinct()
+    # Numbered in the order of the ids, so that the smallest stays.
+    ranked = keyed.orderBy(F.col("_id").asc_nulls_last(), "_k").withColumn("_node", F.monotonically_increasing_id())
+    ranked = settle(ranked, "text-numbers")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (key == F.col("_k"))
+    numbered = settle(docs.join(ranked, same).select(F.col("_node").alias("doc_id"), "text"), "numbered-texts")
+    copies = lsh_forest.near_duplicates(numbered).filter(~F.col("kept")).select(F.col("doc_id").alias("_node")).distinct()
+    return docs.join(ranked.join(copies, "_node", "left_semi"), same, "left_anti").select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -54,6 +54,18 @@ def test_stages_on_odd_rows(spark, make):
         assert stage(spark, empty, SMALL).count() == 0
 
 
+def test_near_dedup_removes_rows_by_their_own_text(spark, make):
+    """Ids that repeat with different texts, and rows without an id."""
+    one, two, three = (" ".join(f"{c}{i}" for i in range(60)) for c in "abc")
+    rows = [(1, one), (2, one + " end"), (2, two), (None, one), (None, three), (None, three), (None, three + " end"),
+            (5, None), (5, ""), (None, None)]
+    kept = corpus_pipeline.minhash_near_dedup(spark, make(rows), SMALL)
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    without = [x for x in found if x not in ((None, three), (None, three + " end"))]
+    assert without == sorted([(1, one), (2, two), (5, None), (5, ""), (None, None)], key=str)
+    assert [x for x in found if x not in without] in ([(None, three)] * 2, [(None, three + " end")])
+
+
 def test_what_is_registered():
     assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 11))
     assert set(SQL) <= set(QUERIES)
