@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layercake.llm import (
-    bpe, decontaminate, language, line_runs, lm_scoring, lsh_forest, pivots, quality, shards, token_counts,
+    bpe, chunk_reuse, decontaminate, language, line_runs, lm_scoring, lsh_forest, pivots, quality, rotation, shards,
+    spelling, token_counts,
 )
 from layercake.llm.common import settle, table
 
@@ -77,10 +78,29 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), typo_every=97)
+
+
+def op12_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = chunk_reuse.ByteBpe.read()
+    encoded = chunk_reuse.encode(table(spark, sf_dir, "documents"), tokenizer)
+    return bpe.digests(chunk_reuse.decode(encoded, tokenizer))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = rotation.restored(rotation.transform(table(spark, sf_dir, "documents")))
+    return back.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2("text", 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_lsh_forest, op2_pivot_index, op3_quality, op4_language_fusion, op5_byte_shards, op6_line_dedup,
-        op7_token_rollup, op8_byte_bpe, op9_cross_entropy_difference, op10_decontamination,
+        op7_token_rollup, op8_byte_bpe, op9_cross_entropy_difference, op10_decontamination, op11_spelling_variants,
+        op12_chunk_reuse, op13_fill_in_middle,
     )
 }
