@@ -17,8 +17,8 @@ from layercake.operators.incremental import (
     reconcile,
     upsert,
     read_upserted,
-    replace_path,
-    upsert_path,
+    replace_table,
+    upsert_table,
 )
 from layercake.operators.joins import (
     left_join_where_left,
@@ -39,6 +39,6 @@ __all__ = [
     "feed_summary", "first_by", "grouped_median", "grouped_mode", "high_water_mark", "keep_latest", "key_flags",
     "lag_growth", "left_join_where_left", "load_json_docs", "lookup_key", "new_rows",
     "partition_avg", "rank_by", "rank_by_pieces", "reconcile", "replace_docs", "rolling_avg",
-    "settle", "upsert", "read_upserted", "replace_path", "upsert_path", "validate_document",
+    "settle", "upsert", "read_upserted", "replace_table", "upsert_table", "validate_document",
     "weighted_mode",
 ]

@@ -5,19 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from datetime import date
+from typing import TYPE_CHECKING
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layercake import rules
-from layercake.operators.incremental import new_rows, read_upserted, replace_path, upsert_path
+from layercake.operators.incremental import new_rows, read_upserted, replace_table, upsert_table
 from layercake.operators.settle import settle
 from layercake.plans import analytics, calendar, dimensions, facts, intermediate, staging
 from layercake.plans.dimensions import key_table
 from layercake.plans.run import Run
 from layercake.sources.sinks import layer_name, write_table
-from layercake.sources.versions import VersionedTable
+from layercake.sources import catalog
+
+if TYPE_CHECKING:
+    from layercake.quality.checks import Watched
 
 DEFAULT_SCHEMA = "default"
 _LEAST_IDS_PER_PART, _PARTS = 10_000_000, 500
@@ -34,6 +38,7 @@ class Incremental:
     policy: str
     part: Callable[[str, int], Column]
     by_key: bool = False  # the partition is a function of the key
+    bucket: str = ""  # what the rows are joined on
 
 
 @dataclass(frozen=True)
@@ -69,18 +74,20 @@ def _mart(*extra: str) -> frozenset[str]:
 
 
 _HEADERS = Incremental(
-    "order_id", "order_header", "order_ts", "order_timestamp", "fail", _day_number("order_timestamp")
+    "order_id", "order_header", "order_ts", "order_timestamp", "fail", _day_number("order_timestamp"),
+    bucket="order_id",
 )
 _DETAILS = Incremental(
     "order_detail_id", "order_detail", "order_detail_id", "order_detail_id", "fail",
-    _id_range("order_detail_id"), by_key=True,
+    _id_range("order_detail_id"), by_key=True, bucket="order_id",
 )
 _ORDERS = Incremental(
-    "order_id", "int_orders_enriched", "updated_ts", "updated_ts", "sync", _day_number("order_timestamp")
+    "order_id", "int_orders_enriched", "updated_ts", "updated_ts", "sync", _day_number("order_timestamp"),
+    bucket="order_sk",
 )
 _LINES = Incremental(
     "order_detail_id", "stg_pos_order_details", "updated_ts", "updated_ts", "sync",
-    _id_range("order_detail_id"), by_key=True,
+    _id_range("order_detail_id"), by_key=True, bucket="order_sk",
 )
 
 # In build order: every model follows its inputs. Names, layers, tags, keys.
@@ -162,8 +169,8 @@ _KEYS: dict[str, Callable[["Layers"], DataFrame]] = {
         ("cost_of_goods_usd", "item_category", "item_subcategory", "truck_brand_name",
          "is_vegetarian", "is_vegan", "is_gluten_free"),
     ),
-    # The fact has one row per staged order; where it is not built yet the staged ids stand in.
-    "order_keys": lambda layers: layers.built("fact_order", "stg_pos_order_headers").select("order_id"),
+    # The fact has one row per staged order, and staged orders are stored by their ids.
+    "order_keys": lambda layers: layers.built("stg_pos_order_headers", "fact_order").select("order_id"),
 }
 
 # Inputs that a model reads more than once. With ``write_shared`` they are written once to the shared folder
@@ -211,8 +218,9 @@ class Layers:
         self._known[name] = table
         self._tables.add(name)
 
-    def built(self, name: str, otherwise: str) -> DataFrame:
-        return self[name] if name in self._tables else self[otherwise]
+    def built(self, *names: str) -> DataFrame:
+        """The first of the models that is a written table, else the first."""
+        return self[next((name for name in names if name in self._tables), names[0])]
 
     def compose(self, name: str, replaced: Mapping[str, DataFrame] | None = None) -> DataFrame:
         model = MODELS[name]
@@ -248,27 +256,33 @@ def _existing(spark: SparkSession, name: str, path: str) -> DataFrame | None:
         raise
 
 
-def _materialize(layers: Layers, name: str, base: str, full_refresh: bool, grain: str) -> DataFrame:
+def _materialize(
+    layers: Layers, name: str, base: str, full_refresh: bool, grain: str, buckets: int, watched: Watched | None
+) -> DataFrame:
     spark, model, path = layers.spark, MODELS[name], _location(base, name)
+    watch = watched.watch if watched else lambda rows: rows
     if model.kind == "view":
         return layers[name]
     if model.grows is None:
-        return write_table(layers.compose(name), path)
+        return write_table(watch(layers.compose(name)), path)
     grows = model.grows
     target = None if full_refresh else _existing(spark, name, path)
-    fresh = new_rows(layers[grows.source], target, grows.source_col, grows.target_col)
+    before = catalog.newest(spark, path) if target is not None else None
+    by_footers = before is not None and not before.mixed
+    fresh = new_rows(layers[grows.source], target, grows.source_col, grows.target_col, by_footers)
     batch = layers.compose(name, {grows.source: fresh})
     width = 1
     if grows.by_key:
-        before = VersionedTable(spark, path).latest() if target is not None else None
-        width = before.properties["width"] if before else _id_width(batch, grows.key)
-    batch = batch.withColumn("_part", grows.part(grain, width))
-    # Evens out the files of a partition without putting a large day into one task.
-    batch = batch.hint("rebalance", "_part")
+        width = int(before.properties["width"]) if before else _id_width(batch, grows.key)
+    batch = watch(batch).withColumn("_part", grows.part(grain, width))
+    dealt = catalog.Buckets((grows.bucket,), buckets) if buckets and grows.bucket else None
+    if not dealt:
+        # Evens out the files of a partition without putting a large day into one task.
+        batch = batch.hint("rebalance", "_part")
     if target is None:
-        replace_path(batch, path, "_part", {"width": width})
+        replace_table(batch, path, "_part", {"width": width}, dealt)
     else:
-        upsert_path(batch, path, grows.key, grows.policy, "_part", grows.by_key)
+        upsert_table(batch, path, grows.key, grows.policy, "_part", grows.by_key)
     return read_upserted(spark, path).drop("_part")
 
 
@@ -288,6 +302,7 @@ def build(
     known_failures: Iterable[tuple[str, str, str]] = (),
     full_refresh: bool = False,
     grain: str = "day",
+    buckets: int = 0,
     calendar_start: str | date = rules.CALENDAR_START,
     calendar_end: str | date = rules.CALENDAR_END,
 ) -> dict[str, DataFrame]:
@@ -295,12 +310,15 @@ def build(
 
     Models that are not selected are read from ``base`` where an earlier build left them and
     composed otherwise. Incremental models take only rows above their mark, unless
-    ``full_refresh``. With ``gates`` the data tests of each table group run after it; a failing
-    test of severity error stops the build, except for the ``known_failures`` given as (model,
-    column, test).
+    ``full_refresh``. With ``buckets`` they are stored in so many buckets by what they are joined on, so
+    that those joins need no shuffle. With ``gates`` the data tests of each table group decide whether the next one is
+    built; a failing test of severity error stops the build, except for the ``known_failures`` given as (model,
+    column, test). Row-level tests of tables are counted by the write itself, of an increment for the rows it
+    brings; only uniqueness, relationships and the tests of views are passes of their own.
     """
     # Models and tests refer to each other.
     from layercake.quality.catalogue import RULES
+    from layercake.quality.checks import Watched
     from layercake.quality.suite import check_models
 
     layers = Layers(spark, raw, run, calendar_start, calendar_end)
@@ -314,11 +332,14 @@ def build(
     groups = ["utils", "staging", "intermediate", "core", "analytics"]
     for group in groups:
         names = [n for n in selected if group in MODELS[n].tags]
+        tested = [n for n in names if gates and n in RULES]
+        watched = {n: Watched(n, RULES[n]) for n in tested if MODELS[n].kind != "view"}
         for name in names:
-            done[name] = layers[name] = _materialize(layers, name, base, full_refresh, grain)
-        tested = [n for n in names if n in RULES]
-        if gates and tested:
-            _gate(check_models(layers, tested), set(known_failures))
+            done[name] = layers[name] = _materialize(
+                layers, name, base, full_refresh, grain, buckets, watched.get(name)
+            )
+        if tested:
+            _gate(check_models(layers, tested, watched), set(known_failures))
     return done
 
 

@@ -434,7 +434,7 @@ def incremental_table(spark: SparkSession, directory: str) -> DataFrame:
     orders = table(spark, directory, "orders").select(*ORDER_COLUMNS, year)
     path = shared_dir(spark, "orders")
     for batch in (orders, _batch(orders), _batch(orders)):
-        ops.upsert_path(batch, path, "o_orderkey", partition_by="part")
+        ops.upsert_table(batch, path, "o_orderkey", partition_by="part")
     return ops.read_upserted(spark, path).select(*ORDER_COLUMNS)
 
 

@@ -1,7 +1,8 @@
 """Data tests on DataFrames.
 
-A test counts failing rows, and NULL fails none but ``not_null``. All row-level tests of a table
-share one aggregate; uniqueness and relationships are one aggregate each, on counts per value.
+A test counts failing rows, and NULL fails none but ``not_null``. All row-level tests of a table share one aggregate,
+or are observed while the table is written (``Watched``); its uniqueness tests share another, on counts per rule and
+value; relationships are one aggregate each.
 """
 
 from __future__ import annotations
@@ -11,8 +12,9 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 RESULT = "model string, column string, test string, severity string, failures bigint"
 
@@ -60,15 +62,46 @@ def _result(model: str, rule: Rule, failures: Column) -> Column:
     )
 
 
-def _row_level(df: DataFrame, model: str, rules: Sequence[Rule]) -> DataFrame:
+def is_row_level(rule: Rule) -> bool:
+    return rule.test not in ("unique", "relationships")
+
+
+def failure_counts(rules: Sequence[Rule]) -> list[Column]:
+    """One aggregate ``_<number>`` per row-level rule."""
     counts = []
     for number, rule in enumerate(rules):
         failing = _failing(rule)
         if rule.where is not None:
             failing = F.expr(rule.where) & failing
         counts.append(F.count(F.when(failing, 1)).alias(f"_{number}"))
+    return counts
+
+
+def _as_rows(counted: DataFrame, model: str, rules: Sequence[Rule]) -> DataFrame:
+    """One row per rule from the one row of ``counted``."""
     results = [_result(model, rule, F.col(f"_{n}")) for n, rule in enumerate(rules)]
-    return df.agg(*counts).select(F.explode(F.array(*results)).alias("_r")).select("_r.*")
+    return counted.select(F.explode(F.array(*results)).alias("_r")).select("_r.*")
+
+
+def _row_level(df: DataFrame, model: str, rules: Sequence[Rule]) -> DataFrame:
+    return _as_rows(df.agg(*failure_counts(rules)), model, rules)
+
+
+class Watched:
+    """Row-level rules of a model that are counted while its rows are written, by the write itself."""
+
+    def __init__(self, model: str, rules: Sequence[Rule]) -> None:
+        self.model, self.rules = model, [rule for rule in rules if is_row_level(rule)]
+        self._seen = Observation(f"rules of {model}")
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._seen, *failure_counts(self.rules)) if self.rules else df
+
+    def results(self, spark: SparkSession) -> DataFrame:
+        """After the write: (model, column, test, severity, failures) as ``check`` gives them."""
+        seen = self._seen.get if self.rules else {}
+        rows = [(self.model, r.column, r.test, r.severity, int(seen[f"_{n}"])) for n, r in enumerate(self.rules)]
+        return spark.createDataFrame(rows, RESULT)
 
 
 def _value_counts(df: DataFrame, rule: Rule) -> DataFrame:
@@ -78,9 +111,19 @@ def _value_counts(df: DataFrame, rule: Rule) -> DataFrame:
     return rows.where(value.isNotNull()).groupBy(value.alias("_value")).agg(F.count("*").alias("_n"))
 
 
-def _unique(df: DataFrame, model: str, rule: Rule) -> DataFrame:
-    repeated = _value_counts(df, rule).agg(F.count(F.when(F.col("_n") > 1, 1)).alias("_f"))
-    return repeated.select(_result(model, rule, F.col("_f")).alias("_r")).select("_r.*")
+def _unique(df: DataFrame, model: str, rules: Sequence[Rule]) -> DataFrame:
+    """All unique rules of a table in one pass: (rule, value) is counted, so one shuffle serves them all."""
+    held = []
+    for number, rule in enumerate(rules):
+        value = F.col(rule.column)
+        if isinstance(df.schema[rule.column].dataType, (FloatType, DoubleType)):
+            value = value + F.lit(0.0)  # the two zeros are one value
+        present = value.isNotNull() if rule.where is None else F.expr(rule.where) & value.isNotNull()
+        held.append(F.when(present, F.struct(F.lit(number).alias("rule"), value.cast("string").alias("value"))))
+    stacked = df.select(F.explode(F.array_compact(F.array(*held))).alias("_v")).select("_v.*")
+    counted = stacked.groupBy("rule", "value").agg(F.count("*").alias("_n"))
+    repeated = [F.count_if((F.col("rule") == n) & (F.col("_n") > 1)).alias(f"_{n}") for n in range(len(rules))]
+    return _as_rows(counted.agg(*repeated), model, rules)
 
 
 def _relationship(df: DataFrame, model: str, rule: Rule, parent: DataFrame) -> DataFrame:
@@ -101,12 +144,13 @@ def check(
     ``lookup`` gives the parent table of a relationship by name.
     """
     parts = []
-    simple = [r for r in rules if r.test not in ("unique", "relationships")]
+    simple = [rule for rule in rules if is_row_level(rule)]
     if simple:
         parts.append(_row_level(df, model, simple))
+    unique = [rule for rule in rules if rule.test == "unique"]
+    if unique:
+        parts.append(_unique(df, model, unique))
     for rule in rules:
-        if rule.test == "unique":
-            parts.append(_unique(df, model, rule))
-        elif rule.test == "relationships":
+        if rule.test == "relationships":
             parts.append(_relationship(df, model, rule, lookup(rule.parent)))
     return reduce(DataFrame.unionByName, parts)

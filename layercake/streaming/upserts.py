@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from layercake.operators.incremental import new_rows, read_upserted, upsert_path
+from layercake.operators.incremental import new_rows, read_upserted, upsert_table
 
 
 def file_stream(
@@ -25,7 +25,7 @@ def file_stream(
 def upsert_stream(
     stream: DataFrame,
     transform: Callable[[DataFrame], DataFrame],
-    path: str,
+    target: str,
     key: str,
     checkpoint: str,
     on_schema_change: str = "fail",
@@ -41,8 +41,8 @@ def upsert_stream(
 
     def apply(batch: DataFrame, _: int) -> None:
         if mark is not None:
-            batch = new_rows(batch, read_upserted(batch.sparkSession, path), *mark)
-        upsert_path(transform(batch), path, key, on_schema_change, partition_by)
+            batch = new_rows(batch, read_upserted(batch.sparkSession, target), *mark)
+        upsert_table(transform(batch), target, key, on_schema_change, partition_by)
 
     return (
         stream.writeStream.foreachBatch(apply)

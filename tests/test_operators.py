@@ -1,6 +1,7 @@
 """Operators on small fixtures, against plain Python where the answer is not obvious."""
 
 import json
+import uuid
 import random
 from collections import defaultdict
 from datetime import date, datetime, timedelta
@@ -199,22 +200,22 @@ def test_schema_policies(spark):
         ops.upsert(target, batch, "k", "fail")
 
 
-def test_upsert_path_moves_keys_between_partitions(spark, tmp_path):
+def test_upsert_table_moves_keys_between_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     schema = "k int, v string, p int"
-    ops.upsert_path(spark.createDataFrame([(1, "a", 1), (2, "b", 2), (3, "c", 3)], schema), path, "k",
+    ops.upsert_table(spark.createDataFrame([(1, "a", 1), (2, "b", 2), (3, "c", 3)], schema), path, "k",
                     partition_by="p")
     batch = spark.createDataFrame([(2, "moved", 3), (4, "new", 4)], schema)
     for _ in range(2):
-        ops.upsert_path(batch, path, "k", partition_by="p")
+        ops.upsert_table(batch, path, "k", partition_by="p")
     got = rows(ops.read_upserted(spark, path).select("k", "v", "p"), "k")
     assert got == [(1, "a", 1), (2, "moved", 3), (3, "c", 3), (4, "new", 4)]
 
 
-def test_upsert_path_sync_rewrites_the_table(spark, tmp_path):
+def test_upsert_table_sync_rewrites_the_table(spark, tmp_path):
     path = str(tmp_path / "t")
-    ops.upsert_path(spark.createDataFrame([(1, "a", 1)], "k int, v string, p int"), path, "k", "sync", "p")
-    ops.upsert_path(spark.createDataFrame([(2, 9, 2)], "k int, w int, p int"), path, "k", "sync", "p")
+    ops.upsert_table(spark.createDataFrame([(1, "a", 1)], "k int, v string, p int"), path, "k", "sync", "p")
+    ops.upsert_table(spark.createDataFrame([(2, 9, 2)], "k int, w int, p int"), path, "k", "sync", "p")
     assert rows(ops.read_upserted(spark, path).select("k", "w", "p"), "k") == [(1, None, 1), (2, 9, 2)]
 
 
@@ -277,60 +278,83 @@ def test_replaced_documents(docs):
 
 def test_upsert_keeps_a_partition_with_a_null_value(spark, tmp_path):
     path, schema = str(tmp_path / "t"), "k int, p int"
-    ops.upsert_path(spark.createDataFrame([(1, None), (2, 7)], schema), path, "k", partition_by="p")
+    ops.upsert_table(spark.createDataFrame([(1, None), (2, 7)], schema), path, "k", partition_by="p")
     for _ in range(2):
-        ops.upsert_path(spark.createDataFrame([(3, None)], schema), path, "k", partition_by="p")
+        ops.upsert_table(spark.createDataFrame([(3, None)], schema), path, "k", partition_by="p")
     assert rows(ops.read_upserted(spark, path), "k") == [(1, None), (2, 7), (3, None)]
 
 
-@pytest.mark.parametrize("by", [None, "p"])
-@pytest.mark.parametrize("fails", ["_publish", "commit"])
+@pytest.mark.parametrize("by, fails", [(None, "_point"), (None, "commit"), *[("p", f) for f in ("_point", "_declare", "_take_over", "commit")]])
 def test_upsert_that_fails_leaves_the_table_and_can_be_repeated(spark, tmp_path, monkeypatch, by, fails):
-    from layercake.sources.versions import VersionedTable
+    from layercake.sources import catalog
 
     path, schema = str(tmp_path / "t"), "k int, p int"
-    ops.upsert_path(spark.createDataFrame([(1, 1), (2, 2)], schema), path, "k", partition_by=by)
+    ops.upsert_table(spark.createDataFrame([(1, 1), (2, 2)], schema), path, "k", partition_by=by)
     batch = spark.createDataFrame([(3, 1), (2, 1)], schema)
 
     def broken(*_, **__):
         raise OSError("the disk is full")
 
     with monkeypatch.context() as patched, pytest.raises(OSError, match="full"):
-        patched.setattr(VersionedTable, fails, broken)
-        ops.upsert_path(batch, path, "k", partition_by=by)
+        patched.setattr(catalog, fails, broken)
+        ops.upsert_table(batch, path, "k", partition_by=by)
     assert rows(ops.read_upserted(spark, path), "k") == [(1, 1), (2, 2)]
-    ops.upsert_path(batch, path, "k", partition_by=by)
+    ops.upsert_table(batch, path, "k", partition_by=by)
     assert rows(ops.read_upserted(spark, path), "k") == [(1, 1), (2, 1), (3, 1)]
-    table = VersionedTable(spark, path)
-    assert table.vacuum() and rows(table.read(), "k") == [(1, 1), (2, 1), (3, 1)]
+
+
+def test_a_first_upsert_that_fails_can_be_repeated(spark, tmp_path, monkeypatch):
+    from layercake.sources import catalog
+
+    path, batch = str(tmp_path / "t"), spark.createDataFrame([(1, 1)], "k int, p int")
+    with monkeypatch.context() as patched, pytest.raises(OSError):
+        patched.setattr(catalog, "folder_of", lambda *_: (_ for _ in ()).throw(OSError()))
+        ops.upsert_table(batch, path, "k", partition_by="p")
+    ops.upsert_table(batch, path, "k", partition_by="p")
+    assert rows(ops.read_upserted(spark, path), "k") == [(1, 1)]
+
+
+def test_upserted_tables_have_names_that_other_sessions_read(spark):
+    schema, name = "k int, p string, v variant", f"silver.upserted_{uuid.uuid4().hex}"
+    batch = spark.createDataFrame([(1, "a"), (2, None)], "k int, p string").withColumn("v", F.parse_json(F.lit("[1]")))
+    ops.upsert_table(batch, name, "k", partition_by="p")
+    before = set(spark.table(name).inputFiles())
+    ops.upsert_table(batch.where("k = 1").withColumn("p", F.lit("a")), name, "k", partition_by="p")
+    other = spark.newSession().table(name)
+    assert other.schema == spark.createDataFrame([], schema).schema and rows(other.select("k", "p"), "k") == [(1, "a"), (2, None)]
+    # The folder that holds no key of the batch is taken over as it is.
+    kept = before & set(other.inputFiles())
+    assert len(kept) == 1 and "null" in kept.pop()
+    from layercake.sources import catalog
+
+    assert len(catalog.forget_versions(spark, name)) == 2 and catalog.forget_versions(spark, name) == []
+    assert rows(spark.table(name).select("k", "p"), "k") == [(1, "a"), (2, None)]
+
+
+def test_files_that_the_catalog_does_not_know_are_not_overwritten(spark, tmp_path):
+    from layercake.sources.catalog import UnknownTable
+
+    path, batch = str(tmp_path / "t"), spark.createDataFrame([(1, 1)], "k int, p int")
+    batch.write.parquet(path)
+    with pytest.raises(UnknownTable):
+        ops.upsert_table(batch, path, "k")
 
 
 def test_upsert_keeps_text_partitions_as_they_are(spark, tmp_path):
     path, schema = str(tmp_path / "t"), "k int, p string"
-    ops.upsert_path(spark.createDataFrame([(1, "007"), (2, "a/b=c")], schema), path, "k", partition_by="p")
-    ops.upsert_path(spark.createDataFrame([(3, "007"), (4, "")], schema), path, "k", partition_by="p")
+    ops.upsert_table(spark.createDataFrame([(1, "007"), (2, "a/b=c")], schema), path, "k", partition_by="p")
+    ops.upsert_table(spark.createDataFrame([(3, "007"), (4, "")], schema), path, "k", partition_by="p")
     assert rows(ops.read_upserted(spark, path), "k") == [(1, "007"), (2, "a/b=c"), (3, "007"), (4, "")]
 
 
 def test_upsert_of_a_key_that_decides_the_partition_needs_no_look_up(spark, tmp_path, monkeypatch):
-    from layercake.sources.versions import VersionedTable
+    from layercake.sources import catalog
 
     path, schema, read = str(tmp_path / "t"), "k int, p int", []
-    ops.upsert_path(spark.createDataFrame([(1, 0), (11, 1)], schema), path, "k", partition_by="p")
-    plain_rows = VersionedTable.rows
-    monkeypatch.setattr(VersionedTable, "rows", lambda self, v, only=None: read.append(only) or plain_rows(self, v, only))
-    ops.upsert_path(spark.createDataFrame([(12, 1)], schema), path, "k", partition_by="p", key_decides_partition=True)
-    assert len(read) == 1 and len(read[0]) == 1
+    ops.upsert_table(spark.createDataFrame([(1, 0), (11, 1)], schema), path, "k", partition_by="p")
+    plain_rows = catalog.rows
+    monkeypatch.setattr(catalog, "rows", lambda s, v, only=None: read.append(only) or plain_rows(s, v, only))
+    ops.upsert_table(spark.createDataFrame([(12, 1)], schema), path, "k", partition_by="p", key_decides_partition=True)
+    assert [only for only in read if only is not None] == [{"v-1-83DCEFB7"}]
     monkeypatch.undo()
     assert rows(ops.read_upserted(spark, path), "k") == [(1, 0), (11, 1), (12, 1)]
-
-
-def test_two_writers_of_one_version_conflict(spark, tmp_path):
-    from layercake.sources.versions import VersionConflict, VersionedTable
-
-    table = VersionedTable(spark, str(tmp_path / "t"))
-    first = table.commit(spark.range(3), None, None)
-    table.commit(spark.range(4), None, first)
-    with pytest.raises(VersionConflict):
-        table.commit(spark.range(5), None, first)
-    assert table.read().count() == 4
