@@ -104,6 +104,11 @@ class ByteBpe:
         plain = {i: bytes(map(letters.__getitem__, token)) for token, i in self._model["model"]["vocab"].items()}
         return plain | {i: token for token, i in self.special.items()}
 
+    @cached_property
+    def tokens(self) -> pa.Array:
+        """The bytes of every id, in the order of ids."""
+        return pa.array([self.bytes_of.get(i) for i in range(max(self.bytes_of) + 1)], pa.large_binary())
+
     @cached_property
     def dtype(self) -> np.dtype:
         return np.dtype("<u2" if max(self.bytes_of) < 1 << 16 else "<u4")
@@ -151,7 +156,7 @@ class ByteBpe:
 
     def encode(self, data: bytes) -> np.ndarray:
         """The ids of text without special tokens."""
-        return self.ranks.encode_to_numpy(data.decode(), disallowed_special=()).astype(self.dtype)
+        return np.array(self.ranks.encode_ordinary(data.decode()), self.dtype)
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
@@ -423,11 +428,21 @@ def decode(tokens: DataFrame, bpe: ByteBpe) -> DataFrame:
     kind = tokens.schema["doc_id"].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = share.value.bytes_of
         for batch in batches:
-            texts = [b"".join([of[i] for i in ids or ()]).decode("utf-8", "replace") for ids in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("ids"), pa.array(texts, pa.string())], ["doc_id", "ids", "decoded"]
-            )
+            lists = batch.column("ids")
+            taken = share.value.tokens.take(lists.flatten())
+            if taken.null_count:
+                raise ValueError("an id is outside the vocabulary")
+            # Tokens taken one after the other lie side by side in memory: a text is what lies between two offsets.
+            ends = np.frombuffer(taken.buffers()[1], np.int64) if len(taken) else np.zeros(1, np.int64)
+            number = np.cumsum([0, *lists.value_lengths().fill_null(0).to_pylist()])
+            offsets, joined = ends[number].astype(np.int32), taken.buffers()[2]
+            texts = pa.StringArray.from_buffers(len(lists), pa.py_buffer(offsets), joined)
+            try:
+                texts.validate(full=True)
+            except pa.ArrowInvalid:
+                raw = bytes(joined)
+                texts = pa.array([raw[a:b].decode("utf-8", "replace") for a, b in zip(offsets, offsets[1:])], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, texts], ["doc_id", "ids", "decoded"])
 
     return tokens.select("doc_id", "ids").mapInArrow(rows, f"doc_id {kind}, ids array<int>, decoded string")
