@@ -1,15 +1,20 @@
 """Near-duplicate vectors by a pivot-permutation index, with exact cosines.
 
-Reference points (pivots) are drawn from a bounded sample of the vectors. A vector is described by its
-nearest pivots in order of nearness. Each (label, pivot) has an inverted list of the vectors that
-have it among their nearest; two vectors that share a list are a candidate pair if they share at least ``SHARED``
-pivots, and are taken in the list of their first shared pivot only. Candidates are verified by cosine in double
-precision. The number of pivots grows with the square root of the number of vectors, and a vector names about
-the square root of that number of pivots. Measured recall on clusters of 2,000 vectors around one centre, at
-cosine 0.98: above 0.99 from 64 to 4,096 pivots.
-
-A list longer than ``BLOCK`` is dealt into blocks that meet pair by pair, each in a task of its own. Equal
-vectors are one node with a weight; a group of copies of any size is one entry in the lists.
+Reference points (pivots) are taken from a bounded sample of the vectors, no two of them closer than ``SPREAD``, so that
+a dense cluster holds few of them. A vector is described by its nearest pivots in order of nearness. Each
+(label, pivot) has an inverted list of the vectors that have it among their nearest; two vectors that share a list are a
+candidate pair if they share at least ``SHARED`` pivots (or all there are), and are taken in the list of their first shared
+pivot only. Candidates are verified by cosine in double precision.
+
+How many pivots a vector names follows the data: as many as ``RECALL`` of the probes need to share enough pivots. Probes
+are vectors of the sample, each with its farthest linked neighbour there, and each with a point turned away from it
+in a random direction by the whole angle of a link. So one cluster has one pivot, and all of its pairs are compared. The
+number of pivots grows with the square root of the number of vectors up to ``MOST``; from a million vectors on lists
+grow in proportion, and their pairs with the square.
+
+A list longer than ``BLOCK`` is dealt into blocks that meet pair by pair, each in a task of its own, which hands on
+degrees and one tie per vector, never pairs. Equal vectors are one node with a weight; a group of copies
+of any size is one entry in the lists.
 """
 
 from __future__ import annotations
@@ -30,6 +35,9 @@ SHARED = 2
 BLOCK = 1024
 COSINE = 0.98
 FEWEST, MOST = 64, 4096
+# No two pivots have a larger cosine than this (about 34 degrees, three times the angle of a link at 0.98).
+SPREAD = 0.825
+RECALL, PROBES = 0.9995, 2048
 
 
 def pivot_count(vectors: int) -> int:
@@ -38,8 +46,44 @@ def pivot_count(vectors: int) -> int:
     return min(SAMPLE, 1 << (wanted - 1).bit_length())
 
 
-def nearest_count(pivots: int) -> int:
-    return min(pivots, max(8, round(0.75 * pivots**0.5)))
+def spread(sample: np.ndarray, wanted: int) -> np.ndarray:
+    """Up to ``wanted`` rows of unit vectors, each at least ``SPREAD`` away from those before it."""
+    nearest, chosen = np.full(len(sample), -1.0), []
+    for row, vector in enumerate(sample):
+        if len(chosen) < wanted and nearest[row] <= SPREAD:
+            chosen.append(row)
+            nearest = np.maximum(nearest, sample @ vector)
+    return sample[chosen]
+
+
+def _ranks(close: np.ndarray) -> np.ndarray:
+    """For every row the place of each pivot in its order of nearness."""
+    order = np.argsort(-close, axis=1, kind="stable")
+    place = np.empty_like(order)
+    np.put_along_axis(place, order, np.broadcast_to(np.arange(order.shape[1]), order.shape), 1)
+    return place
+
+
+def nearest_count(sample: np.ndarray, pivots: np.ndarray, cosine: float, shared_pivots: int) -> int:
+    """How many pivots a vector has to name so that ``RECALL`` of the probes share ``shared_pivots``."""
+    shared_pivots = min(shared_pivots, len(pivots))
+    from_ = sample[:PROBES]
+    # Any direction at a right angle to the vector, the same in every run.
+    turned = np.random.default_rng(0).normal(size=from_.shape)
+    turned -= (turned * from_).sum(1, keepdims=True) * from_
+    length = np.sqrt((turned * turned).sum(1, keepdims=True))
+    turned = np.divide(turned, length, out=np.zeros_like(turned), where=length > 0)
+    beside = cosine * from_ + np.sqrt(max(0.0, 1 - cosine * cosine)) * turned
+    close = from_ @ sample.T
+    farthest = np.where(close >= cosine, close, 2.0).argmin(1)
+    linked = np.flatnonzero(farthest != np.arange(len(from_)))
+    own, needed = _ranks(from_ @ pivots.T), 1
+    for rows, other in ((np.arange(len(from_)), beside), (linked, sample[farthest[linked]])):
+        if len(rows):
+            both = np.maximum(own[rows], _ranks(other @ pivots.T))
+            enough = np.sort(np.partition(both, shared_pivots - 1, axis=1)[:, shared_pivots - 1])
+            needed = max(needed, int(enough[min(len(rows) - 1, int(np.ceil(RECALL * len(rows))))]) + 1)
+    return needed
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -61,13 +105,18 @@ def nodes_of(embeddings: DataFrame) -> DataFrame:
     )
 
 
-def choose_pivots(nodes: DataFrame, total: int) -> dict[int, np.ndarray]:
-    """Unit reference points by dimension, from the ``SAMPLE`` vectors with the smallest hash."""
+def choose_pivots(nodes: DataFrame, total: int, cosine: float, shared_pivots: int) -> dict[int, tuple[np.ndarray, int]]:
+    """By dimension, pivots and how many of them a vector names, from the ``SAMPLE`` vectors with the smallest hash."""
     rows = nodes.select("embedding").orderBy(F.xxhash64("embedding"), "node").limit(SAMPLE).collect()
     found: dict[int, list] = {}
     for row in rows:
         found.setdefault(len(row.embedding), []).append(row.embedding)
-    return {d: _unit(np.array(v[: pivot_count(total)], np.float64)) for d, v in found.items()}
+    chosen = {}
+    for dimension, vectors in found.items():
+        sample = _unit(np.array(vectors, np.float64))
+        pivots = spread(sample, pivot_count(total))
+        chosen[dimension] = pivots, nearest_count(sample, pivots, cosine, shared_pivots)
+    return chosen
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -76,7 +125,7 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(1, keepdims=True))
 
 
-def permutations(nodes: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
+def permutations(nodes: DataFrame, pivots: dict[int, tuple[np.ndarray, int]]) -> DataFrame:
     """``nodes`` with ``near``: the numbers of the nearest pivots, nearest first.
 
     Vectors of a dimension that the sample lacks all go to one list, which is dealt into blocks like any other.
@@ -89,8 +138,9 @@ def permutations(nodes: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
             near: list = [[-1]] * len(vectors)
             for d in {len(v) for v in vectors} & set(shared.value):
                 rows = [i for i, v in enumerate(vectors) if len(v) == d]
-                close = _unit(np.array([vectors[i] for i in rows], np.float64)) @ shared.value[d].T
-                order = np.argsort(-close, axis=1, kind="stable")[:, : nearest_count(close.shape[1])]
+                points, count = shared.value[d]
+                close = _unit(np.array([vectors[i] for i in rows], np.float64)) @ points.T
+                order = np.argsort(-close, axis=1, kind="stable")[:, :count]
                 for i, order in zip(rows, order):
                     near[i] = order.tolist()
             yield pa.RecordBatch.from_arrays(
@@ -120,7 +170,7 @@ def in_blocks(described: DataFrame, block: int) -> DataFrame:
 
 
 def verified(blocks: DataFrame, cosine: float, shared_pivots: int) -> DataFrame:
-    """``a``, ``b``, ``copies_a``, ``copies_b`` for every linked pair of nodes, once."""
+    """``node``, ``others`` (vectors linked with it there), ``root`` (a node tied to it) per list, pair of blocks and linked node."""
     kind = blocks.schema["node"].dataType.simpleString()
     blocks = blocks.withColumn("list", F.struct("label", "d", "pivot", "i", "j"))
     key = F.xxhash64("list")
@@ -139,7 +189,7 @@ def verified(blocks: DataFrame, cosine: float, shared_pivots: int) -> DataFrame:
     return (
         blocks.select(key.alias("key"), "label", "d", "pivot", "i", "j", "side", "node", "copies", "embedding", "near")
         .repartition("key").sortWithinPartitions("key", "label", "d", "pivot", "i", "j")
-        .mapInArrow(compare, f"a {kind}, b {kind}, copies_a long, copies_b long")
+        .mapInArrow(compare, f"node {kind}, others long, root {kind}")
     )
 
 
@@ -157,6 +207,7 @@ def _pairs(group: pa.Table, cosine: float, shared_pivots: int) -> Iterator[pa.Re
         member[row, np.searchsorted(numbers, order)] = 1
     own = np.searchsorted(numbers, pivot)
     before = member[:, :own]
+    pairs = []
     for start in range(0, len(first), 64):
         rows = first[start : start + 64]
         enough = min(shared_pivots, len(near[0]))
@@ -167,12 +218,26 @@ def _pairs(group: pa.Table, cosine: float, shared_pivots: int) -> Iterator[pa.Re
         x, y = np.nonzero(taken & (unit[rows] @ unit[second].T >= cosine - 1e-9))
         x, y = rows[x], second[y]
         close = np.einsum("ij,ij->i", unit[x], unit[y]) >= cosine
-        x, y = x[close], y[close]
-        if len(x):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(node[x]), pa.array(node[y]), pa.array(copies[x]), pa.array(copies[y])],
-                ["a", "b", "copies_a", "copies_b"],
-            )
+        pairs.append((x[close], y[close]))
+    x, y = (np.concatenate(side) for side in zip(*pairs))
+    if len(x):
+        others = np.bincount(x, copies[y], len(node)) + np.bincount(y, copies[x], len(node))
+        linked = np.flatnonzero(others)
+        root = _roots(x, y, node)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(node[linked]), pa.array(others[linked].astype(np.int64)), pa.array(root[linked])],
+            ["node", "others", "root"],
+        )
+
+
+def _roots(x: np.ndarray, y: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """The smallest node that each node reaches by the links (x, y)."""
+    root, before = node.copy(), None
+    while before is None or (root != before).any():
+        before = root.copy()
+        np.minimum.at(root, x, before[y])
+        np.minimum.at(root, y, before[x])
+    return root
 
 
 def near_duplicates(
@@ -187,13 +252,11 @@ def near_duplicates(
     """
     light_batches(embeddings.sparkSession)
     nodes = settle(nodes_of(embeddings).withColumn("label", F.col("label").cast("long")), "nodes")
-    described = settle(permutations(nodes, choose_pivots(nodes, nodes.count())), "described")
+    pivots = choose_pivots(nodes, nodes.count(), cosine, shared_pivots)
+    described = settle(permutations(nodes, pivots), "described")
     links = settle(verified(in_blocks(described, block), cosine, shared_pivots), "vector-links")
-    degree = (
-        links.select(F.col("a").alias("node"), F.col("copies_b").alias("n"))
-        .union(links.select("b", "copies_a")).groupBy("node").agg(F.sum("n").alias("others"))
-    )
-    found = connected_components(links.select("a", "b"))
+    degree = links.groupBy("node").agg(F.sum("others").alias("others"))
+    found = connected_components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
     classes = (
         nodes.join(degree, "node", "left").join(found, "node", "left")
         .select(
