@@ -35,18 +35,11 @@ def _average(total: str, number: str) -> Column:
     return F.sum(total).cast("double") / F.nullif(F.sum(number), F.lit(0))
 
 
-def agg_daily_sales(
-    orders: DataFrame,
-    dates: DataFrame,
-    trucks: DataFrame,
-    locations: DataFrame,
-    run: Run,
-) -> DataFrame:
-    """Sales per day, truck and location, ranked within the day, with seven-row trends."""
-    truck = trucks.select(
-        "truck_sk", "country_name", c("primary_city").alias("city_name"), "truck_status", "is_electric_vehicle"
-    )
-    place = locations.select("location_sk", "location_type", "estimated_foot_traffic")
+_SERIES = ["truck_sk", "location_sk"]
+
+
+def daily_sales_totals(orders: DataFrame) -> DataFrame:
+    """Sales per day, truck and location, from the orders alone."""
     group = ["order_date_sk", "truck_sk", "location_sk"]
     meal = c("meal_period")
     counts = {
@@ -58,7 +51,7 @@ def agg_daily_sales(
         "dinner_orders": meal == "Dinner",
         "discounted_orders": c("discount_percentage") > 0,
     }
-    totals = key_flags(orders, group, "order_id", counts).groupBy(*group).agg(
+    return key_flags(orders, group, "order_id", counts).groupBy(*group).agg(
         *[F.sum(name).alias(name) for name in counts],
         F.sum("order_total").alias("total_revenue"),
         F.sum("total_cost_of_goods").alias("total_cost_of_goods"),
@@ -70,6 +63,14 @@ def agg_daily_sales(
         F.sum("total_items_ordered").alias("total_items_sold"),
         F.avg("line_item_count").alias("avg_items_per_order"),
     )
+
+
+def daily_sales_of(totals: DataFrame, dates: DataFrame, trucks: DataFrame, locations: DataFrame, run: Run) -> DataFrame:
+    """The mart from its totals: attributes, seven-row trends and ranks within the day."""
+    truck = trucks.select(
+        "truck_sk", "country_name", c("primary_city").alias("city_name"), "truck_status", "is_electric_vehicle"
+    )
+    place = locations.select("location_sk", "location_type", "estimated_foot_traffic")
     days = F.broadcast(dates.select(c("date_sk").alias("order_date_sk"), c("date_actual").alias("sales_date")))
     base = (
         totals.join(days, "order_date_sk")
@@ -78,25 +79,24 @@ def agg_daily_sales(
         .drop("order_date_sk")
     )
     # A series has at most one row per calendar day.
-    series = ["truck_sk", "location_sk"]
-    base = base.withColumns(
+    daily = base.withColumns(
         {
             "profit_margin_pct": fn.safe_pct(c("total_profit"), c("total_revenue")),
-            "revenue_7day_avg": rolling_avg(series, "sales_date", "total_revenue", WEEK),
-            "orders_7day_avg": rolling_avg(series, "sales_date", "total_orders", WEEK),
-            "revenue_prev_week": lag_by(series, "sales_date", "total_revenue", WEEK),
-            "orders_prev_week": lag_by(series, "sales_date", "total_orders", WEEK),
+            "revenue_7day_avg": rolling_avg(_SERIES, "sales_date", "total_revenue", WEEK),
+            "orders_7day_avg": rolling_avg(_SERIES, "sales_date", "total_orders", WEEK),
+            "revenue_prev_week": lag_by(_SERIES, "sales_date", "total_revenue", WEEK),
+            "orders_prev_week": lag_by(_SERIES, "sales_date", "total_orders", WEEK),
         }
     )
     ranked = rank_by(
-        base,
+        daily,
         ["sales_date"],
         {
             "daily_revenue_rank": "total_revenue",
             "daily_order_rank": "total_orders",
             "daily_profit_rank": "total_profit",
         },
-        ["truck_sk", "location_sk"],
+        _SERIES,
     )
     grown = ranked.withColumns(
         {
@@ -107,22 +107,25 @@ def agg_daily_sales(
     return run.audited(grown)
 
 
-def agg_location_insights(
+def agg_daily_sales(
     orders: DataFrame,
     dates: DataFrame,
-    locations: DataFrame,
     trucks: DataFrame,
+    locations: DataFrame,
     run: Run,
 ) -> DataFrame:
-    """Sales per location and day, against the location's month and season."""
-    place = locations.select(
-        "location_sk", "location_name", "city_name", "country_name", "location_type",
-        "estimated_foot_traffic", "business_potential_score",
-    )
+    """Sales per day, truck and location, ranked within the day, with seven-row trends."""
+    return daily_sales_of(daily_sales_totals(orders), dates, trucks, locations, run)
+
+
+_HOURS = {f"{label.lower()}_orders": hours for hours, label in rules.MEAL_HOURS}
+
+
+def location_totals(orders: DataFrame) -> DataFrame:
+    """Sales per location and day, from the orders alone."""
     group = ["location_sk", "order_date_sk"]
     hour = c("order_hour")
-    meals = {f"{label.lower()}_orders": hour.between(*hours) for hours, label in rules.MEAL_HOURS}
-    counts = {"daily_orders": None, **meals}
+    counts = {"daily_orders": None, **{name: hour.between(*hours) for name, hours in _HOURS.items()}}
     known = orders.where(c("location_sk") != rules.UNKNOWN_KEY)
     served_by = key_flags(known, group, "order_id", counts).groupBy(*group, "truck_sk", "customer_sk").agg(
         *[F.sum(name).alias(name) for name in counts],
@@ -131,7 +134,7 @@ def agg_location_insights(
         F.sum("processing_time_minutes").alias("minutes"),
         F.count("processing_time_minutes").alias("timed"),
     )
-    totals = served_by.groupBy(*group).agg(
+    return served_by.groupBy(*group).agg(
         *[F.sum(name).alias(name) for name in counts],
         F.sum("revenue").alias("daily_revenue"),
         F.countDistinct("truck_sk").alias("trucks_served"),
@@ -139,6 +142,14 @@ def agg_location_insights(
         _average("revenue", "valued").alias("avg_order_value"),
         _average("minutes", "timed").alias("avg_processing_time"),
     )
+
+
+def location_insights_of(totals: DataFrame, dates: DataFrame, locations: DataFrame, run: Run) -> DataFrame:
+    """The mart from its totals: against the location's month and season."""
+    place = locations.select(
+        "location_sk", "location_name", "city_name", "country_name", "location_type",
+        "estimated_foot_traffic", "business_potential_score",
+    )
     days = F.broadcast(
         dates.select(
             c("date_sk").alias("order_date_sk"),
@@ -156,8 +167,8 @@ def agg_location_insights(
             {
                 "revenue_per_truck": fn.safe_ratio(c("daily_revenue"), served),
                 "orders_per_truck": fn.safe_ratio(c("daily_orders"), served),
-                "peak_hour_start": fn.peak_of([(rules.PEAK_WINDOWS[m][0], c(m)) for m in meals]),
-                "peak_hour_end": fn.peak_of([(rules.PEAK_WINDOWS[m][1], c(m)) for m in meals]),
+                "peak_hour_start": fn.peak_of([(rules.PEAK_WINDOWS[m][0], c(m)) for m in _HOURS]),
+                "peak_hour_end": fn.peak_of([(rules.PEAK_WINDOWS[m][1], c(m)) for m in _HOURS]),
                 "_month": fn.month_of(c("analysis_date")),
             }
         )
@@ -222,24 +233,23 @@ def agg_location_insights(
     return run.audited(final)
 
 
-def agg_menu_performance(
-    details: DataFrame,
+def agg_location_insights(
     orders: DataFrame,
     dates: DataFrame,
-    items: DataFrame,
+    locations: DataFrame,
     trucks: DataFrame,
     run: Run,
 ) -> DataFrame:
-    """Sales per day and item, ranked within the day and the category.
+    """Sales per location and day, against the location's month and season."""
+    return location_insights_of(location_totals(orders), dates, locations, run)
+
+
+def menu_totals(details: DataFrame, orders: DataFrame, trucks: DataFrame) -> DataFrame:
+    """Sales per day and item.
 
     The facts meet on order_sk, without the lines of unknown orders. Lines are reduced to one row per order
     and item without another shuffle.
     """
-    item = items.select(
-        "menu_item_sk", "menu_item_name", "truck_brand_name", "item_category", "item_subcategory",
-        "sale_price_usd", "cost_of_goods_usd", "is_vegetarian", "is_vegan", "is_gluten_free",
-        "menu_matrix_classification",
-    )
     known = (c("menu_item_sk") != rules.UNKNOWN_KEY) & (c("order_sk") != rules.UNKNOWN_KEY)
     lines = details.where(known).select(
         "order_sk", "menu_item_sk", "quantity", "line_total", "line_cost_of_goods", "line_profit",
@@ -277,7 +287,7 @@ def agg_menu_performance(
         *[F.sum(name).alias(name) for name in (*sums, "priced", "orders")],
         *[sold_where(condition).alias(name) for name, condition in parts.items()],
     )
-    totals = bought_by.groupBy(*group).agg(
+    return bought_by.groupBy(*group).agg(
         F.sum("sold").alias("total_quantity_sold"),
         F.sum("orders").alias("orders_containing_item"),
         F.sum("revenue").alias("total_revenue"),
@@ -289,6 +299,15 @@ def agg_menu_performance(
         F.countDistinct("customer_sk").alias("unique_customers"),
         *[F.sum(name).alias(name) for name in parts],
     )
+
+
+def menu_performance_of(totals: DataFrame, dates: DataFrame, items: DataFrame, run: Run) -> DataFrame:
+    """The mart from its totals: attributes and ranks within the day and the category."""
+    item = items.select(
+        "menu_item_sk", "menu_item_name", "truck_brand_name", "item_category", "item_subcategory",
+        "sale_price_usd", "cost_of_goods_usd", "is_vegetarian", "is_vegan", "is_gluten_free",
+        "menu_matrix_classification",
+    )
     days = F.broadcast(
         dates.select(c("date_sk").alias("order_date_sk"), c("date_actual").alias("analysis_date"))
     )
@@ -333,6 +352,18 @@ def agg_menu_performance(
     return run.audited(labelled)
 
 
+def agg_menu_performance(
+    details: DataFrame,
+    orders: DataFrame,
+    dates: DataFrame,
+    items: DataFrame,
+    trucks: DataFrame,
+    run: Run,
+) -> DataFrame:
+    """Sales per day and item, ranked within the day and the category."""
+    return menu_performance_of(menu_totals(details, orders, trucks), dates, items, run)
+
+
 def _weights(rows: DataFrame, by: str, *columns: str) -> DataFrame:
     """Add ``_of_<column>``: how many rows of the facts have the group's value of that column."""
     return rows.withColumns(

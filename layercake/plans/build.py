@@ -8,7 +8,7 @@ from datetime import date
 from typing import TYPE_CHECKING
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from layercake import rules
@@ -236,7 +236,12 @@ class Layers:
 
 
 class GateFailed(RuntimeError):
-    """A data test of severity error failed, so later layers are not built."""
+    """A data test of severity error failed, so later layers are not built; ``failing`` has the result rows."""
+
+    def __init__(self, failing: list[Row]) -> None:
+        lines = [f"{r['model']}.{r['column']} {r['test']}: {r['failures']}" for r in failing]
+        super().__init__("data tests failed: " + "; ".join(lines))
+        self.failing = failing
 
 
 def _location(base: str, name: str) -> str:
@@ -348,5 +353,4 @@ def _gate(results: DataFrame, known: set[tuple[str, str, str]]) -> None:
     failing = results.where((F.col("failures") > 0) & (F.col("severity") == "error")).collect()
     failing = [r for r in failing if (r["model"], r["column"], r["test"]) not in known]
     if failing:
-        lines = [f"{r['model']}.{r['column']} {r['test']}: {r['failures']}" for r in failing]
-        raise GateFailed("data tests failed: " + "; ".join(lines))
+        raise GateFailed(failing)

@@ -2,11 +2,12 @@
 
 from layercake.sources.adapter import as_raw, raw_tables
 from layercake.sources.calendar import date_spine, time_spine
-from layercake.sources.readers import freshness, read_raw, source
+from layercake.sources.readers import BadRows, freshness, load_raw, read_raw, source
 from layercake.sources.schemas import RAW_SCHEMAS, SOURCES
-from layercake.sources.sinks import as_view, layer_name, load_note, table_exists, write_table
+from layercake.sources.sinks import as_view, catalog_view, layer_name, load_note, table_exists, write_table
 
 __all__ = [
-    "RAW_SCHEMAS", "SOURCES", "as_raw", "as_view", "date_spine", "freshness", "layer_name", "load_note",
+    "BadRows", "RAW_SCHEMAS", "SOURCES", "as_raw", "as_view", "catalog_view", "date_spine", "freshness", "layer_name",
+    "load_note", "load_raw",
     "raw_tables", "read_raw", "source", "table_exists", "time_spine", "write_table",
 ]

@@ -337,3 +337,49 @@ register("views_and_sources", "truck_id:l orders:l total:m", """
          "raw_order_header")
 register("built_headers", MODEL_SPECS["stg_pos_order_headers"], "SELECT * FROM stg_pos_order_headers",
          "stg_pos_order_headers")
+
+# ------------------------------------------------------------------------------ loads, marks, builds
+register("csv_load_bad", "folder:s row:s", """
+    SELECT 'good' AS folder, CAST(truck_id AS VARCHAR) AS "row" FROM raw_truck
+    UNION ALL SELECT 'bad', 'no number,' || s_suppkey FROM supplier""", "raw_truck")
+SQL["csv_load_bad"] = SQL["csv_load_bad"].replace("CAST(row AS", 'CAST("row" AS').replace("AS row", 'AS "row"')
+register("catalog_view_of_orders", "o_custkey:l orders:l total:m", """
+    SELECT o_custkey, count(*) AS orders, sum(o_totalprice) AS total FROM orders GROUP BY o_custkey""")
+register("documents_from_files", "project:s index:i task_name:s enabled:b loaded_at:t named_after_file:b", """
+    SELECT n_name AS project, row_number() OVER (PARTITION BY n_name ORDER BY c_mktsegment) - 1 AS index,
+        c_mktsegment AS task_name, count(*) % 2 = 0 AS enabled, TIMESTAMP '2024-01-02' AS loaded_at,
+        true AS named_after_file
+    FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name, c_mktsegment""")
+for _listing, _of in (("ordered_feeds", "feed_summary"), ("ordered_tasks", "json_explode")):
+    SPECS[_listing], SQL[_listing] = SPECS[_of], SQL[_of]
+SPECS["ordered_tasks"] = "feed_name:s index:i task_name:s enabled:b"
+SQL["ordered_tasks"] = f"SELECT feed_name, index, task_name, enabled FROM ({SQL['json_explode']})"
+register("menu_health_metrics", "menu_item_id:l health_metrics:s", """
+    SELECT menu_item_id, menu_item_health_metrics_obj AS health_metrics FROM raw_menu
+    WHERE menu_item_id IN (SELECT menu_item_id FROM stg_pos_menu)""", "raw_menu stg_pos_menu")
+_raw = ["country", "franchise", "location", "menu", "truck", "order_header", "order_detail", "customer_loyalty"]
+register("loaded_tables", "name:s was_there:b is_there:b n_rows:l note:s", " UNION ALL ".join(
+    f"SELECT '{name}' AS name, false AS was_there, true AS is_there, count(*) AS n_rows, 'loaded' AS note FROM raw_{name}"
+    for name in _raw), " ".join(f"raw_{name}" for name in _raw))
+register("hwm_from_footers", _order_spec, """
+    SELECT * FROM orders WHERE o_orderkey > (SELECT max(o_orderkey) FROM orders
+        WHERE o_orderkey % 3 = 0 AND o_orderdate <= TIMESTAMP '2000-01-01')""")
+register("freshness_from_footers", "loaded_at:t age_hours:m status:s", """
+    SELECT loaded_at, age_hours, CASE WHEN age_hours > 72 THEN 'error' WHEN age_hours > 48 THEN 'warn' ELSE 'pass' END AS status
+    FROM (SELECT max(o_orderdate) AS loaded_at,
+        date_diff('second', date_trunc('second', max(o_orderdate)), TIMESTAMP '2001-08-02') / 3600.0 AS age_hours FROM orders)""")
+register("built_facts", MODEL_SPECS["fact_order_detail"], "SELECT * FROM fact_order_detail", "fact_order_detail")
+_stopping = ["int_orders_enriched", "int_menu_profitability", "int_customers_segmented"]
+register_suite("gated_build", "SELECT * FROM (" + " UNION ALL ".join(suite(m, RULES[m]) for m in _stopping)
+               + ") WHERE failures > 0 AND severity = 'error'", " ".join(_stopping))
+for _mart in ("daily_sales", "location_insights", "menu_performance"):
+    SPECS[f"{_mart}_by_increments"] = MODEL_SPECS[f"agg_{_mart}"]
+    SQL[f"{_mart}_by_increments"] = model(f"agg_{_mart}", MODEL_SPECS[f"agg_{_mart}"])
+register("members_by_period", "period:s of:s start:D members:l", " UNION ALL ".join(
+    f"""SELECT '{period}' AS period, '{name}' AS "of", CAST(date_trunc('{period}', order_ts) AS DATE) AS start,
+        count(DISTINCT {member}) AS members FROM raw_order_header WHERE {member} IS NOT NULL GROUP BY 3"""
+    for member, name in (("customer_id", "customers"), ("truck_id", "trucks")) for period in ("day", "month", "year")),
+         "raw_order_header")
+SQL["members_by_period"] = SQL["members_by_period"].replace("CAST(of AS VARCHAR) AS of", 'CAST("of" AS VARCHAR) AS "of"')
+register("catalog_increments", "o_orderkey:l o_totalprice:d o_orderpriority:s", """
+    SELECT o_orderkey, o_totalprice, CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END AS o_orderpriority FROM orders""")
