@@ -7,7 +7,6 @@ from dataclasses import dataclass, field
 from datetime import date
 from typing import TYPE_CHECKING
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -253,12 +252,7 @@ def _existing(spark: SparkSession, name: str, path: str) -> DataFrame | None:
     if MODELS[name].grows is not None:
         table = read_upserted(spark, path)
         return None if table is None else table.drop("_part")
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    return spark.read.parquet(path) if catalog.files_below(spark, path) else None
 
 
 def _materialize(
