@@ -255,10 +255,11 @@ def menu_totals(details: DataFrame, orders: DataFrame, trucks: DataFrame) -> Dat
         "order_sk", "menu_item_sk", "quantity", "line_total", "line_cost_of_goods", "line_profit",
         "unit_price", "line_discount_amount",
     )
+    # Trucks meet the orders before the lines do: what follows then stays where the lines met their orders.
     heads = orders.select(
         "order_sk", "order_date_sk", "truck_sk", "customer_sk", "order_channel", "meal_period"
-    )
-    of_order = ["order_date_sk", "truck_sk", "customer_sk", "order_channel", "meal_period"]
+    ).join(trucks.select("truck_sk", "truck_id"), "truck_sk").drop("truck_sk")
+    of_order = ["order_date_sk", "truck_id", "customer_sk", "order_channel", "meal_period"]
     sums = {
         "sold": "quantity", "revenue": "line_total", "cost": "line_cost_of_goods", "profit": "line_profit",
         "prices": "unit_price", "discounts": "line_discount_amount",
@@ -267,7 +268,6 @@ def menu_totals(details: DataFrame, orders: DataFrame, trucks: DataFrame) -> Dat
         lines.join(heads, "order_sk")
         .groupBy("order_sk", "menu_item_sk", *of_order)
         .agg(*[F.sum(column).alias(name) for name, column in sums.items()], F.count("unit_price").alias("priced"))
-        .join(trucks.select("truck_sk", "truck_id"), "truck_sk")
     )
 
     def sold_where(condition: Column) -> Column:

@@ -22,6 +22,12 @@ SETTINGS = {
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
+# Settings that only a new session takes.
+AT_START = {
+    # Else every column function looks up its caller for error messages; composing a mart takes thousands of them.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def build_session(
     app: str = "layercake", master: str | None = None, shuffle_partitions: int | None = None
@@ -31,7 +37,7 @@ def build_session(
         builder = builder.master(master).config("spark.ui.enabled", "false")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for key, value in SETTINGS.items():
+    for key, value in {**SETTINGS, **AT_START}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
