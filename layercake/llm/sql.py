@@ -3,12 +3,19 @@
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 # CRC-32 (fixed polynomial) with the table built from its rule, byte by byte.
-OP5 = r"""
-WITH crc_table AS (
+_CRC_TABLE = """crc_table AS (
   SELECT list_transform(range(256), lambda n: list_reduce(
     list_prepend(n::BIGINT, range(8)),
     lambda c, i: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END)) AS of
-), rows_ AS (
+)"""
+_CRC = """xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(
+      range(1, 2 * octet_length(encode({0})), 2),
+      lambda i: ('0x' || substr(hex(encode({0})), i, 2))::BIGINT)),
+    lambda c, b: xor(crc_table.of[(xor(c, b) & 255) + 1], c >> 8)))"""
+
+OP5 = f"""
+WITH {_CRC_TABLE}, rows_ AS (
   SELECT doc_id, text, coalesce(octet_length(encode(text)), 0) + 16 AS size, md5(text) AS digest FROM documents
 ), sums AS (
   SELECT *,
@@ -19,11 +26,7 @@ WITH crc_table AS (
   SELECT *, (first_byte * 40 // all_bytes)::INTEGER AS shard FROM sums
 )
 SELECT doc_id, size::BIGINT AS size,
-  xor(4294967295, list_reduce(
-    list_prepend(4294967295::BIGINT, list_transform(
-      range(1, 2 * octet_length(encode(coalesce(text, ''))), 2),
-      lambda i: ('0x' || substr(hex(encode(coalesce(text, ''))), i, 2))::BIGINT)),
-    lambda c, b: xor(crc_table.of[(xor(c, b) & 255) + 1], c >> 8)))::BIGINT AS text_crc32,
+  {_CRC.format("coalesce(text, '')")}::BIGINT AS text_crc32,
   'bytes' AS law, shard,
   (row_number() OVER (PARTITION BY shard ORDER BY digest NULLS FIRST, doc_id NULLS FIRST) - 1)::BIGINT AS slot,
   CAST(NULL AS INTEGER) AS grown_shard
@@ -123,4 +126,71 @@ SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id)::BIGINT AS
 FROM embeddings e JOIN reach r ON e.vec_id = r.node GROUP BY e.vec_id
 """
 
-SQL = {"op1_lsh_forest": OP1, "op2_pivot_index": OP2, "op5_byte_shards": OP5, "op6_line_dedup": OP6, "op10_decontamination": OP10}
+# Words one edit apart: equal without the character at one place, or one is the other without a character.
+OP11 = rf"""
+WITH RECURSIVE {_CRC_TABLE}, runs AS (
+  SELECT doc_id, w, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all({_LOWER.format("text")}, '[a-z\x{{C0}}-\x{{FF}}]+')) AS w FROM documents
+  ) GROUP BY doc_id, w
+), hashed AS (
+  SELECT w, n, {_CRC.format("k")} AS h
+  FROM (SELECT w, n, coalesce(doc_id::VARCHAR, '') || ':' || w AS k FROM runs), crc_table
+), words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT n, CASE WHEN h % 97 = 0 THEN left(w, (h % length(w))::INTEGER) || substr(w, (h % length(w))::INTEGER + 2)
+      ELSE w END AS word FROM hashed
+  ) GROUP BY word HAVING sum(n) >= 3 AND length(word) >= 5
+), gaps AS (
+  SELECT word, n, i, left(word, i::INTEGER) || substr(word, i::INTEGER + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+), near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM gaps a JOIN gaps b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT g.word, w.word, w.n FROM gaps g JOIN words w ON g.rest = w.word
+  UNION SELECT w.word, g.word, g.n FROM gaps g JOIN words w ON g.rest = w.word
+), best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS other, max(other_n) AS other_n
+  FROM near GROUP BY word
+), formed AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0)::BIGINT AS n_near, CASE WHEN b.other_n >= 2 * w.n THEN b.other END AS form,
+    CASE WHEN b.other_n >= 2 * w.n THEN b.other_n END::BIGINT AS form_n
+  FROM words w LEFT JOIN best b ON w.word = b.word
+), reach AS (
+  SELECT word, word AS at FROM formed
+  UNION ALL SELECT r.word, f.form FROM reach r JOIN formed f ON r.at = f.word WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, r.at AS root, f.n, f.n_near, f.form_n
+FROM formed f JOIN reach r ON f.word = r.word JOIN formed l ON r.at = l.word WHERE l.form IS NULL
+"""
+
+OP13 = r"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+    sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS d
+  FROM documents
+), drawn AS (
+  SELECT *, len(u) AS n, ('0x' || substr(d, 1, 8))::BIGINT AS h1, ('0x' || substr(d, 9, 8))::BIGINT AS h2,
+    ('0x' || substr(d, 17, 8))::BIGINT AS h3, ('0x' || substr(d, 25, 8))::BIGINT AS h4
+  FROM units
+), cut AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+), parts AS (
+  SELECT *, coalesce(array_to_string(list_slice(u, 1, a), ''), '') AS p,
+    coalesce(array_to_string(list_slice(u, a + 1, b), ''), '') AS m,
+    coalesce(array_to_string(list_slice(u, b + 1, n), ''), '') AS s
+  FROM cut
+)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts
+"""
+
+SQL = {
+    "op1_lsh_forest": OP1, "op2_pivot_index": OP2, "op5_byte_shards": OP5, "op6_line_dedup": OP6,
+    "op10_decontamination": OP10, "op11_spelling_variants": OP11, "op13_fill_in_middle": OP13,
+}
