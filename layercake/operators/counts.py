@@ -47,15 +47,25 @@ def conditional_counts(
     )
 
 
+def keys_repeat(df: DataFrame, key: str) -> bool:
+    """Whether any key stands in more than one row: a count of the keys alone, which nothing else of the rows takes part in."""
+    return not df.select(key).where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").isEmpty()
+
+
 def key_flags(
-    df: DataFrame, by: Sequence[str], key: str, conditions: Mapping[str, Column | None]
+    df: DataFrame, by: Sequence[str], key: str, conditions: Mapping[str, Column | None], unique: bool = False
 ) -> DataFrame:
     """Add a column per condition whose sum over a group is its number of distinct keys that meet it.
 
     It is 1 on one row of every (group, key) of which any row meets the condition, else 0, so plain sums
     of all rows and any number of conditional distinct counts share one aggregation. NULL keys count
-    for nothing. Rows meet by (group, key), so no task holds more than the rows of one key.
+    for nothing. Rows meet by (group, key), so no task holds more than the rows of one key; where the keys of a group are
+    known to be ``unique`` they need not meet at all.
     """
+    if unique:
+        one = {n: F.lit(True) if condition is None else condition for n, condition in conditions.items()}
+        present = F.col(key).isNotNull()
+        return df.withColumns({n: F.when(present & condition, 1).otherwise(0) for n, condition in one.items()})
     same = Window.partitionBy(*by, key)
     once = (F.row_number().over(same.orderBy(key)) == 1) & F.col(key).isNotNull()
     flags = {}

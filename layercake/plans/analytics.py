@@ -2,8 +2,8 @@
 
 All four aggregate the facts by surrogate keys first and fetch dimension attributes for the much
 smaller result: the keys determine the attributes, so the groups are the same. Order ids may repeat
-in the facts of a first load, so orders are counted distinct: ``key_flags`` marks one row of each order, and
-the counts become sums. Distinct members, modes and medians are taken from rows that have been added
+in the facts of a first load, so orders are counted distinct: ``key_flags`` marks one row of each order (any row where
+the run knows that no id repeats), and the counts become sums. Distinct members, modes and medians are taken from rows that have been added
 up to (group, member) before. Nothing is computed while a mart is composed; how a dimension is joined is decided
 at run time, by its size in bytes.
 """
@@ -38,7 +38,7 @@ def _average(total: str, number: str) -> Column:
 _SERIES = ["truck_sk", "location_sk"]
 
 
-def daily_sales_totals(orders: DataFrame) -> DataFrame:
+def daily_sales_totals(orders: DataFrame, run: Run) -> DataFrame:
     """Sales per day, truck and location, from the orders alone."""
     group = ["order_date_sk", "truck_sk", "location_sk"]
     meal = c("meal_period")
@@ -51,7 +51,7 @@ def daily_sales_totals(orders: DataFrame) -> DataFrame:
         "dinner_orders": meal == "Dinner",
         "discounted_orders": c("discount_percentage") > 0,
     }
-    return key_flags(orders, group, "order_id", counts).groupBy(*group).agg(
+    return key_flags(orders, group, "order_id", counts, run.unique_orders).groupBy(*group).agg(
         *[F.sum(name).alias(name) for name in counts],
         F.sum("order_total").alias("total_revenue"),
         F.sum("total_cost_of_goods").alias("total_cost_of_goods"),
@@ -115,19 +115,19 @@ def agg_daily_sales(
     run: Run,
 ) -> DataFrame:
     """Sales per day, truck and location, ranked within the day, with seven-row trends."""
-    return daily_sales_of(daily_sales_totals(orders), dates, trucks, locations, run)
+    return daily_sales_of(daily_sales_totals(orders, run), dates, trucks, locations, run)
 
 
 _HOURS = {f"{label.lower()}_orders": hours for hours, label in rules.MEAL_HOURS}
 
 
-def location_totals(orders: DataFrame) -> DataFrame:
+def location_totals(orders: DataFrame, run: Run) -> DataFrame:
     """Sales per location and day, from the orders alone."""
     group = ["location_sk", "order_date_sk"]
     hour = c("order_hour")
     counts = {"daily_orders": None, **{name: hour.between(*hours) for name, hours in _HOURS.items()}}
     known = orders.where(c("location_sk") != rules.UNKNOWN_KEY)
-    served_by = key_flags(known, group, "order_id", counts).groupBy(*group, "truck_sk", "customer_sk").agg(
+    served_by = key_flags(known, group, "order_id", counts, run.unique_orders).groupBy(*group, "truck_sk", "customer_sk").agg(
         *[F.sum(name).alias(name) for name in counts],
         F.sum("order_total").alias("revenue"),
         F.count("order_total").alias("valued"),
@@ -241,10 +241,10 @@ def agg_location_insights(
     run: Run,
 ) -> DataFrame:
     """Sales per location and day, against the location's month and season."""
-    return location_insights_of(location_totals(orders), dates, locations, run)
+    return location_insights_of(location_totals(orders, run), dates, locations, run)
 
 
-def menu_totals(details: DataFrame, orders: DataFrame, trucks: DataFrame) -> DataFrame:
+def menu_totals(details: DataFrame, orders: DataFrame, trucks: DataFrame, run: Run) -> DataFrame:
     """Sales per day and item.
 
     The facts meet on order_sk, without the lines of unknown orders. Lines are reduced to one row per order
@@ -281,7 +281,7 @@ def menu_totals(details: DataFrame, orders: DataFrame, trucks: DataFrame) -> Dat
         "dinner_quantity": c("meal_period") == "Dinner",
     }
     group = ["order_date_sk", "menu_item_sk"]
-    bought_by = key_flags(per_order, group, "order_sk", {"orders": None}).groupBy(
+    bought_by = key_flags(per_order, group, "order_sk", {"orders": None}, run.unique_orders).groupBy(
         *group, "truck_id", "customer_sk"
     ).agg(
         *[F.sum(name).alias(name) for name in (*sums, "priced", "orders")],
@@ -361,7 +361,7 @@ def agg_menu_performance(
     run: Run,
 ) -> DataFrame:
     """Sales per day and item, ranked within the day and the category."""
-    return menu_performance_of(menu_totals(details, orders, trucks), dates, items, run)
+    return menu_performance_of(menu_totals(details, orders, trucks, run), dates, items, run)
 
 
 def _weights(rows: DataFrame, by: str, *columns: str) -> DataFrame:
@@ -394,7 +394,7 @@ def _transactions(orders: DataFrame, dates: DataFrame, trucks: DataFrame, locati
         "avg_processing_time": "processing_time_minutes",
     }
     known = orders.where(c("customer_sk") != rules.UNKNOWN_KEY).join(days, "order_date_sk")
-    visits = key_flags(known, ["customer_sk"], "order_id", counts).groupBy(
+    visits = key_flags(known, ["customer_sk"], "order_id", counts, run.unique_orders).groupBy(
         "customer_sk", "location_sk", "truck_sk"
     ).agg(
         *[F.sum(name).alias(name) for name in counts],

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import date
 from typing import TYPE_CHECKING
 
@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from layercake import rules
+from layercake.operators.counts import keys_repeat
 from layercake.operators.incremental import new_rows, read_upserted, replace_table, upsert_table
 from layercake.operators.settle import settle
 from layercake.plans import analytics, calendar, dimensions, facts, intermediate, staging
@@ -331,6 +332,8 @@ def build(
     groups = ["utils", "staging", "intermediate", "core", "analytics"]
     for group in groups:
         names = [n for n in selected if group in MODELS[n].tags]
+        if names and group == "analytics":
+            layers.run = replace(run, unique_orders=not keys_repeat(layers["fact_order"], "order_id"))
         tested = [n for n in names if gates and n in RULES]
         watched = {n: Watched(n, RULES[n]) for n in tested if MODELS[n].kind != "view"}
         for name in names:

@@ -65,7 +65,7 @@ def refresh_totals(layers: Layers, name: str, target: str, since: date | None) -
         rows = layers[table]
         return rows.where(F.col("order_date_sk") >= first) if first and table == "fact_order" else rows
 
-    fresh = mart.totals(*[fact(table) for table in mart.facts]).withColumn("_part", part)
+    fresh = mart.totals(*[fact(table) for table in mart.facts], layers.run).withColumn("_part", part)
     if version is None:
         replace_table(fresh, target, "_part")
     else:

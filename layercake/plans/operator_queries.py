@@ -6,6 +6,7 @@ combined.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from layercake import functions as fn
 from layercake import operators as ops
 from layercake import rules
+from layercake.operators.counts import keys_repeat
 from layercake.operators.windows import lag_by
 from layercake.plans import calendar
 from layercake.plans.build import MODELS, Layers, build
@@ -46,6 +48,13 @@ def layers(spark: SparkSession, directory: str) -> Layers:
     return Layers(prepare(spark), raw_tables(spark, directory), RUN, *CALENDAR, write_shared=True)
 
 
+def mart_layers(spark: SparkSession, directory: str) -> Layers:
+    """With a look at the order ids first, as a build has it before the marts."""
+    raw = raw_tables(prepare(spark), directory)
+    run = replace(RUN, unique_orders=not keys_repeat(raw["order_header"], "order_id"))
+    return Layers(spark, raw, run, *CALENDAR, write_shared=True)
+
+
 # ------------------------------------------------------------------------------------- calendars
 
 

@@ -13,13 +13,15 @@ from pyspark.sql import functions as F
 class Run:
     """``as_of`` None means the current day; ``loaded_at`` None the current time.
 
-    Results depend on the data and on these two values only.
+    Results depend on the data and on these two values only. ``unique_orders`` says that order ids are known not to
+    repeat (see ``keys_repeat``), so that marts need not look for repeats.
     """
 
     as_of: date | None = None
     loaded_at: datetime | None = None
     on_bad: str = "error"
     time_match: str = "exact"
+    unique_orders: bool = False
 
     @property
     def today(self) -> Column:

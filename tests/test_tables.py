@@ -172,6 +172,16 @@ def test_facts_built_in_buckets_meet_without_shuffles(spark, tmp_path, run):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_sums_over_bucketed_tables_are_right(spark):
+    names = [f"bucketed_{i}" for i in range(3)]
+    for i, name in enumerate(names):
+        rows = spark.range(500).select(c("id").alias("k"), F.lit(i).alias("v"))
+        rows.write.mode("overwrite").format("parquet").bucketBy(4, "k").sortBy("k").saveAsTable(name)
+    a, b, d = (spark.table(name) for name in names)
+    sums = a.unionByName(b).unionByName(d).groupBy("k").agg(F.sum("v").alias("v"), F.count("*").alias("n"))
+    assert sums.count() == 500 and sums.where("v <> 3 OR n <> 3").count() == 0
+
+
 # Gates
 
 
@@ -208,6 +218,21 @@ def test_unique_rules_of_a_table_share_one_shuffle(spark):
     assert check(df.where("false"), "m", rules).agg(F.sum("failures")).first()[0] == 0
 
 
+def test_marts_of_orders_that_do_not_repeat_look_for_no_repeats(spark):
+    from layercake.operators.counts import keys_repeat
+    from layercake.plans.analytics import daily_sales_totals
+    from layercake.plans.operator_queries import layers, mart_layers
+
+    assert keys_repeat(spark.createDataFrame([(1,), (None,), (None,), (1,)], "k int"), "k")
+    assert not keys_repeat(spark.createDataFrame([(1,), (None,), (None,), (2,)], "k int"), "k")
+    known, unknown = mart_layers(spark, SMALL), layers(spark, SMALL)
+    assert known.run.unique_orders and not unknown.run.unique_orders
+    plans = [daily_sales_totals(of["fact_order"].limit(10**6), of.run)._jdf.queryExecution().optimizedPlan().toString()
+             for of in (known, unknown)]
+    windows = [plan.split("Limit")[0].count("Window") for plan in plans]
+    assert windows == [0, 1]
+
+
 # Members, listings, increments
 
 
