@@ -1,20 +1,21 @@
 """Line deduplication with levelled sorted runs of line hashes, in DataFrame functions.
 
-A run is a sorted table with one row per line key of some batches: its hash (128 bits), the number of
-documents that hold it and the largest id among them. A batch adds a run to level 0. Once a level
-has ``fanout`` runs they are merged into one run of the next level, so there are never more than
-``fanout`` times the number of levels, and a key is rewritten once per level. A batch is checked by a
-merge join of its lines with the runs.
+A run has one row per line key of some batches: its hash (128 bits), the number of documents that hold it and the
+largest id among them. It is a table in buckets by the hash, sorted in each. Each batch becomes such a table and meets the
+runs in merge anti-joins, one after the other and without a shuffle: the keys that are left are the batch's new lines
+and make its run; what the batch adds to the counts of known keys goes beside it. Both come to level 0. Once a level has ``fanout`` of them they are merged into one run of the next
+level, so there are never more than ``fanout`` times the number of levels, and a key is rewritten once per level.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layercake.llm.common import ascii_lower, settle
+from layercake.llm.common import ascii_lower, broadcast_within, settle
 from layercake.session import shared_dir
 
 # Fixed by the contract: what is stripped from a line, and which keys count.
@@ -47,7 +48,7 @@ def line_keys(docs: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:
 
 
 class LineRuns:
-    """The runs of one corpus, in the shared folder (or under ``root``).
+    """The runs of one corpus, in the shared folder (or under ``root``), known to the catalog while the session lasts.
 
     Null ids count as documents and are below every other id.
     """
@@ -55,49 +56,75 @@ class LineRuns:
     def __init__(self, spark: SparkSession, kind: str, root: str | None = None, fanout: int = FANOUT) -> None:
         self.spark, self.kind, self.fanout = spark, kind, fanout
         self.root = root or shared_dir(spark, "line-runs")
-        self.levels: list[list[str]] = []
-        self._written = 0
-
-    def add(self, keys: DataFrame) -> None:
-        """Add the run of a batch of ``line_keys``; a line that a document repeats counts once in it."""
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # By level, the tables of each run: new keys, and additions to known ones.
+        self.levels: list[list[list[str]]] = []
+        spark.sql("CREATE SCHEMA IF NOT EXISTS layercake")
+        # Spark 4.1 takes a union of bucketed scans for bucketed but only appends their partitions, so sums over
+        # it would be wrong without a shuffle.
+        spark.conf.set("spark.sql.unionOutputPartitioning", "false")
+
+    def add(self, keys: DataFrame) -> DataFrame:
+        """Add the run of a batch of ``line_keys`` and return it: the keys that no earlier batch had.
+
+        A line that a document repeats counts once in it.
+        """
         once = keys.groupBy("h1", "h2", "doc_id", "k").agg(F.lit(1).alias("one"))
-        run = once.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper"))
-        self._place(self._write(run), 0)
+        counted = once.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper"))
+        batch = self.spark.table(self._write(counted))
+        if not self.levels:
+            self._place([self._write(batch)], 0)
+            return batch
+        new = self._write(self.new_lines(batch))
+        more = self._write(self._without(batch, new))
+        self._place([new, more], 0)
+        return self.spark.table(new)
 
     def total(self) -> DataFrame:
         """All runs merged: ``h1``, ``h2``, ``n_docs``, ``keeper``."""
-        return self._merged([path for level in self.levels for path in level])
+        return self._merged(self._tables())
 
     def seen_before(self, keys: DataFrame, min_docs: int = 1) -> DataFrame:
-        """Lines of ``keys`` whose hash lies in the runs, with ``n_docs`` and ``keeper`` (merge join)."""
-        heavy = self.total().filter(F.col("n_docs") >= min_docs)
-        return keys.join(heavy.hint("merge"), ["h1", "h2"])
+        """Lines of ``keys`` whose hash lies in the runs, with ``n_docs`` and ``keeper``.
+
+        A very common line is split like any skewed join key, as both sides are shuffled where the common keys are too
+        many to broadcast.
+        """
+        heavy = settle(self.total().filter(F.col("n_docs") >= min_docs), "common-lines")
+        return keys.join(broadcast_within(heavy, 64), ["h1", "h2"])
 
     def new_lines(self, keys: DataFrame) -> DataFrame:
-        """Lines of ``keys`` that no run holds (merge anti-join)."""
-        return keys.join(self.total().hint("merge"), ["h1", "h2"], "left_anti")
+        """Rows of ``keys`` that no run holds (merge anti-joins)."""
+        return reduce(self._without, self._tables(), keys)
+
+    def _without(self, keys: DataFrame, name: str) -> DataFrame:
+        return keys.join(self.spark.table(name).select("h1", "h2").hint("merge"), ["h1", "h2"], "left_anti")
+
+    def _tables(self) -> list[str]:
+        return [name for level in self.levels for run in level for name in run]
 
-    def _place(self, path: str, level: int) -> None:
+    def _place(self, run: list[str], level: int) -> None:
         if level == len(self.levels):
             self.levels.append([])
-        self.levels[level].append(path)
+        self.levels[level].append(run)
         if len(self.levels[level]) >= self.fanout:
-            merged = self._write(self._merged(self.levels[level]))
+            merged = self._write(self._merged([name for run in self.levels[level] for name in run]))
             self.levels[level] = []
-            self._place(merged, level + 1)
+            self._place([merged], level + 1)
 
-    def _merged(self, paths: list[str]) -> DataFrame:
-        schema = _RUN.format(kind=self.kind)
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        runs = self.spark.read.schema(schema).parquet(*paths)
+    def _merged(self, names: list[str]) -> DataFrame:
+        if not names:
+            return self.spark.createDataFrame([], _RUN.format(kind=self.kind))
+        runs = reduce(DataFrame.unionByName, [self.spark.table(name) for name in names])
         return runs.groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs"), F.max("keeper").alias("keeper"))
 
     def _write(self, run: DataFrame) -> str:
-        self._written += 1
-        path = f"{self.root}/run-{self._written}"
-        run.sortWithinPartitions("h1", "h2").write.mode("overwrite").parquet(path)
-        return path
+        name = f"run_{uuid.uuid4().hex}"
+        dealt = run.select("h1", "h2", "n_docs", "keeper").repartition(self.buckets, "h1", "h2")
+        dealt.write.format("parquet").option("path", f"{self.root}/{name}").bucketBy(
+            self.buckets, "h1", "h2"
+        ).sortBy("h1", "h2").saveAsTable(f"layercake.{name}")
+        return f"layercake.{name}"
 
 
 def repeated_lines(

@@ -115,3 +115,10 @@ def test_bytes_that_are_no_text(spark, bpe, library):
     tokens = spark.createDataFrame([(i, x) for i, x in enumerate(ids)], "doc_id long, ids array<int>")
     got = {r.doc_id: r.decoded for r in chunk_reuse.decode(tokens, bpe).collect()}
     assert got == {i: library.decode(x or [], skip_special_tokens=False) for i, x in enumerate(ids)}
+
+
+def test_columns_of_clashing_names_are_not_read(spark, bpe, library):
+    docs = spark.createDataFrame(
+        [("a", "one text", "x", 1, b"2"), ("b", None, None, None, None)], "doc_id string, text string, ids string, row int, digest binary"
+    )
+    assert encoded(docs, bpe) == same(library, [("a", "one text"), ("b", None)])

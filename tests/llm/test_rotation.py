@@ -83,3 +83,10 @@ def test_rotations_undo_each_other():
         assert buffer == data[:start] + data[middle:end] + data[start:middle] + data[end:]
         rotation.rotate(buffer, start, start + end - middle, end)
         assert buffer == data
+
+
+def test_columns_of_clashing_names_are_not_read(spark):
+    docs = spark.createDataFrame([("7", "a b c", 1, "plain", "x")], "doc_id string, text string, n int, form string, output string")
+    row = rotation.restored(rotation.transform(docs)).first()
+    assert (row.doc_id, row.n, row.form, row.prefix_chars, row.middle_chars, row.output) == ("7", *expected("7", "a b c"))
+    assert row.text == "a b c"

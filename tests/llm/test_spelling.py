@@ -98,3 +98,10 @@ def test_chains_lead_to_the_last_form(make):
     assert got["aaaaa"] == ("aaaab", "bbbbb", 1, 1, 2) and got["bbbbb"] == (None, "bbbbb", 32, 1, None)
     # A form needs twice the count.
     assert found(spelling.variants(make([(1, "worda worda worda wordb wordb")]), min_count=1))["wordb"][:2] == (None, "wordb")
+
+
+def test_columns_of_clashing_names_are_not_read(spark):
+    docs = spark.createDataFrame(
+        [(1, "words words words wordy wordy wordy", "x", 5, None, "y")], "doc_id int, text string, word string, n int, root string, stem string"
+    )
+    assert found(spelling.variants(docs)) == {"words": (None, "words", 3, 1, None), "wordy": (None, "wordy", 3, 1, None)}

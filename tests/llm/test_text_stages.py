@@ -94,13 +94,38 @@ def test_runs_are_compacted_and_anti_joined(spark, make):
     for batch in range(5):
         keys = line_runs.line_keys(make([(10 * batch + i, f"{line(i)}\n{line(batch + 100)}") for i in range(3)]))
         assert runs.new_lines(keys).count() == (6 if batch == 0 else 3)
-        runs.add(keys)
+        # The run of a batch holds the keys that the anti-join leaves; the first batch has all of its own.
+        assert runs.add(keys).count() == (4 if batch == 0 else 1)
     assert [len(level) for level in runs.levels] == [1, 0, 1]
     assert sorted((r.n_docs, r.keeper) for r in runs.total().collect()) == [
         *((3, 10 * b + 2) for b in range(5)), (5, 40), (5, 41), (5, 42)
     ]
 
 
+def test_a_batch_meets_the_runs_without_a_shuffle(spark, make):
+    runs = line_runs.LineRuns(spark, "bigint", fanout=3)
+    for batch in range(2):
+        runs.add(line_runs.line_keys(make([(i, f"this line of batch {batch} is long enough, number {i}") for i in range(9)])))
+    batch = spark.table(runs.levels[0][0][0])
+    plan = runs.new_lines(batch)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("SortMergeJoin") == 3 and runs.new_lines(batch).count() == 0
+
+
+def test_the_query_feeds_its_batches_through_the_anti_join(spark, make, monkeypatch):
+    rows = [(i, f"a line that each of the documents holds in this test\nand line {i % 3} that only some of them hold") for i in range(40)]
+    plain, seen = line_runs.LineRuns.new_lines, []
+
+    def counted(self, keys):
+        found = plain(self, keys)
+        seen.append(found.count())
+        return found
+
+    monkeypatch.setattr(line_runs.LineRuns, "new_lines", counted)
+    got = lines_of(make(rows))
+    assert len(seen) == line_runs.BATCHES - 1 and set(seen) <= {0, 1, 2}
+    assert {i: r._kept for i, r in got.items()} == kept_lines(rows)
+
+
 # Decontamination
 
 
