@@ -132,8 +132,8 @@ def test_files_with_other_columns_are_known_as_mixed(spark, tmp_path):
 # Catalog
 
 
-def test_a_view_of_the_catalog_is_read_by_another_session(spark):
-    spark.range(10).write.mode("overwrite").saveAsTable("ten_numbers")
+def test_a_view_of_the_catalog_is_read_by_another_session(spark, tmp_path):
+    spark.range(10).write.option("path", str(tmp_path / "ten")).saveAsTable("ten_numbers")
     catalog_view(spark, "layercake_test.even_numbers", "SELECT id FROM ten_numbers WHERE id % 2 = 0")
     other = spark.newSession()
     assert other.table("layercake_test.even_numbers").count() == 5
@@ -172,11 +172,11 @@ def test_facts_built_in_buckets_meet_without_shuffles(spark, tmp_path, run):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_sums_over_bucketed_tables_are_right(spark):
+def test_sums_over_bucketed_tables_are_right(spark, tmp_path):
     names = [f"bucketed_{i}" for i in range(3)]
     for i, name in enumerate(names):
         rows = spark.range(500).select(c("id").alias("k"), F.lit(i).alias("v"))
-        rows.write.mode("overwrite").format("parquet").bucketBy(4, "k").sortBy("k").saveAsTable(name)
+        rows.write.option("path", str(tmp_path / name)).format("parquet").bucketBy(4, "k").sortBy("k").saveAsTable(name)
     a, b, d = (spark.table(name) for name in names)
     sums = a.unionByName(b).unionByName(d).groupBy("k").agg(F.sum("v").alias("v"), F.count("*").alias("n"))
     assert sums.count() == 500 and sums.where("v <> 3 OR n <> 3").count() == 0
