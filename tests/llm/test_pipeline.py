@@ -67,6 +67,6 @@ def test_near_dedup_removes_rows_by_their_own_text(spark, make):
 
 
 def test_what_is_registered():
-    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 11))
+    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 14))
     assert set(SQL) <= set(QUERIES)
     assert lsh_forest.THRESHOLD == 80 and decontaminate.WIDTH == 10
