@@ -9,13 +9,14 @@ from layercake import functions as fn
 from layercake import rules
 from layercake.operators.dedupe import keep_latest
 from layercake.operators.joins import left_join_where_left
+from layercake.plans.intermediate import SALES
 from layercake.plans.run import Run
 
 c = F.col
 
 
-def _latest(df: DataFrame, key: str) -> DataFrame:
-    return keep_latest(df.where(c(key).isNotNull()), [key], [c("updated_ts").desc()])
+def _latest(df: DataFrame, key: str, follow: tuple[str, ...] = ()) -> DataFrame:
+    return keep_latest(df.where(c(key).isNotNull()), [key], [c("updated_ts").desc()], follow)
 
 
 def key_table(staged: DataFrame, key: str, name: str, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -208,7 +209,7 @@ def dim_menu_item(items: DataFrame, run: Run) -> DataFrame:
         tier=c("sales_performance_tier"),
     )
     options = sum((c(diet).cast("int") for diet in rules.DIETS), F.lit(0))
-    current = _latest(items, "menu_item_id").select(
+    current = _latest(items, "menu_item_id", SALES).select(
         fn.surrogate_key(c("menu_item_id")).alias("menu_item_sk"),
         "menu_item_id",
         "menu_id",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from layercake import functions as fn
 from layercake import rules
+from layercake.operators.counts import key_flags
 from layercake.plans.run import Run
 
 c = F.col
@@ -62,11 +63,21 @@ def int_orders_enriched(headers: DataFrame, details: DataFrame, menu: DataFrame,
     )
 
 
+# What int_menu_profitability adds to a staged item: it follows from the item and the sales of its id.
+SALES = (
+    "orders_containing_item", "total_quantity_sold", "total_revenue", "avg_selling_price", "total_discounts_given",
+    "quantity_sold_30_days", "revenue_30_days", "total_profit", "actual_profit_margin_pct", "sales_performance_tier",
+    "profitability_tier", "trend_status", "mobile_sales", "walkin_sales", "breakfast_sales", "lunch_sales",
+    "dinner_sales", "peak_meal_period",
+)
+
+
 def int_menu_profitability(menu: DataFrame, details: DataFrame, headers: DataFrame, run: Run) -> DataFrame:
     """Items with a valid price and what they sold.
 
     Lines and headers meet on order_id, which is also the one distinct count, so that count needs
-    no shuffle of its own; the sums per item are combined in the map tasks.
+    no shuffle of its own: one row of each order and item is marked, which is a sort that can spill, and the marks are
+    summed. The sums per item are combined in the map tasks.
     """
     orders = headers.select("order_id", "order_timestamp", "order_channel", "meal_period")
     lines = details.where("is_valid_line_item").select(
@@ -79,10 +90,10 @@ def int_menu_profitability(menu: DataFrame, details: DataFrame, headers: DataFra
         return F.sum(F.when(condition, value).otherwise(0))
 
     sales = (
-        lines.join(orders, "order_id")
+        key_flags(lines.join(orders, "order_id"), ["menu_item_id"], "order_id", {"_first": None})
         .groupBy("menu_item_id")
         .agg(
-            F.countDistinct("order_id").alias("orders_containing_item"),
+            F.sum("_first").alias("orders_containing_item"),
             F.sum(quantity).alias("total_quantity_sold"),
             F.sum(net).alias("total_revenue"),
             fn.mean(c("unit_price")).alias("avg_selling_price"),
