@@ -12,3 +12,12 @@ def surrogate_key(*columns: Column) -> Column:
     """md5 of the text forms joined by '-', NULL parts replaced by a fixed mark."""
     parts = [F.coalesce(c.cast("string"), F.lit(rules.SURROGATE_NULL)) for c in columns]
     return F.md5(F.concat_ws("-", *parts))
+
+
+def packed_key(key: Column) -> Column:
+    """A surrogate key in half its bytes, for shuffles: the 16 bytes that an md5 spells; other texts as they are."""
+    return F.when(F.length(key) == 32, F.coalesce(F.unhex(key), key.cast("binary"))).otherwise(key.cast("binary"))
+
+
+def unpacked_key(packed: Column) -> Column:
+    return F.when(F.length(packed) == 16, F.lower(F.hex(packed))).otherwise(packed.cast("string"))

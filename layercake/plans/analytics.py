@@ -244,74 +244,68 @@ def agg_location_insights(
     return location_insights_of(location_totals(orders, run), dates, locations, run)
 
 
+_CHANNEL_PARTS = {"mobile_quantity": "Mobile App", "walkin_quantity": "Walk-up"}
+_MEAL_PARTS = {f"{meal.lower()}_quantity": meal for meal in ("Breakfast", "Lunch", "Dinner")}
+
+
+def _meeting(details: DataFrame, orders: DataFrame) -> str:
+    """What lines and orders meet on: the id where the lines carry it, else the surrogate key."""
+    return "order_id" if "order_id" in details.columns and "order_id" in orders.columns else "order_sk"
+
+
 def menu_totals(details: DataFrame, orders: DataFrame, trucks: DataFrame, run: Run) -> DataFrame:
     """Sales per day and item.
 
-    The facts meet on order_sk, without the lines of unknown orders. Lines are reduced to one row per order
-    and item without another shuffle.
+    The facts meet without the lines of unknown orders, and one line of every order, day and item is marked there. The lines
+    are then shuffled once, by day and item: first rows of each customer and truck are marked where they sort
+    together, and everything is summed in that order. Keys travel packed.
     """
+    on = _meeting(details, orders)
     known = (c("menu_item_sk") != rules.UNKNOWN_KEY) & (c("order_sk") != rules.UNKNOWN_KEY)
     lines = details.where(known).select(
-        "order_sk", "menu_item_sk", "quantity", "line_total", "line_cost_of_goods", "line_profit",
+        on, fn.packed_key(c("menu_item_sk")).alias("item"), "quantity", "line_total", "line_cost_of_goods", "line_profit",
         "unit_price", "line_discount_amount",
     )
     # Trucks meet the orders before the lines do: what follows then stays where the lines met their orders.
     heads = orders.select(
-        "order_sk", "order_date_sk", "truck_sk", "customer_sk", "order_channel", "meal_period"
-    ).join(trucks.select("truck_sk", "truck_id"), "truck_sk").drop("truck_sk")
-    of_order = ["order_date_sk", "truck_id", "customer_sk", "order_channel", "meal_period"]
-    sums = {
-        "sold": "quantity", "revenue": "line_total", "cost": "line_cost_of_goods", "profit": "line_profit",
-        "prices": "unit_price", "discounts": "line_discount_amount",
-    }
-    per_order = (
-        lines.join(heads, "order_sk")
-        .groupBy("order_sk", "menu_item_sk", *of_order)
-        .agg(*[F.sum(column).alias(name) for name, column in sums.items()], F.count("unit_price").alias("priced"))
-    )
-
-    def sold_where(condition: Column) -> Column:
-        return F.sum(F.when(condition, c("sold")).otherwise(0))
-
-    parts = {
-        "mobile_quantity": c("order_channel") == "Mobile App",
-        "walkin_quantity": c("order_channel") == "Walk-up",
-        "breakfast_quantity": c("meal_period") == "Breakfast",
-        "lunch_quantity": c("meal_period") == "Lunch",
-        "dinner_quantity": c("meal_period") == "Dinner",
-    }
-    group = ["order_date_sk", "menu_item_sk"]
-    bought_by = key_flags(per_order, group, "order_sk", {"orders": None}, run.unique_orders).groupBy(
-        *group, "truck_id", "customer_sk"
-    ).agg(
-        *[F.sum(name).alias(name) for name in (*sums, "priced", "orders")],
-        *[sold_where(condition).alias(name) for name, condition in parts.items()],
-    )
-    return bought_by.groupBy(*group).agg(
-        F.sum("sold").alias("total_quantity_sold"),
+        on, "order_date_sk", fn.packed_key(c("truck_sk")).alias("truck"),
+        fn.packed_key(c("customer_sk")).alias("customer"),
+        *[(c("order_channel") == channel).alias(name) for name, channel in _CHANNEL_PARTS.items()],
+        *[(c("meal_period") == meal).alias(name) for name, meal in _MEAL_PARTS.items()],
+    ).join(trucks.select(fn.packed_key(c("truck_sk")).alias("truck"), "truck_id"), "truck").drop("truck")
+    group = ["order_date_sk", "item"]
+    sold = key_flags(lines.join(heads, on), group, on, {"orders": None}).drop(on).repartition(*group)
+    marked = key_flags(key_flags(sold, group, "truck_id", {"_truck": None}), group, "customer", {"_customer": None})
+    parts = [*_CHANNEL_PARTS, *_MEAL_PARTS]
+    totals = marked.groupBy(*group).agg(
+        F.sum("quantity").alias("total_quantity_sold"),
         F.sum("orders").alias("orders_containing_item"),
-        F.sum("revenue").alias("total_revenue"),
-        F.sum("cost").alias("total_cost_of_goods"),
-        F.sum("profit").alias("total_profit"),
-        _average("prices", "priced").alias("avg_selling_price"),
-        F.sum("discounts").alias("total_discounts_given"),
-        F.countDistinct("truck_id").alias("trucks_selling_item"),
-        F.countDistinct("customer_sk").alias("unique_customers"),
-        *[F.sum(name).alias(name) for name in parts],
+        F.sum("line_total").alias("total_revenue"),
+        F.sum("line_cost_of_goods").alias("total_cost_of_goods"),
+        F.sum("line_profit").alias("total_profit"),
+        fn.mean(c("unit_price")).alias("avg_selling_price"),
+        F.sum("line_discount_amount").alias("total_discounts_given"),
+        F.sum("_truck").alias("trucks_selling_item"),
+        F.sum("_customer").alias("unique_customers"),
+        *[F.sum(F.when(c(name), c("quantity")).otherwise(0)).alias(name) for name in parts],
     )
+    named = fn.unpacked_key(c("item")).alias("menu_item_sk")
+    return totals.select("order_date_sk", named, *[name for name in totals.columns if name not in group])
 
 
 def menu_performance_of(totals: DataFrame, dates: DataFrame, items: DataFrame, run: Run) -> DataFrame:
     """The mart from its totals: attributes and ranks within the day and the category."""
     item = items.select(
-        "menu_item_sk", "menu_item_name", "truck_brand_name", "item_category", "item_subcategory",
+        fn.packed_key(c("menu_item_sk")).alias("_item"), "menu_item_name", "truck_brand_name", "item_category", "item_subcategory",
         "sale_price_usd", "cost_of_goods_usd", "is_vegetarian", "is_vegan", "is_gluten_free",
         "menu_matrix_classification",
     )
     days = F.broadcast(
         dates.select(c("date_sk").alias("order_date_sk"), c("date_actual").alias("analysis_date"))
     )
-    base = totals.join(days, "order_date_sk").join(item, "menu_item_sk").drop("order_date_sk")
+    # Packed keys sort as their texts do.
+    sold = totals.withColumn("_item", fn.packed_key(c("menu_item_sk"))).drop("menu_item_sk")
+    base = sold.join(days, "order_date_sk").join(item, "_item").drop("order_date_sk")
     base = base.withColumn(
         "profit_margin_pct", fn.safe_pct(c("total_profit"), c("total_revenue"), places=8)
     )
@@ -323,13 +317,13 @@ def menu_performance_of(totals: DataFrame, dates: DataFrame, items: DataFrame, r
             "revenue_rank": "total_revenue",
             "profit_rank": "total_profit",
         },
-        ["menu_item_sk"],
+        ["_item"],
     )
     ranked = rank_by(
         ranked,
         ["analysis_date", "item_category"],
         {"category_popularity_rank": "total_quantity_sold"},
-        ["menu_item_sk"],
+        ["_item"],
     )
     mobile, walkin = c("mobile_quantity"), c("walkin_quantity")
     labelled = ranked.withColumns(
@@ -349,7 +343,8 @@ def menu_performance_of(totals: DataFrame, dates: DataFrame, items: DataFrame, r
             ),
         }
     )
-    return run.audited(labelled)
+    named = fn.unpacked_key(c("_item")).alias("menu_item_sk")
+    return run.audited(labelled.select(named, *[name for name in labelled.columns if name != "_item"]))
 
 
 def agg_menu_performance(
@@ -434,21 +429,24 @@ def _transactions(orders: DataFrame, dates: DataFrame, trucks: DataFrame, locati
 
 def customer_tastes(orders: DataFrame, details: DataFrame, items: DataFrame) -> DataFrame:
     """Favourite categories and prices per customer key, by way of one row per customer, item and price."""
+    on = _meeting(details, orders)
     item = items.select(
-        "menu_item_sk", "item_category", "item_subcategory", "truck_brand_name",
+        fn.packed_key(c("menu_item_sk")).alias("item"), "item_category", "item_subcategory", "truck_brand_name",
         "is_vegetarian", "is_vegan", "is_gluten_free",
     )
-    buyers = orders.where(c("customer_sk") != rules.UNKNOWN_KEY).select("order_sk", "customer_sk")
+    buyers = orders.where(c("customer_sk") != rules.UNKNOWN_KEY).select(
+        on, fn.packed_key(c("customer_sk")).alias("customer")
+    )
     lines = details.where(c("order_sk") != rules.UNKNOWN_KEY).select(
-        "order_sk", "menu_item_sk", "quantity", "unit_price"
+        on, fn.packed_key(c("menu_item_sk")).alias("item"), "quantity", "unit_price"
     )
     bought = (
-        lines.join(buyers, "order_sk").groupBy("customer_sk", "menu_item_sk", "unit_price")
+        lines.join(buyers, on).groupBy("customer", "item", "unit_price")
         .agg(F.sum("quantity").alias("quantity"), F.count("*").alias("_rows"))
         .withColumn("_prices", c("unit_price") * c("_rows"))
         .withColumn("_priced", F.when(c("unit_price").isNotNull(), c("_rows")).otherwise(0))
-        .join(item, "menu_item_sk")
-        .repartition("customer_sk")
+        .join(item, "item")
+        .repartition("customer")
     )
 
     def of_diet(name: str) -> Column:
@@ -459,7 +457,7 @@ def customer_tastes(orders: DataFrame, details: DataFrame, items: DataFrame) ->
         "favorite_subcategory": "item_subcategory",
         "favorite_brand": "truck_brand_name",
     }
-    return _weights(bought, "customer_sk", *labels.values()).groupBy("customer_sk").agg(
+    tastes = _weights(bought, "customer", *labels.values()).groupBy("customer").agg(
         *[weighted_mode(c(column), c(f"_of_{column}")).alias(name) for name, column in labels.items()],
         of_diet("is_vegetarian").alias("vegetarian_items_ordered"),
         of_diet("is_vegan").alias("vegan_items_ordered"),
@@ -468,6 +466,8 @@ def customer_tastes(orders: DataFrame, details: DataFrame, items: DataFrame) ->
         _average("_prices", "_priced").alias("avg_item_price_preference"),
         F.percentile("unit_price", F.lit(0.5), c("_rows")).alias("median_item_price_preference"),
     )
+    named = fn.unpacked_key(c("customer")).alias("customer_sk")
+    return tastes.select(named, *[name for name in tastes.columns if name != "customer"])
 
 
 def agg_customer_360(

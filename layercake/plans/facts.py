@@ -86,11 +86,14 @@ def fact_order(
     return run.audited(facts)
 
 
-def fact_order_detail(details: DataFrame, orders: DataFrame, items: DataFrame, run: Run) -> DataFrame:
+def fact_order_detail(
+    details: DataFrame, orders: DataFrame, items: DataFrame, run: Run, order_ids: bool = False
+) -> DataFrame:
     """Valid lines with the keys of their order and item.
 
     The order's key is a function of its id, so of the order fact only the ids take part in the
-    join; it decides between the key and '-1'.
+    join; it decides between the key and '-1'. With ``order_ids`` the id comes along, for marts: lines that have just met
+    the orders by it meet them again without another shuffle.
     """
     carry = (
         "cost_of_goods_usd", "item_category", "item_subcategory", "truck_brand_name",
@@ -130,5 +133,6 @@ def fact_order_detail(details: DataFrame, orders: DataFrame, items: DataFrame, r
         "is_valid_line_item",
         "price_quantity_consistent",
         "created_ts",
+        *(["order_id"] if order_ids else []),
     )
     return run.audited(facts)

@@ -211,7 +211,7 @@ def customer_preferences(spark: SparkSession, directory: str) -> DataFrame:
     from layercake.plans.analytics import customer_tastes
 
     built = layers(spark, directory)
-    return customer_tastes(built["fact_order"], built["fact_order_detail"], built["dim_menu_item"])
+    return customer_tastes(built["fact_order"], built["order_lines"], built["dim_menu_item"])
 
 
 # ------------------------------------------------------------------------------- ranks and windows
@@ -549,7 +549,9 @@ def _suite(spark: SparkSession, directory: str, names: list[str]) -> DataFrame:
     shared = {"fact_order", "fact_order_detail", "dim_customer", "dim_menu_item"} if set(names) & set(_MARTS) else set()
     for name in MODELS:
         if name in {*names, *parents, *shared}:
-            built[name] = ops.settle(built[name], name)
+            # Lines as the marts take them, with the ids that they meet their orders on.
+            source = "order_lines" if name == "fact_order_detail" and name not in names else name
+            built[name] = ops.settle(built[source], name)
     return check_models(built, names)
 
 
