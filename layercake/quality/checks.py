@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
@@ -112,7 +112,11 @@ def _value_counts(df: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _unique(df: DataFrame, model: str, rules: Sequence[Rule]) -> DataFrame:
-    """All unique rules of a table in one pass: (rule, value) is counted, so one shuffle serves them all."""
+    """All unique rules of a table in one pass: one shuffle by (rule, value) serves them all.
+
+    A value repeats if it has a second row. Rows are sorted, which can spill, and of every value two rows at most leave a map
+    task, so neither many values nor hot ones fill a task's memory.
+    """
     held = []
     for number, rule in enumerate(rules):
         value = F.col(rule.column)
@@ -121,9 +125,10 @@ def _unique(df: DataFrame, model: str, rules: Sequence[Rule]) -> DataFrame:
         present = value.isNotNull() if rule.where is None else F.expr(rule.where) & value.isNotNull()
         held.append(F.when(present, F.struct(F.lit(number).alias("rule"), value.cast("string").alias("value"))))
     stacked = df.select(F.explode(F.array_compact(F.array(*held))).alias("_v")).select("_v.*")
-    counted = stacked.groupBy("rule", "value").agg(F.count("*").alias("_n"))
-    repeated = [F.count_if((F.col("rule") == n) & (F.col("_n") > 1)).alias(f"_{n}") for n in range(len(rules))]
-    return _as_rows(counted.agg(*repeated), model, rules)
+    same = Window.partitionBy("rule", "value").orderBy("rule")
+    second = stacked.withColumn("_n", F.row_number().over(same)).where("_n = 2")
+    repeated = [F.count_if(F.col("rule") == n).alias(f"_{n}") for n in range(len(rules))]
+    return _as_rows(second.agg(*repeated), model, rules)
 
 
 def _relationship(df: DataFrame, model: str, rule: Rule, parent: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -20,10 +21,21 @@ SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Spark 4.1 takes a union of bucketed scans for bucketed but only appends their partitions: sums over it are wrong.
     "spark.sql.unionOutputPartitioning": "false",
+    # Rows that lie in the order of their groups are summed in that order, not in a map of all groups of a task.
+    "spark.sql.execution.replaceHashWithSortAgg": "true",
     # Times with statistics in the footers, which filters and marks use; the default form has none.
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
+# Upper limits: what one task reads of files and of a shuffle, compressed. Rows of a few packed bytes need many times that
+# in memory. A session with smaller values keeps them.
+AT_MOST = {
+    "spark.sql.files.maxPartitionBytes": 32 << 20,
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": 32 << 20,
+}
+# A shuffle starts with so many partitions at least; adaptive execution merges small ones.
+_FIRST_PARTITIONS, _LEAST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", 800
+
 # Settings that only a new session takes.
 AT_START = {
     # Else every column function looks up its caller for error messages; composing a mart takes thousands of them.
@@ -48,9 +60,20 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Apply the library's SQL settings to a running session."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    for key, most in AT_MOST.items():
+        if _bytes(spark.conf.get(key)) > most:
+            spark.conf.set(key, str(most))
+    wanted = max(int(spark.conf.get(key, "1")) for key in ("spark.sql.shuffle.partitions", _FIRST_PARTITIONS))
+    spark.conf.set(_FIRST_PARTITIONS, str(max(wanted, _LEAST_PARTITIONS)))
     return spark
 
 
+def _bytes(size: str) -> int:
+    """A size as settings write it: a number, and a unit from bytes to terabytes."""
+    number, unit = re.fullmatch(r"(\d+)\s*([a-z]*)", size.strip().lower()).groups()
+    return int(number) << 10 * "bkmgt".index(unit[:1] or "b")
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir``, visible to all executors.
 
