@@ -28,18 +28,25 @@ class Growing:
     facts: tuple[str, ...]
     of: Callable[..., DataFrame]
     dimensions: tuple[str, ...]
+    columns: tuple[str, ...]  # what the totals take of the orders
 
 
+_PLACED = (
+    "order_id", "order_timestamp", "order_date_sk", "truck_sk", "customer_sk", "order_channel", "meal_period",
+)
 GROWING = {
     "agg_daily_sales": Growing(
-        analytics.daily_sales_totals, ("fact_order",), analytics.daily_sales_of, ("dim_date", "dim_truck", "dim_location")
+        analytics.daily_sales_totals, ("fact_order",), analytics.daily_sales_of, ("dim_date", "dim_truck", "dim_location"),
+        (*_PLACED, "location_sk", "discount_percentage", "order_total", "total_cost_of_goods", "order_profit",
+         "processing_time_minutes", "line_item_count", "total_items_ordered"),
     ),
     "agg_location_insights": Growing(
-        analytics.location_totals, ("fact_order",), analytics.location_insights_of, ("dim_date", "dim_location")
+        analytics.location_totals, ("fact_order",), analytics.location_insights_of, ("dim_date", "dim_location"),
+        (*_PLACED, "location_sk", "order_hour", "order_total", "processing_time_minutes"),
     ),
     "agg_menu_performance": Growing(
-        analytics.menu_totals, ("fact_order_detail", "fact_order", "dim_truck"), analytics.menu_performance_of,
-        ("dim_date", "dim_menu_item"),
+        analytics.menu_totals, ("order_lines", "fact_order", "dim_truck"), analytics.menu_performance_of,
+        ("dim_date", "dim_menu_item"), (*_PLACED, "order_sk"),
     ),
 }
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from layercake import operators as ops
 from layercake.operators.incremental import new_rows
 from layercake.plans.build import GateFailed, Layers, build
-from layercake.plans.increments import first_changed_day, refresh_mart
+from layercake.plans.increments import GROWING, first_changed_day, refresh_mart
 from layercake.plans.operator_queries import CALENDAR, ORDER_COLUMNS, RUN, documents, layers, table
 from layercake.plans.run import Run
 from layercake.quality.checks import RESULT
@@ -177,7 +177,8 @@ def _refreshed(spark: SparkSession, directory: str, name: str) -> DataFrame:
     early = {**raw, "order_header": headers.where(c("order_ts") < cut)}
     refresh_mart(Layers(spark, early, EARLY, *CALENDAR, write_shared=True), name, target)
     whole = Layers(spark, raw, RUN, *CALENDAR, write_shared=True)
-    whole["fact_order"] = ops.settle(whole["fact_order"], "fact_order")
+    # Only what the totals take, so that orders whose lines do not matter are not joined with them.
+    whole["fact_order"] = ops.settle(whole["fact_order"].select(*GROWING[name].columns), "fact_order")
     came = whole["fact_order"].where(c("order_timestamp") >= cut)
     return refresh_mart(whole, name, target, first_changed_day(came))
 

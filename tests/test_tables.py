@@ -277,3 +277,70 @@ def test_increments_leave_earlier_months_alone(spark, tmp_path, run):
     names = sorted(n for n in got.columns if not n.endswith("_ts"))
     assert sorted(got.select(names).collect(), key=str) == sorted(whole["agg_daily_sales"].select(names).collect(), key=str)
     assert first_changed_day(came.where("false")) is None
+
+
+def test_facts_are_cut_at_the_exact_median_of_their_ids(spark):
+    from layercake.plans.table_queries import buckets_for, middle_id
+
+    for ids in ([5, 1, 9], [4, 1, 9, 7], [2, 2, 8, None], [3]):
+        lines = spark.createDataFrame([(i,) for i in ids], "order_detail_id bigint")
+        want = lines.agg(F.expr("percentile(order_detail_id, 0.5)").cast("bigint")).first()[0]
+        assert middle_id(lines) == want
+    assert middle_id(lines.where("false")) is None
+    assert [buckets_for(n) for n in (0, 8_000_000, 8_000_001, 36_000_000)] == [4, 4, 5, 18]
+
+
+def test_unique_rules_hold_no_map_of_values(spark):
+    df = spark.createDataFrame([(1,), (1,), (1,), (2,), (None,), (None,)], "k int")
+    found = check(df, "m", [Rule("k", "unique")])
+    assert [r.failures for r in found.collect()] == [1]
+    assert "keys=[rule" not in executed(found) and executed(found).count("WindowGroupLimit") == 2
+
+
+def test_a_session_reads_no_more_than_the_limits_per_task(spark):
+    from layercake.session import AT_MOST, _bytes, prepare
+
+    other = spark.newSession()
+    other.conf.set("spark.sql.files.maxPartitionBytes", "128MB")
+    other.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    other.conf.set("spark.sql.shuffle.partitions", "5000")
+    prepare(other)
+    assert {key: _bytes(other.conf.get(key)) for key in AT_MOST} == {
+        "spark.sql.files.maxPartitionBytes": 32 << 20, "spark.sql.adaptive.advisoryPartitionSizeInBytes": 16 << 10
+    }
+    assert other.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == "5000"
+
+
+def test_menu_totals_shuffle_lines_once_after_their_orders(spark, run):
+    from layercake.plans.analytics import menu_totals
+
+    layers = Layers(spark, raw_tables(spark, SMALL), run, "1995-01-01", "2002-01-01")
+    facts = [layers["order_lines"], layers["fact_order"], layers["dim_truck"]]
+    totals = menu_totals(*facts, run)
+    plan = executed(totals)
+    assert "Expand" not in plan and "hashpartitioning(order_sk" not in plan
+    # By id and by surrogate key the facts meet in the same rows.
+    by_key = menu_totals(layers["fact_order_detail"], *facts[1:], run)
+    assert sorted(map(str, totals.collect())) == sorted(map(str, by_key.collect()))
+
+
+def test_keys_are_packed_and_unpacked(spark):
+    from layercake import functions as fn
+
+    rows = spark.createDataFrame([("1",), ("-1",), (None,), ("x" * 32,)], "k string")
+    keys = rows.select("k").union(rows.select(fn.surrogate_key(c("k"))))
+    packed = keys.select("k", fn.packed_key(c("k")).alias("p"))
+    assert packed.where(~fn.unpacked_key(c("p")).eqNullSafe(c("k"))).isEmpty()
+    assert packed.agg(F.min(F.length("p")), F.max(F.length("p"))).first() == (1, 32)
+
+
+def test_sales_are_not_added_up_for_readers_of_item_names(spark, run):
+    layers = Layers(spark, raw_tables(spark, SMALL), run, "1995-01-01", "2002-01-01")
+    assert "l_orderkey" not in executed(layers["dim_menu_item"].select("menu_item_sk", "item_category"))
+
+
+def test_marts_by_increments_settle_only_what_their_totals_take(spark, run):
+    from layercake.plans.increments import GROWING
+
+    layers = Layers(spark, raw_tables(spark, SMALL), run, "1995-01-01", "2002-01-01")
+    assert "l_orderkey" not in executed(layers["fact_order"].select(*GROWING["agg_location_insights"].columns))
