@@ -126,19 +126,23 @@ def location_totals(orders: DataFrame, run: Run) -> DataFrame:
     group = ["location_sk", "order_date_sk"]
     hour = c("order_hour")
     counts = {"daily_orders": None, **{name: hour.between(*hours) for name, hours in _HOURS.items()}}
-    known = orders.where(c("location_sk") != rules.UNKNOWN_KEY)
-    served_by = key_flags(known, group, "order_id", counts, run.unique_orders).groupBy(*group, "truck_sk", "customer_sk").agg(
+    known = orders.where(c("location_sk") != rules.UNKNOWN_KEY).withColumns(
+        {"truck": fn.packed_key(c("truck_sk")), "customer": fn.packed_key(c("customer_sk"))}
+    ).drop("truck_sk", "customer_sk")
+    served_by = key_flags(known, group, "order_id", counts, run.unique_orders).groupBy(*group, "truck", "customer").agg(
         *[F.sum(name).alias(name) for name in counts],
         F.sum("order_total").alias("revenue"),
         F.count("order_total").alias("valued"),
         F.sum("processing_time_minutes").alias("minutes"),
         F.count("processing_time_minutes").alias("timed"),
-    )
-    return served_by.groupBy(*group).agg(
+    ).repartition(*group)
+    # One row of every truck and customer of a group is marked, so that their distinct numbers are sums as well.
+    marked = key_flags(key_flags(served_by, group, "truck", {"trucks_served": None}), group, "customer", {"unique_customers": None})
+    return marked.groupBy(*group).agg(
         *[F.sum(name).alias(name) for name in counts],
         F.sum("revenue").alias("daily_revenue"),
-        F.countDistinct("truck_sk").alias("trucks_served"),
-        F.countDistinct("customer_sk").alias("unique_customers"),
+        F.sum("trucks_served").alias("trucks_served"),
+        F.sum("unique_customers").alias("unique_customers"),
         _average("revenue", "valued").alias("avg_order_value"),
         _average("minutes", "timed").alias("avg_processing_time"),
     )
@@ -388,10 +392,12 @@ def _transactions(orders: DataFrame, dates: DataFrame, trucks: DataFrame, locati
         "avg_items_per_order": "line_item_count",
         "avg_processing_time": "processing_time_minutes",
     }
-    known = orders.where(c("customer_sk") != rules.UNKNOWN_KEY).join(days, "order_date_sk")
-    visits = key_flags(known, ["customer_sk"], "order_id", counts, run.unique_orders).groupBy(
-        "customer_sk", "location_sk", "truck_sk"
-    ).agg(
+    keys = {"customer": "customer_sk", "location": "location_sk", "truck": "truck_sk"}
+    known = orders.where(c("customer_sk") != rules.UNKNOWN_KEY).select(
+        "order_id", "order_date_sk", "order_total", "order_channel", "meal_period", "discount_percentage",
+        "line_item_count", "processing_time_minutes", *[fn.packed_key(c(sk)).alias(name) for name, sk in keys.items()],
+    ).join(days, "order_date_sk").drop("order_date_sk")
+    visits = key_flags(known, ["customer"], "order_id", counts, run.unique_orders).groupBy(*keys).agg(
         *[F.sum(name).alias(name) for name in counts],
         *[F.sum(column).alias(f"_sum_{name}") for name, column in averaged.items()],
         *[F.count(column).alias(f"_n_{name}") for name, column in averaged.items()],
@@ -400,24 +406,26 @@ def _transactions(orders: DataFrame, dates: DataFrame, trucks: DataFrame, locati
         F.max(day).alias("last_order_date"),
         F.count("*").alias("_rows"),
     )
-    placed = (
-        visits.join(trucks.select("truck_sk", "primary_city"), "truck_sk", "left")
-        .join(locations.select("location_sk", "location_type"), "location_sk", "left")
-        .repartition("customer_sk")
-    )
-    summary = _weights(placed, "customer_sk", "primary_city", "location_type").groupBy("customer_sk").agg(
+    cities = trucks.select(fn.packed_key(c("truck_sk")).alias("truck"), "primary_city")
+    places = locations.select(fn.packed_key(c("location_sk")).alias("location"), "location_type")
+    placed = visits.join(cities, "truck", "left").join(places, "location", "left").repartition("customer")
+    # One row of every place and truck of a customer is marked, so that their distinct numbers are sums as well.
+    for name in ("location", "truck"):
+        placed = key_flags(placed, ["customer"], name, {f"_{name}s": None})
+    summary = _weights(placed, "customer", "primary_city", "location_type").groupBy("customer").agg(
         *[F.sum(name).alias(name) for name in counts],
         F.sum("_sum_avg_order_value").alias("total_spent"),
         *[_average(f"_sum_{name}", f"_n_{name}").alias(name) for name in averaged],
         F.sum("spent_last_90_days").alias("spent_last_90_days"),
         F.min("first_order_date").alias("first_order_date"),
         F.max("last_order_date").alias("last_order_date"),
-        F.countDistinct("location_sk").alias("unique_locations_visited"),
-        F.countDistinct("truck_sk").alias("unique_trucks_visited"),
+        F.sum("_locations").alias("unique_locations_visited"),
+        F.sum("_trucks").alias("unique_trucks_visited"),
         weighted_mode(c("primary_city"), c("_of_primary_city")).alias("preferred_city"),
         weighted_mode(c("location_type"), c("_of_location_type")).alias("preferred_location_type"),
     )
-    return summary.withColumns(
+    named = summary.withColumn("customer_sk", fn.unpacked_key(c("customer"))).drop("customer")
+    return named.withColumns(
         {
             "avg_days_between_orders": average_gap(
                 c("first_order_date"), c("last_order_date"), c("total_orders")

@@ -174,10 +174,18 @@ _KEYS: dict[str, Callable[["Layers"], DataFrame]] = {
     "order_lines": lambda layers: layers.order_lines(),
 }
 
-# Inputs that a model reads more than once. With ``write_shared`` they are written once to the shared folder
-# instead of being computed for every use; without it, composing a model starts no job.
+# What the customer mart and the history of its customers read of the orders.
+_ORDER_COLUMNS = (
+    "order_id", "order_channel", "meal_period", "order_total", "processing_time_minutes", "line_item_count",
+    "discount_percentage",
+)
+# Inputs that a model reads more than once, and the columns that it needs of them. With ``write_shared`` these are written once
+# to the shared folder instead of being computed for every use; without it, composing a model starts no job.
 _READ_OFTEN = {
-    "agg_customer_360": ("int_orders_enriched", "fact_order"),
+    "agg_customer_360": {
+        "int_orders_enriched": (*_ORDER_COLUMNS, "truck_id", "location_id", "customer_id", "order_timestamp"),
+        "fact_order": (*_ORDER_COLUMNS, "order_sk", "truck_sk", "location_sk", "customer_sk", "order_date_sk"),
+    },
 }
 
 
@@ -218,6 +226,21 @@ class Layers:
         self._known[name] = table
         self._tables.add(name)
 
+    def keep(self, name: str, columns: Iterable[str]) -> None:
+        """From here on the model is a table of these columns, written to the shared folder; its other columns are NULL."""
+        whole = self[name]
+        kept = settle(whole.select(*columns), name)
+        self[name] = kept.select(
+            *[F.lit(None).cast(f.dataType).alias(f.name) if f.name not in kept.columns else f.name for f in whole.schema]
+        )
+
+    def _apart(self) -> Layers:
+        """The same layers with the tables so far; tables that come to them stay theirs."""
+        apart = Layers(self.spark, self._raw, self.run, *self._calendar)
+        for name in self._tables:
+            apart[name] = self._known[name]
+        return apart
+
     def order_lines(self) -> DataFrame:
         """The order lines for marts: the written fact, else the fact with the ids that the composed lines are shuffled by."""
         if "fact_order_detail" in self._tables:
@@ -236,10 +259,15 @@ class Layers:
         if name == "dim_time":
             return model.make(self.spark)
         given = replaced or {}
-        for often in _READ_OFTEN.get(name, ()):
-            if self._write_shared and often not in self._tables:
-                self[often] = settle(self[often], often)
-        return model.make(*[given[i] if i in given else self[i] for i in model.inputs], self.run)
+        source = self
+        if self._write_shared and name in _READ_OFTEN:
+            source = self._apart()
+            for often, columns in _READ_OFTEN[name].items():
+                if often not in source._tables:
+                    # Lines of a written fact meet the orders by surrogate keys, others by ids.
+                    by_ids = "fact_order_detail" not in source._tables
+                    source.keep(often, [column for column in columns if not (by_ids and column == "order_sk")])
+        return model.make(*[given[i] if i in given else source[i] for i in model.inputs], self.run)
 
 
 class GateFailed(RuntimeError):

@@ -92,18 +92,18 @@ def fact_order_detail(
     """Valid lines with the keys of their order and item.
 
     The order's key is a function of its id, so of the order fact only the ids take part in the
-    join; it decides between the key and '-1'. With ``order_ids`` the id comes along, for marts: lines that have just met
-    the orders by it meet them again without another shuffle.
+    join; it decides between the key and '-1'. The orders come last: with ``order_ids`` the id comes along, for marts, and
+    lines that have just met the orders by it meet them again without another shuffle.
     """
     carry = (
         "cost_of_goods_usd", "item_category", "item_subcategory", "truck_brand_name",
         "is_vegetarian", "is_vegan", "is_gluten_free",
     )
     valid = details.where("is_valid_line_item")
-    known = orders.select(c("order_id").alias("_order"))
-    rows = valid.join(known, c("order_id") == c("_order"), "left")
     side = items.select(c("menu_item_id").alias("_item"), "menu_item_sk", *carry)
-    rows = rows.join(side, c("menu_item_id") == c("_item"), "left")
+    rows = valid.join(side, c("menu_item_id") == c("_item"), "left")
+    known = orders.select(c("order_id").alias("_order"))
+    rows = rows.join(known, c("order_id") == c("_order"), "left")
     cost = c("quantity") * F.coalesce(c("cost_of_goods_usd"), F.lit(0).cast("decimal(18,4)"))
     net = c("net_line_total")
     facts = rows.select(

@@ -344,3 +344,44 @@ def test_marts_by_increments_settle_only_what_their_totals_take(spark, run):
 
     layers = Layers(spark, raw_tables(spark, SMALL), run, "1995-01-01", "2002-01-01")
     assert "l_orderkey" not in executed(layers["fact_order"].select(*GROWING["agg_location_insights"].columns))
+
+
+def test_places_and_trucks_of_customers_are_counted_without_more_rows(spark, run):
+    from layercake.plans.analytics import _transactions, location_totals
+
+    layers = Layers(spark, raw_tables(spark, SMALL), run, "1995-01-01", "2002-01-01")
+    orders = layers["fact_order"]
+    history = _transactions(orders, layers["dim_date"], layers["dim_truck"], layers["dim_location"], run)
+    totals = location_totals(orders, run)
+    assert "Expand" not in executed(history) and "Expand" not in executed(totals)
+    want = orders.where("customer_sk <> '-1'").groupBy("customer_sk").agg(
+        F.countDistinct("location_sk"), F.countDistinct("truck_sk"), F.countDistinct("order_id"))
+    got = history.select("customer_sk", "unique_locations_visited", "unique_trucks_visited", "total_orders")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    want = orders.where("location_sk <> '-1'").groupBy("location_sk", "order_date_sk").agg(
+        F.countDistinct("truck_sk"), F.countDistinct("customer_sk"))
+    got = totals.select("location_sk", "order_date_sk", "trucks_served", "unique_customers")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_order_lines_meet_their_orders_last(spark, run):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        layers = Layers(spark, raw_tables(spark, SMALL), run, "1995-01-01", "2002-01-01")
+        buyers = layers["fact_order"].select("order_id", "customer_sk")
+        plan = executed(layers["order_lines"].join(buyers, "order_id"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # The lines are shuffled by their orders once, after they met the items.
+    lines = plan[:plan.index("hashpartitioning(menu_item_id")]
+    assert lines.count("Exchange hashpartitioning(order_id") == 1
+
+
+def test_what_the_customer_mart_writes_apart_is_for_it_alone(spark, run):
+    layers = Layers(spark, raw_tables(spark, SMALL), run, "1995-01-01", "2002-01-01", write_shared=True)
+    mart = layers["agg_customer_360"]
+    plan = executed(mart)
+    assert "categories_ordered" not in plan and "l_orderkey" in plan
+    assert layers["fact_order"].where("order_sk IS NULL OR order_time_sk IS NULL").isEmpty()
+    assert layers["fact_order"].where("categories_ordered IS NOT NULL").count() > 0
