@@ -542,16 +542,38 @@ _MARTS = ["agg_daily_sales", "agg_location_insights", "agg_menu_performance", "a
 _CORE = [name for name in RULES if name not in (*_SILVER, *_MARTS)]
 
 
+# What the marts read of the orders and of the facts; lines and orders meet on the ids.
+_MART_ORDERS = (
+    "order_id", "order_channel", "meal_period", "order_hour", "order_total", "total_cost_of_goods", "order_profit",
+    "processing_time_minutes", "line_item_count", "total_items_ordered", "discount_percentage",
+)
+_MART_COLUMNS = {
+    "stg_pos_order_details": (
+        "order_id", "menu_item_id", "quantity", "unit_price", "line_total", "line_discount_amount", "net_line_total",
+        "is_valid_line_item",
+    ),
+    "int_orders_enriched": (*_MART_ORDERS, "truck_id", "location_id", "customer_id", "order_timestamp"),
+    "fact_order": (*_MART_ORDERS, "truck_sk", "location_sk", "customer_sk", "order_date_sk"),
+}
+_MART_LINES = (
+    "order_id", "order_sk", "menu_item_sk", "quantity", "unit_price", "line_total", "line_discount_amount",
+    "line_cost_of_goods", "line_profit",
+)
+
+
 def _suite(spark: SparkSession, directory: str, names: list[str]) -> DataFrame:
     """The declared tests of some models. What they test and refer to is computed once, in build order."""
-    built = layers(spark, directory)
+    marts = set(names) <= set(_MARTS)
+    built = mart_layers(spark, directory) if marts else layers(spark, directory)
     parents = {rule.parent for name in names for rule in RULES[name] if rule.parent}
-    shared = {"fact_order", "fact_order_detail", "dim_customer", "dim_menu_item"} if set(names) & set(_MARTS) else set()
+    shared = {*_MART_COLUMNS, "fact_order_detail", "dim_customer", "dim_menu_item"} if marts else set()
     for name in MODELS:
-        if name in {*names, *parents, *shared}:
-            # Lines as the marts take them, with the ids that they meet their orders on.
-            source = "order_lines" if name == "fact_order_detail" and name not in names else name
-            built[name] = ops.settle(built[source], name)
+        if marts and name in _MART_COLUMNS:
+            built.keep(name, _MART_COLUMNS[name])
+        elif marts and name == "fact_order_detail":
+            built[name] = ops.settle(built["order_lines"].select(*_MART_LINES), name)
+        elif name in {*names, *parents, *shared}:
+            built[name] = ops.settle(built[name], name)
     return check_models(built, names)
 
 

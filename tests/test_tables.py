@@ -346,6 +346,28 @@ def test_marts_by_increments_settle_only_what_their_totals_take(spark, run):
     assert "l_orderkey" not in executed(layers["fact_order"].select(*GROWING["agg_location_insights"].columns))
 
 
+def test_the_suite_of_the_marts_computes_what_it_shares_once(spark, monkeypatch):
+    from layercake.plans import build, operator_queries
+
+    written = []
+
+    def note(df, name):
+        written.append((name, set(df.columns)))
+        return df
+
+    monkeypatch.setattr(build, "settle", note)
+    monkeypatch.setattr(operator_queries.ops, "settle", note)
+    monkeypatch.setattr(operator_queries, "check_models", lambda built, names: built)
+    built = operator_queries.dq_marts(spark, SMALL)
+    names, columns = [name for name, _ in written], dict(written)
+    assert len(names) == len(set(names)) and names.index("int_orders_enriched") < names.index("dim_customer")
+    # Of what only feeds the marts nothing else is written; the marts themselves are whole.
+    assert "categories_ordered" not in columns["int_orders_enriched"] and "order_sk" not in columns["fact_order"]
+    assert "order_detail_sk" not in columns["fact_order_detail"] and "order_detail_id" not in columns["stg_pos_order_details"]
+    assert columns["agg_menu_performance"] >= {"category_popularity_rank", "performance_classification"}
+    assert built.run.unique_orders
+
+
 def test_places_and_trucks_of_customers_are_counted_without_more_rows(spark, run):
     from layercake.plans.analytics import _transactions, location_totals
 
