@@ -1,5 +1,6 @@
 """Quality, language, token totals and language models: held-out accuracy, brute force and odd inputs."""
 
+import importlib
 import math
 import zlib
 from collections import Counter
@@ -299,3 +300,44 @@ def test_word_pairs_on_odd_rows(spark, make, monkeypatch, chosen):
         score = {r.doc_id: r.score for r in found}
         assert score[7] < score[3]  # the same words in another order
     assert lm_scoring.word_cross_entropy_difference(make([]), target).count() == 0
+
+
+def test_word_pairs_over_many_chunks_and_blocks(spark, make, monkeypatch):
+    """Totals are those of all chunks and blocks; rows of equal texts score the same wherever they lie."""
+    monkeypatch.setattr(lm_scoring, "CHUNK", 40)
+    monkeypatch.setattr(lm_scoring, "CHUNK_TEXTS", 7)
+    monkeypatch.setattr(lm_scoring, "BLOCK", 5)
+    rng = np.random.default_rng(7)
+    rows = [(i, " ".join(f"w{int(x)}" for x in rng.zipf(1.3, n) % 60)) for i, n in enumerate(rng.integers(0, 30, 90))]
+    rows += [(100 + i, "w1 w2 W1\tw7 w1") for i in range(40)] + [(None, "w1 w3"), (None, None), (5, "w1"), (200, "x " * 500)]
+    chosen = {3, 5, 9, 104, 105}
+    target = spark.createDataFrame([(i,) for i in chosen], "doc_id long")
+    found = lm_scoring.word_cross_entropy_difference(make(rows), target).collect()
+    same(found, words_by_hand(rows, chosen))
+    assert len({(r.target_bits, r.background_bits, r.score) for r in found if 100 <= (r.doc_id or 0) < 140}) == 1
+    name = F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("doc_id")
+    named = lm_scoring.word_cross_entropy_difference(make(rows).select(name, "text"), target.select(name)).collect()
+    assert [r.doc_id for r in named if r.doc_id is None] == [None, None]
+    assert sorted(round(r.score, 9) for r in named) == sorted(round(r.score, 9) for r in found)
+
+
+def test_word_pairs_take_few_bytes(spark, make, monkeypatch, tmp_path):
+    """What the word models write stays below the size of the texts, though nearly all pairs differ."""
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join(f"word{x}" for x in rng.integers(0, 5000, 400))) for i in range(300)]
+    for module in (importlib.import_module("layercake.operators.settle"), lm_scoring):
+        monkeypatch.setattr(module, "shared_dir", lambda _, what: f"{tmp_path}/{what}", raising=False)
+    found = lm_scoring.word_cross_entropy_difference(make(rows), spark.createDataFrame([(1,)], "doc_id long"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 300
+    written = {p.name: sum(f.stat().st_size for f in p.rglob("*.parquet")) for p in tmp_path.iterdir()}
+    assert 0 < sum(written.values()) < 300 * 401 * 9, written
+    assert plan.count("Exchange") == 1  # the answers; the words of the texts stay in their buckets
+
+
+def test_packed_numbers_come_back():
+    for values in ([0], [0, 0, 0], [5, 0, 255, 256], [2**64 - 1, 1], range(1000)):
+        values = np.array(values, np.uint64)
+        assert lm_scoring.unpack(lm_scoring.pack(values), len(values)).tolist() == values.tolist()
+    keys = np.unique(np.random.default_rng(1).integers(0, 2**64, 1000, np.uint64))
+    assert lm_scoring.unpack_keys(lm_scoring.pack_keys(keys), len(keys)).tolist() == keys.tolist()
