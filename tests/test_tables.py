@@ -407,3 +407,59 @@ def test_what_the_customer_mart_writes_apart_is_for_it_alone(spark, run):
     assert "categories_ordered" not in plan and "l_orderkey" in plan
     assert layers["fact_order"].where("order_sk IS NULL OR order_time_sk IS NULL").isEmpty()
     assert layers["fact_order"].where("categories_ordered IS NOT NULL").count() > 0
+
+
+# What a job holds on disk
+
+def shuffle_files(spark):
+    held = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (held.apply(n).getName() for n in range(held.size())) if name.startswith("shuffle_")}
+
+
+def written_apart(monkeypatch):
+    """The names and columns of what models write apart, which is not written then."""
+    from layercake.plans import build
+
+    written = {}
+
+    def note(df, name):
+        written[name] = set(df.columns)
+        return df
+
+    monkeypatch.setattr(build, "settle", note)
+    return written
+
+
+def test_shuffles_go_with_the_statement_that_made_them(spark, tmp_path):
+    before = shuffle_files(spark)
+    dealt = spark.range(1000).repartition(3, "id")
+    kept = ops.settle(dealt, "dealt")
+    ops.upsert_table(dealt.withColumn("v", c("id")), str(tmp_path / "t"), "id")
+    assert kept.count() == ops.read_upserted(spark, str(tmp_path / "t")).count() == 1000
+    assert shuffle_files(spark) <= before
+    # Rows that are asked for again are made again.
+    assert len(dealt.collect()) == len(dealt.collect()) == 1000
+
+
+def test_what_is_written_between_steps_is_packed_tightly(spark, tmp_path):
+    rows = spark.range(5).withColumn("p", c("id") % 2)
+    ops.upsert_table(rows, str(tmp_path / "t"), "id", partition_by="p")
+    for table in (ops.settle(rows, "rows"), ops.read_upserted(spark, str(tmp_path / "t"))):
+        assert table.count() == 5 and all(".zstd." in file for file in table.inputFiles())
+
+
+def test_surrogate_keys_travel_packed_into_buckets(spark, tmp_path):
+    from layercake import functions as fn
+
+    rows = spark.range(40).select("id", fn.surrogate_key(c("id")).alias("a_sk"), F.when(c("id") > 30, "-1").when(
+        c("id") > 5, fn.surrogate_key(c("id") + 1)).alias("b_sk"), F.lit("X" * 32).alias("text"))
+    want = sorted(map(tuple, rows.collect()))
+    path, dealt = str(tmp_path / "t"), catalog.Buckets(("a_sk",), 4)
+    ops.upsert_table(rows.where("id < 20"), path, "id", buckets=dealt, keys=["a_sk", "b_sk"])
+    ops.upsert_table(rows.where("id >= 10"), path, "id", keys=["a_sk", "b_sk"])
+    table = ops.read_upserted(spark, path)
+    assert sorted(map(tuple, table.collect())) == want and table.columns == rows.columns
+    # Each bucket is written by one task, as the keys were dealt by what they are and not by how they travel.
+    assert len(table.inputFiles()) == 4 and table.where(c("a_sk") == want[7][1]).count() == 1
+    joined = table.join(table.select("a_sk", c("id").alias("other")), "a_sk")
+    assert joined.count() == 40 and joined.where("id = other").count() == 40
