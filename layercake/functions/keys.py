@@ -14,6 +14,11 @@ def surrogate_key(*columns: Column) -> Column:
     return F.md5(F.concat_ws("-", *parts))
 
 
+def member_key(key: Column) -> Column:
+    """The surrogate key of a known member, that of the unknown one for NULL."""
+    return F.when(key.isNotNull(), surrogate_key(key)).otherwise(rules.UNKNOWN_KEY)
+
+
 def packed_key(key: Column) -> Column:
     """A surrogate key in half its bytes, for shuffles: the 16 bytes that an md5 spells; other texts as they are."""
     return F.when(F.length(key) == 32, F.coalesce(F.unhex(key), key.cast("binary"))).otherwise(key.cast("binary"))

@@ -15,13 +15,14 @@ def lookup_key(
     carry: tuple[str, ...] = (),
     spread_by: str | None = None,
     alias: str | None = None,
+    member: str | None = None,
 ) -> DataFrame:
     """Add the dimension's key (and the ``carry`` columns); rows without a match get ``unknown``.
 
     The join is planned at run time by the dimension's bytes. For large dimensions pass ``spread_by``, a
     column of ``df`` that is well spread: NULL keys, which can match nothing, are then distributed by it
     instead of meeting in one partition. Hot keys that do match are split at run time (adaptive skew
-    join), as the dimension has one row each.
+    join), as the dimension has one row each. ``member`` names a column with the dimension's own ``right``, NULL without a match.
     """
     name = alias or key
     side = dim.select(
@@ -45,6 +46,7 @@ def lookup_key(
         *kept,
         F.coalesce(F.col("_key"), F.lit(unknown)).alias(name),
         *[F.col(f"_{c}").alias(c) for c in carry],
+        *([F.col("_right").alias(member)] if member else []),
     )
 
 

@@ -10,6 +10,8 @@ at run time, by its size in bytes.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +31,12 @@ from layercake.plans.run import Run
 
 c = F.col
 WEEK = 7
+# How a mart puts a step apart, given its rows and a name: as it is, or written, so that the shuffles up to it can go.
+Apart = Callable[[DataFrame, str], DataFrame]
+
+
+def _as_is(rows: DataFrame, name: str) -> DataFrame:
+    return rows
 
 
 def _average(total: str, number: str) -> Column:
@@ -257,30 +265,49 @@ def _meeting(details: DataFrame, orders: DataFrame) -> str:
     return "order_id" if "order_id" in details.columns and "order_id" in orders.columns else "order_sk"
 
 
+def _member(rows: DataFrame, name: str) -> tuple[Column, Column]:
+    """A member of a dimension, and whether it is known: by its id where the rows carry it, else by its packed surrogate key."""
+    if f"{name}_id" in rows.columns:
+        return c(f"{name}_id"), c(f"{name}_id").isNotNull()
+    return fn.packed_key(c(f"{name}_sk")), c(f"{name}_sk") != rules.UNKNOWN_KEY
+
+
 def menu_totals(details: DataFrame, orders: DataFrame, trucks: DataFrame, run: Run) -> DataFrame:
-    """Sales per day and item.
+    """Sales per day and item, by the item's surrogate key."""
+    totals = menu_item_totals(details, orders, trucks, run)
+    if "menu_item_sk" in totals.columns:
+        return totals
+    rest = totals.columns[2:]
+    return totals.select("order_date_sk", fn.surrogate_key(c("menu_item_id")).alias("menu_item_sk"), *rest)
+
+
+def menu_item_totals(details: DataFrame, orders: DataFrame, trucks: DataFrame, run: Run) -> DataFrame:
+    """Sales per day and item, by the item's id where the lines carry it, else by its surrogate key.
 
     The facts meet without the lines of unknown orders, and one line of every order, day and item is marked there. The lines
     are then shuffled once, by day and item: first rows of each customer and truck are marked where they sort
-    together, and everything is summed in that order. Keys travel packed.
+    together, and everything is summed in that order. Members travel as ids or packed keys, conditions as bits of one number.
     """
     on = _meeting(details, orders)
-    known = (c("menu_item_sk") != rules.UNKNOWN_KEY) & (c("order_sk") != rules.UNKNOWN_KEY)
-    lines = details.where(known).select(
-        on, fn.packed_key(c("menu_item_sk")).alias("item"), "quantity", "line_total", "line_cost_of_goods", "line_profit",
-        "unit_price", "line_discount_amount",
+    item, known = _member(details, "menu_item")
+    lines = details.where(known & (c("order_sk") != rules.UNKNOWN_KEY)).select(
+        on, item.alias("item"), "quantity", "line_total", "line_cost_of_goods", "line_profit", "unit_price",
+        "line_discount_amount",
     )
+    parts = {name: c("order_channel") == channel for name, channel in _CHANNEL_PARTS.items()}
+    parts |= {name: c("meal_period") == meal for name, meal in _MEAL_PARTS.items()}
+    bits = {name: 1 << n for n, name in enumerate(parts)}
+    customer, _ = _member(orders, "customer")
     # Trucks meet the orders before the lines do: what follows then stays where the lines met their orders.
     heads = orders.select(
-        on, "order_date_sk", fn.packed_key(c("truck_sk")).alias("truck"),
-        fn.packed_key(c("customer_sk")).alias("customer"),
-        *[(c("order_channel") == channel).alias(name) for name, channel in _CHANNEL_PARTS.items()],
-        *[(c("meal_period") == meal).alias(name) for name, meal in _MEAL_PARTS.items()],
+        on, "order_date_sk", fn.packed_key(c("truck_sk")).alias("truck"), customer.alias("customer"),
+        sum((F.when(parts[name], bit).otherwise(0) for name, bit in bits.items()), F.lit(0)).alias("_parts"),
     ).join(trucks.select(fn.packed_key(c("truck_sk")).alias("truck"), "truck_id"), "truck").drop("truck")
     group = ["order_date_sk", "item"]
     sold = key_flags(lines.join(heads, on), group, on, {"orders": None}).drop(on).repartition(*group)
     marked = key_flags(key_flags(sold, group, "truck_id", {"_truck": None}), group, "customer", {"_customer": None})
-    parts = [*_CHANNEL_PARTS, *_MEAL_PARTS]
+    # Orders of unknown customers count as one customer, which has a surrogate key but no id.
+    unknown = F.max(F.when(c("customer").isNull(), 1).otherwise(0)) if "customer_id" in orders.columns else F.lit(0)
     totals = marked.groupBy(*group).agg(
         F.sum("quantity").alias("total_quantity_sold"),
         F.sum("orders").alias("orders_containing_item"),
@@ -290,26 +317,34 @@ def menu_totals(details: DataFrame, orders: DataFrame, trucks: DataFrame, run: R
         fn.mean(c("unit_price")).alias("avg_selling_price"),
         F.sum("line_discount_amount").alias("total_discounts_given"),
         F.sum("_truck").alias("trucks_selling_item"),
-        F.sum("_customer").alias("unique_customers"),
-        *[F.sum(F.when(c(name), c("quantity")).otherwise(0)).alias(name) for name in parts],
+        (F.sum("_customer") + unknown).alias("unique_customers"),
+        *[F.sum(F.when(c("_parts").bitwiseAND(bit) != 0, c("quantity")).otherwise(0)).alias(name) for name, bit in bits.items()],
     )
-    named = fn.unpacked_key(c("item")).alias("menu_item_sk")
+    by_id = "menu_item_id" in details.columns
+    named = c("item").alias("menu_item_id") if by_id else fn.unpacked_key(c("item")).alias("menu_item_sk")
     return totals.select("order_date_sk", named, *[name for name in totals.columns if name not in group])
 
 
+_ITEM_ATTRIBUTES = (
+    "menu_item_name", "truck_brand_name", "item_category", "item_subcategory", "sale_price_usd", "cost_of_goods_usd",
+    "is_vegetarian", "is_vegan", "is_gluten_free", "menu_matrix_classification",
+)
+_ITEM_COLUMNS = ("menu_item_sk", "menu_item_id", *_ITEM_ATTRIBUTES)
+
+
 def menu_performance_of(totals: DataFrame, dates: DataFrame, items: DataFrame, run: Run) -> DataFrame:
     """The mart from its totals: attributes and ranks within the day and the category."""
-    item = items.select(
-        fn.packed_key(c("menu_item_sk")).alias("_item"), "menu_item_name", "truck_brand_name", "item_category", "item_subcategory",
-        "sale_price_usd", "cost_of_goods_usd", "is_vegetarian", "is_vegan", "is_gluten_free",
-        "menu_matrix_classification",
-    )
+    by_id = "menu_item_id" in totals.columns
+    key = c("menu_item_id") if by_id else fn.packed_key(c("menu_item_sk"))
+    item = items.select(key.alias("_item"), *_ITEM_ATTRIBUTES)
     days = F.broadcast(
         dates.select(c("date_sk").alias("order_date_sk"), c("date_actual").alias("analysis_date"))
     )
-    # Packed keys sort as their texts do.
-    sold = totals.withColumn("_item", fn.packed_key(c("menu_item_sk"))).drop("menu_item_sk")
+    sold = totals.withColumn("_item", key).drop("menu_item_id" if by_id else "menu_item_sk")
     base = sold.join(days, "order_date_sk").join(item, "_item").drop("order_date_sk")
+    if by_id:
+        # Items travel as ids, and have their keys where the days are ranked. Packed keys sort as their texts do.
+        base = base.repartition("analysis_date").withColumn("_item", fn.packed_key(fn.surrogate_key(c("_item"))))
     base = base.withColumn(
         "profit_margin_pct", fn.safe_pct(c("total_profit"), c("total_revenue"), places=8)
     )
@@ -358,9 +393,12 @@ def agg_menu_performance(
     items: DataFrame,
     trucks: DataFrame,
     run: Run,
+    apart: Apart = _as_is,
 ) -> DataFrame:
     """Sales per day and item, ranked within the day and the category."""
-    return menu_performance_of(menu_totals(details, orders, trucks, run), dates, items, run)
+    totals = apart(menu_item_totals(details, orders, trucks, run), "menu_totals")
+    named = [name for name in _ITEM_COLUMNS if name in items.columns]
+    return menu_performance_of(totals, dates, apart(items.select(*named), "menu_items"), run)
 
 
 def _weights(rows: DataFrame, by: str, *columns: str) -> DataFrame:
@@ -370,6 +408,11 @@ def _weights(rows: DataFrame, by: str, *columns: str) -> DataFrame:
     )
 
 
+def _customer_key(orders: DataFrame) -> Column:
+    """The surrogate key of a ``customer`` as ``_member`` of the orders gives it."""
+    return fn.surrogate_key(c("customer")) if "customer_id" in orders.columns else fn.unpacked_key(c("customer"))
+
+
 def _transactions(orders: DataFrame, dates: DataFrame, trucks: DataFrame, locations: DataFrame, run: Run):
     """Order history per customer key, by way of one row per customer, location and truck."""
     day, total, channel, meal = c("date_actual"), c("order_total"), c("order_channel"), c("meal_period")
@@ -392,10 +435,13 @@ def _transactions(orders: DataFrame, dates: DataFrame, trucks: DataFrame, locati
         "avg_items_per_order": "line_item_count",
         "avg_processing_time": "processing_time_minutes",
     }
-    keys = {"customer": "customer_sk", "location": "location_sk", "truck": "truck_sk"}
-    known = orders.where(c("customer_sk") != rules.UNKNOWN_KEY).select(
+    customer, is_known = _member(orders, "customer")
+    keys = {
+        "customer": customer, "location": fn.packed_key(c("location_sk")), "truck": fn.packed_key(c("truck_sk")),
+    }
+    known = orders.where(is_known).select(
         "order_id", "order_date_sk", "order_total", "order_channel", "meal_period", "discount_percentage",
-        "line_item_count", "processing_time_minutes", *[fn.packed_key(c(sk)).alias(name) for name, sk in keys.items()],
+        "line_item_count", "processing_time_minutes", *[key.alias(name) for name, key in keys.items()],
     ).join(days, "order_date_sk").drop("order_date_sk")
     visits = key_flags(known, ["customer"], "order_id", counts, run.unique_orders).groupBy(*keys).agg(
         *[F.sum(name).alias(name) for name in counts],
@@ -424,7 +470,7 @@ def _transactions(orders: DataFrame, dates: DataFrame, trucks: DataFrame, locati
         weighted_mode(c("primary_city"), c("_of_primary_city")).alias("preferred_city"),
         weighted_mode(c("location_type"), c("_of_location_type")).alias("preferred_location_type"),
     )
-    named = summary.withColumn("customer_sk", fn.unpacked_key(c("customer"))).drop("customer")
+    named = summary.withColumn("customer_sk", _customer_key(orders)).drop("customer")
     return named.withColumns(
         {
             "avg_days_between_orders": average_gap(
@@ -438,16 +484,14 @@ def _transactions(orders: DataFrame, dates: DataFrame, trucks: DataFrame, locati
 def customer_tastes(orders: DataFrame, details: DataFrame, items: DataFrame) -> DataFrame:
     """Favourite categories and prices per customer key, by way of one row per customer, item and price."""
     on = _meeting(details, orders)
+    key, _ = _member(details, "menu_item")
+    customer, is_known = _member(orders, "customer")
     item = items.select(
-        fn.packed_key(c("menu_item_sk")).alias("item"), "item_category", "item_subcategory", "truck_brand_name",
+        key.alias("item"), "item_category", "item_subcategory", "truck_brand_name",
         "is_vegetarian", "is_vegan", "is_gluten_free",
     )
-    buyers = orders.where(c("customer_sk") != rules.UNKNOWN_KEY).select(
-        on, fn.packed_key(c("customer_sk")).alias("customer")
-    )
-    lines = details.where(c("order_sk") != rules.UNKNOWN_KEY).select(
-        on, fn.packed_key(c("menu_item_sk")).alias("item"), "quantity", "unit_price"
-    )
+    buyers = orders.where(is_known).select(on, customer.alias("customer"))
+    lines = details.where(c("order_sk") != rules.UNKNOWN_KEY).select(on, key.alias("item"), "quantity", "unit_price")
     bought = (
         lines.join(buyers, on).groupBy("customer", "item", "unit_price")
         .agg(F.sum("quantity").alias("quantity"), F.count("*").alias("_rows"))
@@ -474,7 +518,7 @@ def customer_tastes(orders: DataFrame, details: DataFrame, items: DataFrame) ->
         _average("_prices", "_priced").alias("avg_item_price_preference"),
         F.percentile("unit_price", F.lit(0.5), c("_rows")).alias("median_item_price_preference"),
     )
-    named = fn.unpacked_key(c("customer")).alias("customer_sk")
+    named = _customer_key(orders).alias("customer_sk")
     return tastes.select(named, *[name for name in tastes.columns if name != "customer"])
 
 
@@ -487,9 +531,10 @@ def agg_customer_360(
     items: DataFrame,
     dates: DataFrame,
     run: Run,
+    apart: Apart = _as_is,
 ) -> DataFrame:
     """One row per customer: history, tastes, value and risk."""
-    history = _transactions(orders, dates, trucks, locations, run)
+    history = apart(_transactions(orders, dates, trucks, locations, run), "history")
     tastes = customer_tastes(orders, details, items)
     joined = customers.join(history, "customer_sk", "left").join(tastes, "customer_sk", "left")
 

@@ -10,6 +10,7 @@ from typing import TYPE_CHECKING
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from layercake import functions as fn
 from layercake import rules
 from layercake.operators.counts import keys_repeat
 from layercake.operators.incremental import new_rows, read_upserted, replace_table, upsert_table
@@ -148,12 +149,12 @@ MODELS: dict[str, Model] = {
     ),
     "agg_menu_performance": Model(
         analytics.agg_menu_performance,
-        ("order_lines", "fact_order", "dim_date", "dim_menu_item", "dim_truck"),
+        ("order_lines", "order_heads", "dim_date", "dim_menu_item", "dim_truck"),
         _mart("menu"), "gold",
     ),
     "agg_customer_360": Model(
         analytics.agg_customer_360,
-        ("dim_customer", "fact_order", "order_lines", "dim_truck", "dim_location",
+        ("dim_customer", "order_heads", "order_lines", "dim_truck", "dim_location",
          "dim_menu_item", "dim_date"),
         _mart("customer"), "gold",
     ),
@@ -172,6 +173,7 @@ _KEYS: dict[str, Callable[["Layers"], DataFrame]] = {
     # The fact has one row per staged order, and staged orders are stored by their ids.
     "order_keys": lambda layers: layers.built("stg_pos_order_headers", "fact_order").select("order_id"),
     "order_lines": lambda layers: layers.order_lines(),
+    "order_heads": lambda layers: layers.order_heads(),
 }
 
 # What the customer mart and the history of its customers read of the orders.
@@ -184,9 +186,12 @@ _ORDER_COLUMNS = (
 _READ_OFTEN = {
     "agg_customer_360": {
         "int_orders_enriched": (*_ORDER_COLUMNS, "truck_id", "location_id", "customer_id", "order_timestamp"),
-        "fact_order": (*_ORDER_COLUMNS, "order_sk", "truck_sk", "location_sk", "customer_sk", "order_date_sk"),
+        "order_heads": (*_ORDER_COLUMNS, "order_sk", "truck_sk", "location_sk", "customer_sk", "order_date_sk"),
     },
 }
+# Marts in steps. With ``write_shared`` results of steps, which have far fewer bytes than the shuffles that made them, are written apart,
+# so that no more than one step's shuffles are held at a time.
+_IN_STEPS = ("agg_menu_performance", "agg_customer_360")
 
 
 def select(tags: Iterable[str] | None) -> list[str]:
@@ -228,10 +233,13 @@ class Layers:
 
     def keep(self, name: str, columns: Iterable[str]) -> None:
         """From here on the model is a table of these columns, written to the shared folder; its other columns are NULL."""
-        whole = self[name]
-        kept = settle(whole.select(*columns), name)
+        whole = self["order_heads"] if name == "fact_order" else self[name]
+        # The key of a customer follows from the id, which is written in its place.
+        by_id = {"customer_sk": "customer_id"} if "customer_sk" in columns and "customer_id" in whole.columns else {}
+        kept = settle(whole.select(*dict.fromkeys(by_id.get(column, column) for column in columns)), name)
+        held = {sk: fn.member_key(F.col(key)) for sk, key in by_id.items()} | {column: F.col(column) for column in kept.columns}
         self[name] = kept.select(
-            *[F.lit(None).cast(f.dataType).alias(f.name) if f.name not in kept.columns else f.name for f in whole.schema]
+            *[held.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in whole.schema]
         )
 
     def _apart(self) -> Layers:
@@ -246,7 +254,13 @@ class Layers:
         if "fact_order_detail" in self._tables:
             return self["fact_order_detail"]
         made_of = [self[i] for i in MODELS["fact_order_detail"].inputs]
-        return facts.fact_order_detail(*made_of, self.run, order_ids=True)
+        return facts.fact_order_detail(*made_of, self.run, ids=True)
+
+    def order_heads(self) -> DataFrame:
+        """The orders for marts: the written fact, else the fact with the ids of its customers."""
+        if "fact_order" in self._tables:
+            return self["fact_order"]
+        return facts.fact_order(*[self[i] for i in MODELS["fact_order"].inputs], self.run, ids=True)
 
     def built(self, *names: str) -> DataFrame:
         """The first of the models that is a written table, else the first."""
@@ -263,11 +277,14 @@ class Layers:
         if self._write_shared and name in _READ_OFTEN:
             source = self._apart()
             for often, columns in _READ_OFTEN[name].items():
-                if often not in source._tables:
+                if often not in source._tables and not (often == "order_heads" and "fact_order" in source._tables):
                     # Lines of a written fact meet the orders by surrogate keys, others by ids.
                     by_ids = "fact_order_detail" not in source._tables
                     source.keep(often, [column for column in columns if not (by_ids and column == "order_sk")])
-        return model.make(*[given[i] if i in given else source[i] for i in model.inputs], self.run)
+        made_of = [given[i] if i in given else source[i] for i in model.inputs]
+        if self._write_shared and name in _IN_STEPS:
+            return model.make(*made_of, self.run, apart=settle)
+        return model.make(*made_of, self.run)
 
 
 class GateFailed(RuntimeError):

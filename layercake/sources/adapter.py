@@ -222,7 +222,12 @@ class RawTables(Mapping):
     def __getitem__(self, table: str) -> DataFrame:
         if table not in self._tables:
             base = MAPPING[table][0]
-            self._tables[table] = as_raw(self._lines() if base == "lines" else self._read(base), table)
+            rows = as_raw(self._lines() if base == "lines" else self._read(base), table)
+            if base == "lines":
+                # Every line of an order has an id. Said so, lines are not numbered for readers that only ask whether there is one.
+                there = F.when(F.col("order_id").isNotNull(), F.coalesce("order_detail_id", F.lit(0)))
+                rows = rows.withColumn("order_detail_id", there)
+            self._tables[table] = rows
         return self._tables[table]
 
     def __iter__(self):

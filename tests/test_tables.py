@@ -463,3 +463,72 @@ def test_surrogate_keys_travel_packed_into_buckets(spark, tmp_path):
     assert len(table.inputFiles()) == 4 and table.where(c("a_sk") == want[7][1]).count() == 1
     joined = table.join(table.select("a_sk", c("id").alias("other")), "a_sk")
     assert joined.count() == 40 and joined.where("id = other").count() == 40
+
+
+def test_lines_are_numbered_only_for_readers_of_their_ids(spark, tmp_path):
+    schema = ("l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, l_discount double")
+    lines = [(1, 7, 1, 2.0, 0.0), (1, 7, 1, 2.0, 0.0), (1, 8, 2, 1.0, 0.1), (None, 7, 1, 3.0, 0.0), (2, 9, 1, 4.0, 0.0)]
+    spark.createDataFrame(lines, schema).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(7, 3), (8, None)], "p_partkey bigint, p_size int").write.parquet(str(tmp_path / "part.parquet"))
+    details = raw_tables(spark, str(tmp_path))["order_detail"]
+    ids = sorted(r[0] or 0 for r in details.select("order_detail_id").collect())
+    assert ids == [0, 1001, 1002, 1003, 2001] and details.schema["order_detail_id"].dataType.simpleString() == "bigint"
+    there = details.where(c("order_detail_id").isNotNull()).select("order_id", "quantity")
+    assert "Window" not in executed(there) and there.count() == 4
+    assert "Window" in executed(details.select("order_detail_id"))
+
+
+def test_marts_take_members_by_id_and_by_key_alike(spark, run):
+    from layercake import functions as fn
+    from layercake.plans.analytics import customer_tastes, menu_item_totals, menu_totals
+
+    keyed = spark.createDataFrame(
+        [(1, 20000101, 1, 5, "Web"), (2, 20000101, 1, None, "Walk-up"), (3, 20000101, 1, None, None), (4, 20000102, 9, 6, "Web"),
+         (5, 20000101, 1, 5, "Mobile App")],
+        "order_id bigint, order_date_sk int, truck bigint, customer_id bigint, order_channel string",
+    ).select("*", fn.surrogate_key(c("order_id")).alias("order_sk"), fn.member_key(c("customer_id")).alias("customer_sk"),
+             fn.surrogate_key(c("truck")).alias("truck_sk"), F.lit("Lunch").alias("meal_period"))
+    sold = spark.createDataFrame(
+        [(1, 7), (1, 7), (2, 7), (3, 7), (5, 7), (5, None), (4, 7), (8, 7), (1, 3)], "order_id bigint, menu_item_id bigint")
+    money = [F.lit(n).cast("decimal(18,4)").alias(name) for n, name in enumerate(
+        ("line_total", "line_cost_of_goods", "line_profit", "unit_price", "line_discount_amount"), 1)]
+    sold = sold.select("*", F.when(c("order_id") != 8, fn.surrogate_key(c("order_id"))).otherwise("-1").alias("order_sk"),
+                       fn.member_key(c("menu_item_id")).alias("menu_item_sk"), F.lit(2).alias("quantity"), *money)
+    trucks = keyed.where("truck = 1").select("truck_sk", c("truck").alias("truck_id")).distinct()
+    by_id = menu_totals(sold, keyed, trucks, run)
+    by_key = menu_totals(sold.drop("menu_item_id"), keyed.drop("customer_id"), trucks, run)
+    assert by_id.columns == by_key.columns and sorted(map(str, by_id.collect())) == sorted(map(str, by_key.collect()))
+    item = menu_item_totals(sold, keyed, trucks, run).where("menu_item_id = 7").collect()
+    # Two orders of unknown customers count as one customer; the truck of the second day is unknown.
+    assert [(r.order_date_sk, r.unique_customers, r.orders_containing_item, r.total_quantity_sold, r.walkin_quantity, r.mobile_quantity)
+            for r in item] == [(20000101, 2, 4, 10, 2, 2)]
+    items = sold.where("menu_item_id IS NOT NULL").select("menu_item_id", "menu_item_sk").distinct().selectExpr(
+        "*", "'c' AS item_category", "'s' AS item_subcategory", "'b' AS truck_brand_name", "true AS is_vegetarian",
+        "false AS is_vegan", "false AS is_gluten_free")
+    tastes = [customer_tastes(o, d, items) for o, d in ((keyed, sold), (keyed.drop("customer_id"), sold.drop("menu_item_id")))]
+    assert sorted(map(str, tastes[0].collect())) == sorted(map(str, tastes[1].collect())) and tastes[0].count() == 2
+
+
+def test_lines_of_marts_move_with_ids(spark, run):
+    from layercake.plans.analytics import menu_item_totals
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        layers = Layers(spark, raw_tables(spark, SMALL), run, "1995-01-01", "2002-01-01")
+        plan = executed(menu_item_totals(layers["order_lines"], layers["order_heads"], layers["dim_truck"], run))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # Neither line numbers nor keys of items and customers are made; lines move by parts, orders and (day, item).
+    assert "l_linenumber" not in plan and "unhex(menu_item_sk" not in plan and "unhex(customer_sk" not in plan
+    assert plan.count("Exchange hashpartitioning(pk") == 2
+
+
+def test_steps_of_marts_are_written_apart(spark, run, monkeypatch):
+    written = written_apart(monkeypatch)
+    layers = Layers(spark, raw_tables(spark, SMALL), run, "1995-01-01", "2002-01-01", write_shared=True)
+    for name in ("agg_menu_performance", "agg_customer_360"):
+        layers.compose(name)
+    assert set(written) == {"menu_totals", "menu_items", "int_orders_enriched", "order_heads", "history"}
+    assert "customer_id" in written["order_heads"] and "customer_sk" not in written["order_heads"]
+    assert "menu_item_id" in written["menu_totals"] and "menu_item_sk" not in written["menu_totals"]
