@@ -45,8 +45,8 @@ GROWING = {
         (*_PLACED, "location_sk", "order_hour", "order_total", "processing_time_minutes"),
     ),
     "agg_menu_performance": Growing(
-        analytics.menu_totals, ("order_lines", "fact_order", "dim_truck"), analytics.menu_performance_of,
-        ("dim_date", "dim_menu_item"), (*_PLACED, "order_sk"),
+        analytics.menu_item_totals, ("order_lines", "order_heads", "dim_truck"), analytics.menu_performance_of,
+        ("dim_date", "dim_menu_item"), _PLACED,
     ),
 }
 
@@ -65,12 +65,16 @@ def refresh_totals(layers: Layers, name: str, target: str, since: date | None) -
     """The totals of a mart, kept in ``target``: those of days from ``since`` on are computed and their months written."""
     spark, mart, part = layers.spark, GROWING[name], F.floor(F.col("order_date_sk") / 100).cast("int")
     version = catalog.newest(spark, target) if since else None
+    columns = mart.totals(*[layers[table] for table in mart.facts], layers.run).columns
+    if version and set(columns) != set(catalog.rows(spark, version).columns) - {"_part"}:
+        # Kept by other keys, as facts with and without ids give them: all days are added up anew.
+        version = None
     # The key of a day is its digits, so the filter reaches the scan of the facts.
     first = int(f"{since:%Y%m%d}") if version else None
 
     def fact(table: str) -> DataFrame:
         rows = layers[table]
-        return rows.where(F.col("order_date_sk") >= first) if first and table == "fact_order" else rows
+        return rows.where(F.col("order_date_sk") >= first) if first and table in ("fact_order", "order_heads") else rows
 
     fresh = mart.totals(*[fact(table) for table in mart.facts], layers.run).withColumn("_part", part)
     if version is None:
